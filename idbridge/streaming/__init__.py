@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reconciliation jobs are batch jobs over whole tables: no source is a
+stream, and there are no watermarks, event-time windows or stateful
+operators to express. This package is kept so a streamed input can be added
+later without moving modules; until then every job is a batch DataFrame
+plan in ``idbridge.plans``.
+"""
