@@ -9,6 +9,7 @@ two ``Tables`` objects.
 
 from __future__ import annotations
 
+import hashlib
 import os
 from dataclasses import dataclass, field
 
@@ -82,14 +83,30 @@ class Tables:
 
 
 class FixtureTables(Tables):
-    """Tables derived from the TPC-H-style parquet files in ``sf_dir``."""
+    """Tables derived from the TPC-H-style parquet files in ``sf_dir``.
+
+    Each view is registered once per session as a temp view holding its
+    checked, analysed plan and file listing; later reads are one catalog
+    lookup instead of rebuilding the projection expression by expression.
+    """
 
     def __init__(self, sf_dir: str):
-        self.sf_dir = sf_dir
+        self.sf_dir = sf_dir.rstrip("/")
+
+    def _view_name(self, name: str) -> str:
+        digest = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:10]
+        return f"idbridge_fixture_{digest}_{name}"
 
     def raw(self, spark, name):
         return fixtures.VIEWS[name](spark, self.sf_dir)
 
+    def table(self, spark, name, columns=None):
+        view = self._view_name(name)
+        if not spark.catalog.tableExists(view):
+            check_schema(self.raw(spark, name), name).createOrReplaceTempView(view)
+        df = spark.table(view)
+        return df.select(*columns) if columns else df
+
 
 class ParquetTables(Tables):
     """One parquet folder (or file) per table under ``root``.
