@@ -34,7 +34,7 @@ def duplicate_rows(df: DataFrame, key: str, *, sort: bool = True,
     keyed = add_key(df, key)
     counts = _counts(keyed.select(*KEY_COLS), KEY_COLS)
     dup_keys = counts.where(F.col(COUNT) > 1).select(*KEY_COLS)
-    hot = hot_from_counts(counts, KEY_COLS, policy) if policy.enabled else None
+    hot = hot_from_counts(counts, KEY_COLS, policy)
     rows = skew_join(keyed, dup_keys, KEY_COLS, "left_semi", policy=policy, hot=hot).drop(*KEY_COLS)
     return sorted_report(rows, key) if sort else rows
 

@@ -16,13 +16,16 @@ that task runs the whole key alone. ``skew_join`` splits such keys:
 4. The join runs on ``keys + salt``; a hot key is spread over ``splits``
    tasks, each with ``rows_per_split`` probe rows or fewer.
 
-With no hot key the extra work is one aggregate of the key columns and a
-join against an empty broadcast table. Adaptive skew-join handling stays on
-as a second line of defence.
+When the build side is small enough for the planner to broadcast it, the
+probe side is not shuffled and the split is skipped. With no hot key the
+extra work is one aggregate of the key columns and a join against an empty
+broadcast table. Adaptive skew-join handling stays on as a second line of
+defence.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -79,6 +82,34 @@ def hot_keys(df: DataFrame, keys: list[str], policy: SkewPolicy) -> DataFrame:
     return hot_from_counts(key_counts(df.select(*keys), keys), keys, policy)
 
 
+def planned_as_broadcast(df: DataFrame) -> bool:
+    """True when Spark's planner will broadcast ``df`` as a join build side.
+
+    The same size check the planner applies (estimated plan size against
+    ``spark.sql.autoBroadcastJoinThreshold``). A broadcast join does not
+    shuffle the probe side, so no key can concentrate in one task and no
+    split is needed. Adaptive execution re-checks the size at run time.
+    """
+    limit = byte_size(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
+    if limit <= 0:
+        return False
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30,
+          "t": 1 << 40, "tb": 1 << 40}
+
+
+def byte_size(text: str) -> int:
+    """Parse a Spark byte-size setting such as ``10485760b``, ``10MB`` or ``-1``."""
+    m = re.fullmatch(r"\s*(-?)(\d+)\s*([a-z]*)\s*", str(text).lower())
+    if m is None:
+        raise ValueError(f"not a byte size: {text!r}")
+    value = int(m.group(2)) * _UNITS.get(m.group(3) or "b", 1)
+    return -value if m.group(1) else value
+
+
 def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", *,
               policy: SkewPolicy | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Equi-join on non-null key columns ``keys`` (same names on both sides).
@@ -92,7 +123,7 @@ def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     if how in ("inner", "left"):
         out_cols += [c for c in right.columns if c not in keys]
     policy = policy or SkewPolicy.from_session(left.sparkSession)
-    if not policy.enabled:
+    if not policy.enabled or planned_as_broadcast(right):
         return left.join(right, keys, how).select(*out_cols)
 
     hot = F.broadcast(hot if hot is not None else hot_keys(left, keys, policy))

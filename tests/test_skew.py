@@ -12,6 +12,24 @@ SPLIT = SkewPolicy(hot_rows=50, rows_per_split=100, max_splits=8, max_hot_keys=1
 OFF = SkewPolicy(hot_rows=0)
 
 
+@pytest.fixture(autouse=True)
+def no_broadcast(spark):
+    # force shuffle joins: a broadcast build side never needs splitting
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_broadcast_side_is_not_split(spark, skewed, scratch):
+    left, right = skewed
+    right.write.parquet(f"{scratch}/right")  # file-backed, so the planner knows its size
+    right = spark.read.parquet(f"{scratch}/right")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    out = skew_join(left, right, KEY_COLS, "left", policy=SPLIT)
+    assert "_salt" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.fixture()
 def skewed(spark):
     # a third of the left rows on NULL, a quarter on one email, the rest spread
