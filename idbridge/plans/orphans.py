@@ -13,7 +13,8 @@ from idbridge.functions.dates import at_least_year
 from idbridge.operators.match import match_anti
 
 
-def transaction_orphans(transactions: DataFrame, members: DataFrame, min_year: int) -> DataFrame:
+def transaction_orphans(transactions: DataFrame, members: DataFrame, min_year: int,
+                        collation: str | None = None) -> DataFrame:
     """``SELECT DISTINCT t.customer_email FROM transactions t LEFT JOIN members m
     ON m.email = t.customer_email WHERE t.member_id IS NULL AND t.customer_email
     IS NOT NULL AND YEAR(t.date) >= min_year AND m.id IS NULL``.
@@ -21,12 +22,20 @@ def transaction_orphans(transactions: DataFrame, members: DataFrame, min_year: i
     Raw emails, compared as SQL does (NULL matches nothing). The left join
     with ``m.id IS NULL`` keeps a transaction exactly when no member with a
     non-NULL id has its email: an anti join against those members.
+
+    Emails compare byte for byte. A source database compares with its column
+    collation; ``collation="UTF8_LCASE"`` gives the case-insensitive one for
+    the join (DISTINCT stays exact).
     """
     t = (transactions
          .where(F.col("member_id").isNull() & F.col("customer_email").isNotNull()
                 & at_least_year(transactions, "date", min_year))
          .select("customer_email").distinct())
-    m = members.where(F.col("id").isNotNull()).select("email")
+    m = members.where(F.col("id").isNotNull()).select("email").distinct()
+    if collation:
+        # the left side holds distinct emails, so this join cannot be skewed
+        on = F.collate(t.customer_email, collation) == F.collate(m.email, collation)
+        return t.join(m, on, "left_anti")
     return match_anti(t, m, "customer_email", "email", null_safe=False, split_hot=False)
 
 

@@ -207,6 +207,7 @@ class TransactionOrphans:
     transactions: DataFrame
     members: DataFrame
     min_year: int = 2026
+    collation: str | None = None
 
     @classmethod
     def from_tables(cls, spark: SparkSession, src: Tables, min_year: int = 2026) -> "TransactionOrphans":
@@ -218,7 +219,7 @@ class TransactionOrphans:
 
     @property
     def orphans_raw(self) -> DataFrame:
-        return transaction_orphans(self.transactions, self.members, self.min_year)
+        return transaction_orphans(self.transactions, self.members, self.min_year, self.collation)
 
     @property
     def orphans(self) -> DataFrame:

@@ -46,7 +46,8 @@ def test_jdbc_round_trip_with_partitioned_read(spark, derby):
     # the same job over JDBC sources gives the same mapping as over parquet
     via_jdbc = UserMapping.from_tables(spark, src, src).mapped
     via_files = UserMapping.from_tables(spark, fx, fx).mapped
-    assert rows(via_jdbc) == rows(via_files)
+    mixed = UserMapping.from_tables(spark, users_src=src, members_src=fx).mapped
+    assert rows(via_jdbc) == rows(via_files) == rows(mixed)
 
 
 def test_jdbc_query_source_and_filter_pushdown(spark, derby):

@@ -67,3 +67,17 @@ def test_numeric_key_null_safe(spark):
     out = match_left(inv, resv, "reservation_id")
     # NULL matches NULL; 0 (the key filler) does not match NULL
     assert rows(out) == sorted([(10, 1, "M1"), (11, None, "MN"), (12, 0, None)], key=repr)
+
+
+def test_transaction_orphans_raw_and_collated(spark):
+    import datetime as dt
+
+    from idbridge.plans.orphans import transaction_orphans
+    d = dt.datetime(2026, 3, 1)
+    trans = spark.createDataFrame(
+        [(1, "A@x", None, d), (2, "A@x", None, d), (3, "b@x", None, d), (4, "c@x", "M1", d),
+         (5, None, None, d), (6, "d@x", None, dt.datetime(2025, 12, 31))],
+        "id long, customer_email string, member_id string, date timestamp_ntz")
+    members = spark.createDataFrame([("M1", "a@x"), ("M2", "b@x"), (None, "q@x")], "id string, email string")
+    assert rows(transaction_orphans(trans, members, 2026)) == [("A@x",)]
+    assert transaction_orphans(trans, members, 2026, collation="UTF8_LCASE").count() == 0
