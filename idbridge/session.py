@@ -13,12 +13,15 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings every run wants: adaptive execution re-plans joins from measured
-# shuffle sizes, coalesces small partitions and splits skewed ones.
-ADAPTIVE_CONF = {
+# shuffle sizes, coalesces small partitions and splits skewed ones. Python
+# call-site capture (error context only) costs four JVM round trips per API
+# call while plans are built, so it is off.
+SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -29,7 +32,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                .config("spark.driver.host", "127.0.0.1")
                .config("spark.driver.memory", "8g")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
-    for k, v in {**ADAPTIVE_CONF, **(extra or {})}.items():
+    for k, v in {**SESSION_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
