@@ -2,25 +2,32 @@
 
 A shuffle join sends every row of one key to one task. When one key holds a
 large share of a table (NULL or a placeholder email is the usual case),
-that task runs the whole key alone. ``skew_join`` splits such keys:
-
-1. ``hot_keys`` counts rows per key with a partial (map-side) aggregate and
-   keeps the heaviest keys above ``hot_rows`` rows: at most
-   ``max_hot_keys`` rows, so broadcasting it is bounded by construction.
-2. Rows of a hot key on the probe (left) side get a salt in
-   ``[0, splits)``, a hash of the whole row, so a retried task assigns the
-   same salt. Cold keys get salt 0.
-3. Rows of a hot key on the build (right) side are copied once per salt.
-   Every left row still meets every right row of its key exactly once, so
-   inner, left, semi and anti joins keep their meaning.
-4. The join runs on ``keys + salt``; a hot key is spread over ``splits``
-   tasks, each with ``rows_per_split`` probe rows or fewer.
+that task runs the whole key alone. ``skew_join`` splits such keys on both
+sides:
+
+1. Rows per key are counted on each side with a partial (map-side)
+   aggregate. The heaviest keys above ``hot_rows`` rows on either side form
+   the hot table: at most ``2 * max_hot_keys`` rows, so broadcasting it is
+   bounded by construction. Each hot key gets ``a`` probe parts and ``b``
+   build parts, from its row counts and ``rows_per_split``.
+2. A probe (left) row of a hot key takes part ``i`` in ``[0, a)``, a hash of
+   the whole row, so a retried task assigns the same part; it is copied to
+   every build part ``j`` in ``[0, b)``. A build (right) row takes part ``j``
+   by hash and is copied to every ``i``. Cold keys have ``a = b = 1``.
+3. The join runs on ``keys + (i, j)``: each left row meets each right row
+   of its key in exactly one cell, and a hot key is spread over ``a * b``
+   tasks with at most about ``rows_per_split`` rows from each side.
+4. Left joins: when ``b > 1`` the key has build rows, so every left row has
+   a match; a copy that lands in an empty build part emits a null-extended
+   row that is an artefact and is dropped (build rows carry a marker).
+   Semi and anti joins only need the build side's distinct keys, so ``b`` is
+   always 1 for them.
 
 When the build side is small enough for the planner to broadcast it, the
-probe side is not shuffled and the split is skipped. With no hot key the
-extra work is one aggregate of the key columns and a join against an empty
-broadcast table. Adaptive skew-join handling stays on as a second line of
-defence.
+probe side is not shuffled and nothing is split. With no hot key the extra
+work is the key-count aggregates and joins against an empty broadcast
+table, which adaptive execution removes at run time. Adaptive skew-join
+handling stays on as a second line of defence.
 """
 
 from __future__ import annotations
@@ -28,11 +35,13 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-SALT = "_salt"
-SPLITS = "_splits"
+PART_L, PART_R = "_part_l", "_part_r"     # cell coordinates i, j
+SPLIT_L, SPLIT_R = "_split_l", "_split_r"  # a, b per hot key
+MARK = "_build_row"
 COUNT = "_n"
+COUNT_L, COUNT_R = "_n_l", "_n_r"
 
 JOIN_TYPES = {"inner", "left", "left_semi", "left_anti"}
 
@@ -62,24 +71,60 @@ class SkewPolicy:
     def enabled(self) -> bool:
         return self.hot_rows > 0
 
+    def parts(self, rows_col: str) -> Column:
+        """Parts for a key with ``rows_col`` rows: 1 up to ``rows_per_split`` rows."""
+        n = F.coalesce(F.col(rows_col), F.lit(0))
+        return F.least(F.lit(self.max_splits),
+                       F.greatest(F.lit(1), F.ceil(n / F.lit(self.rows_per_split)))).cast("int")
+
+
+def key_counts(df: DataFrame, keys: list[str], name: str = COUNT) -> DataFrame:
+    """Rows per key; the partial aggregate runs before the shuffle."""
+    return df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+
+
+def _heaviest(counts: DataFrame, count_col: str, policy: SkewPolicy) -> DataFrame:
+    return (counts.where(F.col(count_col) >= policy.hot_rows)
+            .orderBy(F.col(count_col).desc()).limit(policy.max_hot_keys))
+
 
 def hot_from_counts(counts: DataFrame, keys: list[str], policy: SkewPolicy,
                     count_col: str = COUNT) -> DataFrame:
-    """Hot keys with their split count from a per-key count table."""
-    splits = F.least(F.lit(policy.max_splits),
-                     F.greatest(F.lit(2), F.ceil(F.col(count_col) / F.lit(policy.rows_per_split))))
-    return (counts.where(F.col(count_col) >= policy.hot_rows)
-            .orderBy(F.col(count_col).desc()).limit(policy.max_hot_keys)
-            .select(*keys, splits.cast("int").alias(SPLITS)))
+    """Hot table for a join whose build side has at most one row per key
+    (semi/anti lookups, one-row-per-key tables), from probe-side counts."""
+    return (_heaviest(counts, count_col, policy)
+            .select(*keys, policy.parts(count_col).alias(SPLIT_L), F.lit(1).alias(SPLIT_R)))
 
 
-def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows per key; the partial aggregate runs before the shuffle."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(COUNT))
+def hot_keys(left: DataFrame, right: DataFrame | None, keys: list[str], policy: SkewPolicy) -> DataFrame:
+    """Hot table ``keys, _split_l, _split_r`` for joining ``left`` to ``right``.
+
+    ``right=None`` means the build side has at most one row per key.
+    """
+    lc = key_counts(left, keys, COUNT_L)
+    if right is None:
+        return hot_from_counts(lc, keys, policy, COUNT_L)
+    rc = key_counts(right, keys, COUNT_R)
+    heavy = (_heaviest(lc, COUNT_L, policy).select(*keys)
+             .union(_heaviest(rc, COUNT_R, policy).select(*keys)).distinct())
+    # exact counts of the (at most 2 * max_hot_keys) heavy keys on both sides
+    heavy_b = F.broadcast(heavy)
+    with_l = heavy.join(lc.join(heavy_b, keys, "inner"), keys, "left")
+    both = with_l.join(rc.join(heavy_b, keys, "inner"), keys, "left")
+    return both.select(*keys, policy.parts(COUNT_L).alias(SPLIT_L), policy.parts(COUNT_R).alias(SPLIT_R))
 
 
-def hot_keys(df: DataFrame, keys: list[str], policy: SkewPolicy) -> DataFrame:
-    return hot_from_counts(key_counts(df.select(*keys), keys), keys, policy)
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30,
+          "t": 1 << 40, "tb": 1 << 40}
+
+
+def byte_size(text: str) -> int:
+    """Parse a Spark byte-size setting such as ``10485760b``, ``10MB`` or ``-1``."""
+    m = re.fullmatch(r"\s*(-?)(\d+)\s*([a-z]*)\s*", str(text).lower())
+    if m is None:
+        raise ValueError(f"not a byte size: {text!r}")
+    value = int(m.group(2)) * _UNITS.get(m.group(3) or "b", 1)
+    return -value if m.group(1) else value
 
 
 def planned_as_broadcast(df: DataFrame) -> bool:
@@ -97,17 +142,14 @@ def planned_as_broadcast(df: DataFrame) -> bool:
     return int(str(size)) <= limit
 
 
-_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30,
-          "t": 1 << 40, "tb": 1 << 40}
+def _copies(n_col: str) -> Column:
+    return F.explode(F.when(F.col(n_col).isNull(), F.array(F.lit(0)))
+                     .otherwise(F.sequence(F.lit(0), F.col(n_col) - 1)))
 
 
-def byte_size(text: str) -> int:
-    """Parse a Spark byte-size setting such as ``10485760b``, ``10MB`` or ``-1``."""
-    m = re.fullmatch(r"\s*(-?)(\d+)\s*([a-z]*)\s*", str(text).lower())
-    if m is None:
-        raise ValueError(f"not a byte size: {text!r}")
-    value = int(m.group(2)) * _UNITS.get(m.group(3) or "b", 1)
-    return -value if m.group(1) else value
+def _part(df: DataFrame, n_col: str) -> Column:
+    h = F.xxhash64(*[F.col(c) for c in df.columns if c not in (SPLIT_L, SPLIT_R)])
+    return F.when(F.col(n_col).isNull(), F.lit(0)).otherwise(F.pmod(h, F.col(n_col)).cast("int"))
 
 
 def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", *,
@@ -115,26 +157,32 @@ def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     """Equi-join on non-null key columns ``keys`` (same names on both sides).
 
     Output: left columns, then right non-key columns (none for semi/anti).
-    ``hot`` may pass a precomputed hot-key table (``hot_from_counts``).
+    ``hot`` may pass a precomputed hot table (``hot_from_counts``).
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"join type {how!r} not in {sorted(JOIN_TYPES)}")
     out_cols = list(left.columns)
-    if how in ("inner", "left"):
+    lookup_only = how in ("left_semi", "left_anti")
+    if lookup_only:
+        right = right.select(*keys).distinct()
+    else:
         out_cols += [c for c in right.columns if c not in keys]
     policy = policy or SkewPolicy.from_session(left.sparkSession)
     if not policy.enabled or planned_as_broadcast(right):
         return left.join(right, keys, how).select(*out_cols)
 
-    hot = F.broadcast(hot if hot is not None else hot_keys(left, keys, policy))
-    row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
-    salted_left = (left.join(hot, keys, "left")
-                   .withColumn(SALT, F.when(F.col(SPLITS).isNull(), F.lit(0))
-                               .otherwise(F.pmod(row_hash, F.col(SPLITS)).cast("int")))
-                   .drop(SPLITS))
-    copies = F.when(F.col(SPLITS).isNull(), F.array(F.lit(0))).otherwise(
-        F.sequence(F.lit(0), F.col(SPLITS) - 1))
-    copied_right = (right.join(hot, keys, "left")
-                    .withColumn(SALT, F.explode(copies))
-                    .drop(SPLITS))
-    return salted_left.join(copied_right, keys + [SALT], how).select(*out_cols)
+    if hot is None:
+        hot = hot_keys(left, None if lookup_only else right, keys, policy)
+    hot = F.broadcast(hot)
+    lt = left.join(hot, keys, "left")
+    lt = lt.withColumn(PART_L, _part(lt, SPLIT_L)).withColumn(PART_R, _copies(SPLIT_R))
+    rt = right.join(hot, keys, "left")
+    rt = rt.withColumn(PART_R, _part(rt, SPLIT_R)).withColumn(PART_L, _copies(SPLIT_L))
+    rt = rt.drop(SPLIT_L, SPLIT_R)
+    if how == "left":
+        rt = rt.withColumn(MARK, F.lit(True))
+    out = lt.join(rt, keys + [PART_L, PART_R], how)
+    if how == "left":
+        # b > 1 means the key has build rows: a null-extended copy is an artefact
+        out = out.where(F.col(MARK).isNotNull() | (F.coalesce(F.col(SPLIT_R), F.lit(1)) <= 1))
+    return out.select(*out_cols)

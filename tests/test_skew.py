@@ -27,7 +27,7 @@ def test_broadcast_side_is_not_split(spark, skewed, scratch):
     right = spark.read.parquet(f"{scratch}/right")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
     out = skew_join(left, right, KEY_COLS, "left", policy=SPLIT)
-    assert "_salt" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert "_part_l" not in out._jdf.queryExecution().optimizedPlan().toString()
 
 
 @pytest.fixture()
@@ -55,18 +55,55 @@ def test_split_join_equals_plain_join(skewed, how):
 
 def test_hot_keys_are_bounded_and_split(skewed):
     left, _ = skewed
-    hot = hot_keys(left, KEY_COLS, SPLIT).collect()
+    hot = hot_keys(left, None, KEY_COLS, SPLIT).collect()
     assert len(hot) == 2  # NULL (800 rows) and hot@x (600 rows)
-    assert all(2 <= r["_splits"] <= SPLIT.max_splits for r in hot)
+    assert all(2 <= r["_split_l"] <= SPLIT.max_splits and r["_split_r"] == 1 for r in hot)
     tight = SkewPolicy(hot_rows=1, rows_per_split=100, max_splits=8, max_hot_keys=3)
-    assert len(hot_keys(left, KEY_COLS, tight).collect()) == 3
+    assert len(hot_keys(left, None, KEY_COLS, tight).collect()) == 3
+
+
+@pytest.fixture()
+def both_hot(spark):
+    # NULL is hot on both sides; "big@x" only on the build side; "lone@x" only on the probe side
+    left = spark.range(900).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, F.lit(None))
+         .when(F.col("id") % 3 == 1, F.lit("lone@x"))
+         .otherwise(F.concat(F.lit("u"), (F.col("id") % 50).cast("string"), F.lit("@x"))).alias("email"))
+    left = left.union(spark.createDataFrame([(5000, "big@x"), (5001, "big@x")], "id long, email string"))
+    right = spark.range(700).select(
+        F.concat(F.lit("M"), F.col("id").cast("string")).alias("member_id"),
+        F.when(F.col("id") % 2 == 0, F.lit(None))
+         .when(F.col("id") % 4 == 1, F.lit("big@x"))
+         .otherwise(F.concat(F.lit("u"), (F.col("id") % 60).cast("string"), F.lit("@x"))).alias("email"))
+    return add_key(left, "email"), add_key(right, "email").drop("email")
+
+
+def test_build_side_hot_keys_get_build_parts(both_hot):
+    left, right = both_hot
+    hot = {(r["_k_null"], r["_k_val"]): (r["_split_l"], r["_split_r"])
+           for r in hot_keys(left, right, KEY_COLS, SPLIT).collect()}
+    assert hot[(True, "")][0] >= 2 and hot[(True, "")][1] >= 2   # NULL: 300 probe, 350 build rows
+    assert hot[(False, "big@x")] == (1, 2)                        # 2 probe, 175 build rows
+    assert hot[(False, "lone@x")] == (3, 1)                       # 300 probe, no build rows
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_two_sided_split_equals_plain_join(both_hot, how):
+    left, right = both_hot
+    split = skew_join(left, right, KEY_COLS, how, policy=SPLIT)
+    plain = skew_join(left, right, KEY_COLS, how, policy=OFF)
+    assert rows(split) == rows(plain)
+    if how == "left":
+        # every left row kept; rows with no build match appear once, null-extended
+        assert split.select("id").distinct().count() == left.count()
 
 
 def test_hot_key_rows_spread_over_salts(skewed):
     left, right = skewed
     out = skew_join(left, right, KEY_COLS, "left", policy=SPLIT)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan
+    assert "_part_l" in plan
     # each left row appears once per matching right row, never more
     per_id = out.groupBy("id").count()
     assert per_id.where("count > 3").count() == 0
