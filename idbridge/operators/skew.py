@@ -9,7 +9,8 @@ sides:
    aggregate. The heaviest keys above ``hot_rows`` rows on either side form
    the hot table: at most ``2 * max_hot_keys`` rows, so broadcasting it is
    bounded by construction. Each hot key gets ``a`` probe parts and ``b``
-   build parts, from its row counts and ``rows_per_split``.
+   build parts from its row counts and ``rows_per_split`` (one part on a
+   side where it is not heavy).
 2. A probe (left) row of a hot key takes part ``i`` in ``[0, a)``, a hash of
    the whole row, so a retried task assigns the same part; it is copied to
    every build part ``j`` in ``[0, b)``. A build (right) row takes part ``j``
@@ -105,12 +106,12 @@ def hot_keys(left: DataFrame, right: DataFrame | None, keys: list[str], policy:
     if right is None:
         return hot_from_counts(lc, keys, policy, COUNT_L)
     rc = key_counts(right, keys, COUNT_R)
-    heavy = (_heaviest(lc, COUNT_L, policy).select(*keys)
-             .union(_heaviest(rc, COUNT_R, policy).select(*keys)).distinct())
-    # exact counts of the (at most 2 * max_hot_keys) heavy keys on both sides
-    heavy_b = F.broadcast(heavy)
-    with_l = heavy.join(lc.join(heavy_b, keys, "inner"), keys, "left")
-    both = with_l.join(rc.join(heavy_b, keys, "inner"), keys, "left")
+    # A key heavy on one side only gets one part on the other side: there it
+    # has fewer than hot_rows rows (or is outside the top list), which one task holds.
+    heavy_l = _heaviest(lc, COUNT_L, policy).select(*keys, COUNT_L, F.lit(None).cast("long").alias(COUNT_R))
+    heavy_r = _heaviest(rc, COUNT_R, policy).select(*keys, F.lit(None).cast("long").alias(COUNT_L), COUNT_R)
+    both = (heavy_l.unionByName(heavy_r).groupBy(*keys)
+            .agg(F.max(COUNT_L).alias(COUNT_L), F.max(COUNT_R).alias(COUNT_R)))
     return both.select(*keys, policy.parts(COUNT_L).alias(SPLIT_L), policy.parts(COUNT_R).alias(SPLIT_R))
 
 
