@@ -68,7 +68,7 @@ def smallest_two(lookup: DataFrame, lookup_col: str, value_col: str, *, null_saf
 def update_from_lookup(target: DataFrame, *, key: str, match_col: str, set_col: str,
                        lookup: DataFrame, lookup_col: str, value_col: str,
                        guard: str = "null_safe", null_safe_match: bool = True, stable: bool = False,
-                       policy: SkewPolicy | None = None) -> UpdatePlan:
+                       candidates: DataFrame | None = None, policy: SkewPolicy | None = None) -> UpdatePlan:
     """``UPDATE target SET set_col = s.value FROM staged s WHERE <guard>``.
 
     Staged candidates of a target row: ``lookup.value_col`` of the lookup rows
@@ -77,12 +77,15 @@ def update_from_lookup(target: DataFrame, *, key: str, match_col: str, set_col:
     ``current != value``, three-valued) or ``"null_safe"``
     (``NOT current <=> value``). ``stable=True`` leaves a row alone when its
     current value is one of its candidates, so reruns cannot flip it.
+    ``candidates`` may pass ``smallest_two(lookup, ...)`` computed (and
+    checkpointed) once for several updates.
     """
     if guard not in GUARDS:
         raise ValueError(f"guard {guard!r} not in {GUARDS}")
     policy = policy or SkewPolicy.from_session(target.sparkSession)
     cols = target.columns
-    top2 = smallest_two(lookup, lookup_col, value_col, null_safe_match=null_safe_match)
+    top2 = candidates if candidates is not None else smallest_two(
+        lookup, lookup_col, value_col, null_safe_match=null_safe_match)
     joined = skew_join(add_key(target, match_col), top2, KEY_COLS, "left", policy=policy)
     cur, c1, c2 = F.col(set_col), F.col(_C1), F.col(_C2)
     winner = F.when(_passes(guard, cur, c1), c1).when(_passes(guard, cur, c2), c2)

@@ -158,32 +158,38 @@ class AssociationRepair:
         return remap_id(self._inv(), resv, "reservation_id", "reservation_id", "member_id", "member_id")
 
     # updates (full new tables) ------------------------------------------
-    def _update_by_email(self, table: DataFrame, email_col: str, set_col: str) -> UpdatePlan:
+    @property
+    def member_candidates(self) -> DataFrame:
+        """Per clean email, the two smallest member ids: all any update needs."""
+        return smallest_two(self.clean_members, "email", "member_id")
+
+    def _update_by_email(self, table: DataFrame, email_col: str, set_col: str,
+                         candidates: DataFrame | None) -> UpdatePlan:
         target = table.withColumn(_CLEAN, sanitize_email(email_col))
         plan = update_from_lookup(target, key="id", match_col=_CLEAN, set_col=set_col,
                                   lookup=self.clean_members, lookup_col="email", value_col="member_id",
-                                  guard="null_safe")
+                                  guard="null_safe", candidates=candidates)
         return UpdatePlan(plan.table.drop(_CLEAN), plan.changes)
 
-    def update_transactions(self) -> UpdatePlan:
-        return self._update_by_email(self.transactions, "customer_email", "member_id")
+    def update_transactions(self, candidates: DataFrame | None = None) -> UpdatePlan:
+        return self._update_by_email(self.transactions, "customer_email", "member_id", candidates)
 
-    def update_reservations(self) -> UpdatePlan:
-        return self._update_by_email(self.reservations, "customer_email", "member_id")
+    def update_reservations(self, candidates: DataFrame | None = None) -> UpdatePlan:
+        return self._update_by_email(self.reservations, "customer_email", "member_id", candidates)
 
-    def _repaired_reservation_candidates(self) -> DataFrame:
+    def _repaired_reservation_candidates(self, candidates: DataFrame | None) -> DataFrame:
         """``reservation_id, member_id`` rows of the repaired reservations,
         at most two per reservation (its email's two smallest member ids, or
         its own member id when no member has the email). Enough for the
         smallest-two rule, without the fan-out of the staging table."""
-        top2 = smallest_two(self.clean_members, "email", "member_id")
+        top2 = candidates if candidates is not None else self.member_candidates
         cand = skew_join(add_key(self._resv(), "customer_email"), top2, KEY_COLS, "left")
         values = F.when(F.col("_cand1").isNotNull(), F.array("_cand1", "_cand2")).otherwise(F.array("member_id"))
         return cand.select("reservation_id", F.explode(values).alias("member_id"))
 
-    def update_invoices(self, cascade: bool = False) -> UpdatePlan:
+    def update_invoices(self, cascade: bool = False, candidates: DataFrame | None = None) -> UpdatePlan:
         if cascade:
-            lookup = self._repaired_reservation_candidates()
+            lookup = self._repaired_reservation_candidates(candidates)
         else:
             lookup = self.reservations.select(F.col("id").alias("reservation_id"), "member_id")
         return update_from_lookup(self.invoices, key="id", match_col="reservation_id", set_col="customer_id",
@@ -191,11 +197,17 @@ class AssociationRepair:
                                   guard="null_safe")
 
     def run(self, out_root: str, *, cascade: bool = False, run_id: str | None = None) -> dict[str, str]:
-        """Write the three repaired tables, then one manifest naming all three."""
+        """Write the three repaired tables, then one manifest naming all three.
+
+        The member candidate table feeds all three updates, so it is computed
+        once and checkpointed; a lost executor then costs a re-read, not a
+        recomputation from the member table.
+        """
+        cands = materialize(self.member_candidates)
         return publish(self.members.sparkSession, {
-            "transactions": self.update_transactions().table,
-            "reservations": self.update_reservations().table,
-            "invoices": self.update_invoices(cascade).table,
+            "transactions": self.update_transactions(cands).table,
+            "reservations": self.update_reservations(cands).table,
+            "invoices": self.update_invoices(cascade, cands).table,
         }, out_root, run_id=run_id)
 
 

@@ -99,3 +99,14 @@ def test_materialize_uses_session_checkpoint_dir(spark):
     df = spark.range(10).selectExpr("id", "uuid() AS u")
     m = materialize(df)
     assert rows(m) == rows(m)  # the random column is fixed once written
+
+
+def test_association_repair_run_publishes_three_tables(spark, scratch):
+    from idbridge.plans.pipelines import AssociationRepair
+    fx = FixtureTables(SF_SMALL)
+    job = AssociationRepair.from_tables(spark, fx)
+    paths = job.run(scratch, cascade=True, run_id="p2")
+    assert sorted(paths) == ["invoices", "reservations", "transactions"]
+    for name, plan in [("transactions", job.update_transactions()), ("reservations", job.update_reservations()),
+                       ("invoices", job.update_invoices(cascade=True))]:
+        assert rows(read_published(spark, scratch, "p2", name)) == rows(plan.table)
