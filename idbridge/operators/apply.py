@@ -86,7 +86,7 @@ def update_from_lookup(target: DataFrame, *, key: str, match_col: str, set_col:
     cols = target.columns
     top2 = candidates if candidates is not None else smallest_two(
         lookup, lookup_col, value_col, null_safe_match=null_safe_match)
-    joined = skew_join(add_key(target, match_col), top2, KEY_COLS, "left", policy=policy)
+    joined = skew_join(add_key(target, match_col), top2, KEY_COLS, "left", policy=policy, unique_right=True)
     cur, c1, c2 = F.col(set_col), F.col(_C1), F.col(_C2)
     winner = F.when(_passes(guard, cur, c1), c1).when(_passes(guard, cur, c2), c2)
     if stable:
@@ -95,7 +95,8 @@ def update_from_lookup(target: DataFrame, *, key: str, match_col: str, set_col:
         if not null_safe_match:
             members = members.where(~F.col(KEY_NULL))
         members = members.select(*KEY_COLS, _CUR).distinct().withColumn(_HIT, F.lit(True))
-        joined = skew_join(joined.withColumn(_CUR, cur), members, KEY_COLS + [_CUR], "left", policy=policy)
+        joined = skew_join(joined.withColumn(_CUR, cur), members, KEY_COLS + [_CUR], "left", policy=policy,
+                           unique_right=True)
         winner = F.when(F.col(_HIT).isNull(), winner)
     decided = joined.withColumn("_new", winner)
     table = decided.withColumn(set_col, F.coalesce(F.col("_new"), cur)).select(*cols)

@@ -154,11 +154,14 @@ def _part(df: DataFrame, n_col: str) -> Column:
 
 
 def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", *,
-              policy: SkewPolicy | None = None, hot: DataFrame | None = None) -> DataFrame:
+              policy: SkewPolicy | None = None, hot: DataFrame | None = None,
+              unique_right: bool = False) -> DataFrame:
     """Equi-join on non-null key columns ``keys`` (same names on both sides).
 
     Output: left columns, then right non-key columns (none for semi/anti).
     ``hot`` may pass a precomputed hot table (``hot_from_counts``).
+    ``unique_right`` says the build side has at most one row per key (a
+    per-key table), so only the probe side is counted and split.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"join type {how!r} not in {sorted(JOIN_TYPES)}")
@@ -173,7 +176,7 @@ def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
         return left.join(right, keys, how).select(*out_cols)
 
     if hot is None:
-        hot = hot_keys(left, None if lookup_only else right, keys, policy)
+        hot = hot_keys(left, None if (lookup_only or unique_right) else right, keys, policy)
     hot = F.broadcast(hot)
     lt = left.join(hot, keys, "left")
     lt = lt.withColumn(PART_L, _part(lt, SPLIT_L)).withColumn(PART_R, _copies(SPLIT_R))

@@ -183,7 +183,7 @@ class AssociationRepair:
         its own member id when no member has the email). Enough for the
         smallest-two rule, without the fan-out of the staging table."""
         top2 = candidates if candidates is not None else self.member_candidates
-        cand = skew_join(add_key(self._resv(), "customer_email"), top2, KEY_COLS, "left")
+        cand = skew_join(add_key(self._resv(), "customer_email"), top2, KEY_COLS, "left", unique_right=True)
         values = F.when(F.col("_cand1").isNotNull(), F.array("_cand1", "_cand2")).otherwise(F.array("member_id"))
         return cand.select("reservation_id", F.explode(values).alias("member_id"))
 
