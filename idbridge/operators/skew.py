@@ -139,8 +139,11 @@ def planned_as_broadcast(df: DataFrame) -> bool:
     limit = byte_size(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
     if limit <= 0:
         return False
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
+    qe = df._jdf.queryExecution()
+    # the analysed plan's estimate is cheap and rarely below the optimised one
+    if int(str(qe.analyzed().stats().sizeInBytes())) <= limit:
+        return True
+    return int(str(qe.optimizedPlan().stats().sizeInBytes())) <= limit
 
 
 def _copies(n_col: str) -> Column:
