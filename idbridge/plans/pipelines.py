@@ -229,6 +229,10 @@ class TransactionOrphans:
     def clean_members(self) -> DataFrame:
         return clean_members(self.members)
 
+    @property
+    def dup_members(self) -> DataFrame:
+        return duplicate_rows(self.clean_members, "email")
+
     @property
     def orphans_raw(self) -> DataFrame:
         return transaction_orphans(self.transactions, self.members, self.min_year, self.collation)
@@ -273,6 +277,10 @@ class TicketOrphans:
     def clean_members(self) -> DataFrame:
         return clean_members(self.members)
 
+    @property
+    def dup_members(self) -> DataFrame:
+        return duplicate_rows(self.clean_members, "email")
+
     @property
     def orphans_raw(self) -> DataFrame:
         return ticket_orphans(self.tickets, self.users)

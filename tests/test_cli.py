@@ -1,0 +1,57 @@
+"""The command-line runner over parquet and JDBC environments."""
+
+from __future__ import annotations
+
+import json
+import uuid
+
+from pyspark.sql import functions as F
+
+from idbridge.__main__ import main
+from idbridge.operators.sinks import read_published, write_jdbc
+from idbridge.plans.pipelines import AssociationRepair, TicketOrphans, UserMapping
+from idbridge.sources import MEMBER_INSERT, FixtureTables, JdbcConnection, JdbcTables
+from tests.conftest import SF_SMALL, rows
+
+
+def _envs(spark, scratch):
+    fx = FixtureTables(SF_SMALL)
+    for name in ("members", "users", "transactions", "reservations", "invoices", "tickets"):
+        fx.table(spark, name).write.parquet(f"{scratch}/lake/{name}")
+    db = f"memory:cli_{uuid.uuid4().hex[:8]};create=true"
+    # the member table holds every insert column; existing rows only id and email
+    full = fx.table(spark, "members").select(
+        *[F.col(f.name) if f.name in ("id", "email") else F.lit(None).cast(f.dataType).alias(f.name)
+          for f in MEMBER_INSERT.fields])
+    write_jdbc(full, JdbcConnection("derby", db), "MEMBERS", mode="overwrite")
+    envs = {"lake": {"kind": "parquet", "root": f"{scratch}/lake"},
+            "boe": {"kind": "derby", "database": db, "names": {"members": "MEMBERS"}}}
+    path = f"{scratch}/envs.json"
+    with open(path, "w") as f:
+        json.dump(envs, f)
+    return fx, path
+
+
+def test_cli_jobs(spark, scratch):
+    fx, env = _envs(spark, scratch)
+    out = f"{scratch}/out"
+    paths = main(["map-users", "--env", env, "--users", "lake", "--members", "boe", "--out", out,
+                  "--run-id", "m1"], spark)
+    assert {"users", "users_changes", "dup_members"} <= set(paths)
+    expect = UserMapping.from_tables(spark, fx, fx).update().table
+    assert rows(read_published(spark, out, "m1", "users")) == rows(expect)
+
+    paths = main(["repair-associations", "--env", env, "--source", "lake", "--out", out, "--run-id", "r1"], spark)
+    assert rows(read_published(spark, out, "r1", "invoices")) == rows(
+        AssociationRepair.from_tables(spark, fx).update_invoices().table)
+
+    paths = main(["transaction-orphans", "--env", env, "--source", "lake", "--out", f"{scratch}/rep",
+                  "--min-year", "1998", "--run-id", "t1"], spark)
+    assert set(paths) == {"dup_members", "dup_orphans", "unmatched", "matched"}
+
+    before = JdbcTables(JdbcConnection("derby", json.load(open(env))["boe"]["database"])).raw(spark, "MEMBERS").count()
+    got = main(["ticket-members", "--env", env, "--tickets", "lake", "--members", "boe", "--table", "MEMBERS",
+                "--run-id", "k1"], spark)
+    assert got["inserted"] == TicketOrphans.from_tables(spark, fx, fx).unmatched.count()
+    conn = JdbcConnection("derby", json.load(open(env))["boe"]["database"])
+    assert JdbcTables(conn).raw(spark, "MEMBERS").count() == before + got["inserted"]

@@ -110,3 +110,16 @@ def test_association_repair_run_publishes_three_tables(spark, scratch):
     for name, plan in [("transactions", job.update_transactions()), ("reservations", job.update_reservations()),
                        ("invoices", job.update_invoices(cascade=True))]:
         assert rows(read_published(spark, scratch, "p2", name)) == rows(plan.table)
+
+
+def test_stage_registers_a_temp_view(spark):
+    from idbridge.operators import stage
+    df = spark.createDataFrame([(1, "M1")], "id long, member_id string")
+    staged = stage(df, "stg_test_mapping")
+    assert spark.catalog.tableExists("stg_test_mapping")
+    assert rows(staged) == rows(spark.sql("SELECT * FROM stg_test_mapping")) == [(1, "M1")]
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from idbridge.session import checkpoint_dir
+    assert checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
