@@ -78,7 +78,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if args.job == "map-users":
         job = UserMapping.from_tables(spark, src(args.users), src(args.members))
         reports = {"dup_members": job.dup_members, "dup_users": job.dup_users, "dup_mapped": job.dup_mapped}
-        plan = job.update(null_safe=args.null_safe, stable=args.stable)
+        plan = job.update(null_safe=args.null_safe, stable=args.stable).materialized()
         return publish(spark, {**reports, "users": plan.table, "users_changes": plan.changes},
                        args.out, run_id=run_id)
     if args.job == "repair-associations":

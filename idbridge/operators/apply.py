@@ -32,10 +32,42 @@ GUARDS = ("sql", "null_safe")
 _V, _RN, _C1, _C2, _CUR, _HIT = "_v", "_rn", "_cand1", "_cand2", "_cur", "_hit"
 
 
+NEW = "_new"
+
+
 @dataclass
 class UpdatePlan:
-    table: DataFrame    # every target row, column updated
-    changes: DataFrame  # changed rows only: key, old value, new value
+    """One UPDATE: ``decided`` is every target row plus the value it gets
+    (``_new``, NULL when unchanged); the new table and the change list are
+    both projections of it, so checkpointing ``decided`` once
+    (``materialized``) serves both writes."""
+
+    decided: DataFrame
+    columns: list[str]
+    key: str
+    set_col: str
+
+    @property
+    def table(self) -> DataFrame:
+        """Every target row, column updated."""
+        return (self.decided.withColumn(self.set_col, F.coalesce(F.col(NEW), F.col(self.set_col)))
+                .select(*self.columns))
+
+    @property
+    def changes(self) -> DataFrame:
+        """Changed rows only: key, old value, new value."""
+        return self.decided.where(F.col(NEW).isNotNull()).select(
+            F.col(self.key), F.col(self.set_col).alias(f"old_{self.set_col}"),
+            F.col(NEW).alias(f"new_{self.set_col}"))
+
+    def without(self, *cols: str) -> "UpdatePlan":
+        """The same update with helper columns left out of ``table``."""
+        return UpdatePlan(self.decided, [c for c in self.columns if c not in cols], self.key, self.set_col)
+
+    def materialized(self) -> "UpdatePlan":
+        """Checkpoint ``decided`` (in ``spark.checkpoint.dir``) and plan on top of it."""
+        from idbridge.operators.sinks import materialize
+        return UpdatePlan(materialize(self.decided.select(*self.columns, NEW)), self.columns, self.key, self.set_col)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -98,11 +130,7 @@ def update_from_lookup(target: DataFrame, *, key: str, match_col: str, set_col:
         joined = skew_join(joined.withColumn(_CUR, cur), members, KEY_COLS + [_CUR], "left", policy=policy,
                            unique_right=True)
         winner = F.when(F.col(_HIT).isNull(), winner)
-    decided = joined.withColumn("_new", winner)
-    table = decided.withColumn(set_col, F.coalesce(F.col("_new"), cur)).select(*cols)
-    changes = decided.where(F.col("_new").isNotNull()).select(
-        F.col(key), cur.alias(f"old_{set_col}"), F.col("_new").alias(f"new_{set_col}"))
-    return UpdatePlan(table, changes)
+    return UpdatePlan(joined.withColumn(NEW, winner), cols, key, set_col)
 
 
 def member_inserts(unmatched: DataFrame, *, na_text: str | None = "NA", id_mode: str = "uuid") -> DataFrame:

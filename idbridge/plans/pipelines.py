@@ -90,7 +90,7 @@ class UserMapping:
             target, key="id", match_col=_CLEAN, set_col="hn_member_id",
             lookup=self.clean_members, lookup_col="email", value_col="member_id",
             guard="null_safe" if null_safe else "sql", stable=stable)
-        return UpdatePlan(plan.table.drop(_CLEAN), plan.changes)
+        return plan.without(_CLEAN)
 
     @property
     def summary_before(self) -> DataFrame:
@@ -169,7 +169,7 @@ class AssociationRepair:
         plan = update_from_lookup(target, key="id", match_col=_CLEAN, set_col=set_col,
                                   lookup=self.clean_members, lookup_col="email", value_col="member_id",
                                   guard="null_safe", candidates=candidates)
-        return UpdatePlan(plan.table.drop(_CLEAN), plan.changes)
+        return plan.without(_CLEAN)
 
     def update_transactions(self, candidates: DataFrame | None = None) -> UpdatePlan:
         return self._update_by_email(self.transactions, "customer_email", "member_id", candidates)

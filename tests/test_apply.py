@@ -103,3 +103,11 @@ def test_preview_append(spark):
     table = spark.createDataFrame([("M1", "a@x")], "id string, email string")
     new = spark.createDataFrame([("p@x", "M2")], "email string, id string")
     assert rows(preview_append(table, new)) == [("M1", "a@x"), ("M2", "p@x")]
+
+
+def test_materialized_plan_gives_same_table_and_changes(target, lookup):
+    plan = _update(target, lookup, guard="null_safe")
+    m = plan.materialized()
+    assert rows(m.table) == rows(plan.table)
+    assert rows(m.changes) == rows(plan.changes)
+    assert m.without("email").table.columns == ["id", "member_id"]
