@@ -101,7 +101,7 @@ def update_from_lookup(target: DataFrame, *, key: str, match_col: str, set_col:
                        lookup: DataFrame, lookup_col: str, value_col: str,
                        guard: str = "null_safe", null_safe_match: bool = True, stable: bool = False,
                        candidates: DataFrame | None = None, policy: SkewPolicy | None = None) -> UpdatePlan:
-    """``UPDATE target SET set_col = s.value FROM staged s WHERE <guard>``.
+    """Set ``target.set_col`` from staged candidate values where ``guard`` allows.
 
     Staged candidates of a target row: ``lookup.value_col`` of the lookup rows
     whose ``lookup_col`` matches ``target.match_col`` (NULL matches NULL
@@ -134,8 +134,10 @@ def update_from_lookup(target: DataFrame, *, key: str, match_col: str, set_col:
 
 
 def member_inserts(unmatched: DataFrame, *, na_text: str | None = "NA", id_mode: str = "uuid") -> DataFrame:
-    """Rows for ``INSERT INTO members (...) SELECT UUID(), email, name, NULL, NULL, 0, 0,
-    CURRENT_TIMESTAMP, external_id, CURRENT_TIMESTAMP, member_since``.
+    """Rows to append to the member table, in its column order: a new id, the
+    email, ``first last`` as name, no phone or address, both verified flags
+    0, creation and update time now, the user id as ``external_id`` and the
+    user's creation time as ``member_since``.
 
     ``unmatched`` has ``user_id, email, fname, lname, created_at``. ``id_mode``
     ``"uuid"`` draws a random id per row (compute it once, right before the

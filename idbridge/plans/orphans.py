@@ -15,13 +15,13 @@ from idbridge.operators.match import match_anti
 
 def transaction_orphans(transactions: DataFrame, members: DataFrame, min_year: int,
                         collation: str | None = None) -> DataFrame:
-    """``SELECT DISTINCT t.customer_email FROM transactions t LEFT JOIN members m
-    ON m.email = t.customer_email WHERE t.member_id IS NULL AND t.customer_email
-    IS NOT NULL AND YEAR(t.date) >= min_year AND m.id IS NULL``.
+    """Distinct raw customer emails of transactions that have no member id,
+    have an email, fall in ``min_year`` or later, and whose email no member
+    holds.
 
-    Raw emails, compared as SQL does (NULL matches nothing). The left join
-    with ``m.id IS NULL`` keeps a transaction exactly when no member with a
-    non-NULL id has its email: an anti join against those members.
+    Raw emails, compared as SQL does (NULL matches nothing). "No member holds
+    it" means no member with a non-NULL id has that exact email, so this is
+    an anti join against those members.
 
     Emails compare byte for byte. A source database compares with its column
     collation; ``collation="UTF8_LCASE"`` gives the case-insensitive one for
@@ -40,9 +40,10 @@ def transaction_orphans(transactions: DataFrame, members: DataFrame, min_year: i
 
 
 def ticket_orphans(tickets: DataFrame, users: DataFrame) -> DataFrame:
-    """``SELECT DISTINCT t.user_id, u.email, u.fname, u.lname, u.created_at
-    FROM tickets t LEFT JOIN users u ON u.id = t.user_id
-    WHERE u.hn_member_id IS NULL AND (t.boe_event_id IS NOT NULL OR t.boe_ticket_id IS NOT NULL)``.
+    """Distinct ``user_id, email, fname, lname, created_at`` of ticket buyers
+    whose ticket has an event or ticket reference and whose user row has no
+    member id; a ticket whose user row is missing counts, with NULL user
+    columns (a left join from tickets to users on the user id).
 
     The output depends on a ticket only through ``user_id``, so distinct
     user ids are taken first; a user with millions of tickets is one row by

@@ -77,8 +77,8 @@ class UserMapping:
         return duplicate_rows(self.mapped, "email")
 
     def update(self, *, null_safe: bool = False, stable: bool = False) -> UpdatePlan:
-        """``UPDATE users SET hn_member_id = t.member_id FROM mapped t WHERE u.id = t.id
-        AND t.member_id IS NOT NULL AND u.hn_member_id != t.member_id``.
+        """Set ``users.hn_member_id`` to a staged member id of the same user
+        where that id is set and differs from the current one.
 
         As written, a user with no ``hn_member_id`` is never filled (``!=``
         with NULL is not true); ``null_safe=True`` uses ``IS DISTINCT FROM``.
