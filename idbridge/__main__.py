@@ -1,14 +1,14 @@
 """Run a reconciliation job from the command line.
 
-    python -m idbridge map-users          --env envs.json --users pg --members boe --out /lake/out
-    python -m idbridge repair-associations --env envs.json --source boe --out /lake/out [--cascade]
-    python -m idbridge transaction-orphans --env envs.json --source boe --out /lake/reports [--min-year 2026]
-    python -m idbridge ticket-members     --env envs.json --tickets pg --members boe [--out /lake/out]
+    python -m idbridge map-users          --env envs.json --users web --members crm --out /lake/out
+    python -m idbridge repair-associations --env envs.json --source crm --out /lake/out [--cascade]
+    python -m idbridge transaction-orphans --env envs.json --source crm --out /lake/reports [--min-year 2026]
+    python -m idbridge ticket-members     --env envs.json --tickets web --members crm [--out /lake/out]
 
 ``envs.json`` names the environments, one object each: either a database
 (``{"kind": "postgres", "host": ..., "port": ..., "database": ..., "user": ...,
-"password_env": "PG_PASS", "names": {"tickets": "boxoffice.tickets"}}``) or a
-parquet folder (``{"kind": "parquet", "root": "s3://lake/boe"}``). Passwords
+"password_env": "PG_PASS", "names": {"tickets": "sales.tickets"}}``) or a
+parquet folder (``{"kind": "parquet", "root": "s3://lake/crm"}``). Passwords
 are read from the named environment variables, never from the file.
 
 Reports are written as parquet under ``--out``; updated tables are published as

@@ -112,7 +112,7 @@ class ParquetTables(Tables):
     """One parquet folder (or file) per table under ``root``.
 
     ``names`` maps a logical name to a different folder, e.g. a
-    schema-qualified ``boxoffice/tickets``.
+    schema-qualified ``sales/tickets``.
     """
 
     def __init__(self, root: str, names: dict[str, str] | None = None, fmt: str = "parquet"):
@@ -126,7 +126,7 @@ class JdbcTables(Tables):
     """Tables read through Spark's JDBC source.
 
     ``names`` maps logical names to qualified database names
-    (``{"tickets": "boxoffice.tickets"}``); ``partitions`` gives per-table
+    (``{"tickets": "sales.tickets"}``); ``partitions`` gives per-table
     range partitioning so large tables are read by many tasks at once.
     """
 

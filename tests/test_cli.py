@@ -25,7 +25,7 @@ def _envs(spark, scratch):
           for f in MEMBER_INSERT.fields])
     write_jdbc(full, JdbcConnection("derby", db), "MEMBERS", mode="overwrite")
     envs = {"lake": {"kind": "parquet", "root": f"{scratch}/lake"},
-            "boe": {"kind": "derby", "database": db, "names": {"members": "MEMBERS"}}}
+            "crm": {"kind": "derby", "database": db, "names": {"members": "MEMBERS"}}}
     path = f"{scratch}/envs.json"
     with open(path, "w") as f:
         json.dump(envs, f)
@@ -35,7 +35,7 @@ def _envs(spark, scratch):
 def test_cli_jobs(spark, scratch):
     fx, env = _envs(spark, scratch)
     out = f"{scratch}/out"
-    paths = main(["map-users", "--env", env, "--users", "lake", "--members", "boe", "--out", out,
+    paths = main(["map-users", "--env", env, "--users", "lake", "--members", "crm", "--out", out,
                   "--run-id", "m1"], spark)
     assert {"users", "users_changes", "dup_members"} <= set(paths)
     expect = UserMapping.from_tables(spark, fx, fx).update().table
@@ -49,9 +49,9 @@ def test_cli_jobs(spark, scratch):
                   "--min-year", "1998", "--run-id", "t1"], spark)
     assert set(paths) == {"dup_members", "dup_orphans", "unmatched", "matched"}
 
-    before = JdbcTables(JdbcConnection("derby", json.load(open(env))["boe"]["database"])).raw(spark, "MEMBERS").count()
-    got = main(["ticket-members", "--env", env, "--tickets", "lake", "--members", "boe", "--table", "MEMBERS",
+    before = JdbcTables(JdbcConnection("derby", json.load(open(env))["crm"]["database"])).raw(spark, "MEMBERS").count()
+    got = main(["ticket-members", "--env", env, "--tickets", "lake", "--members", "crm", "--table", "MEMBERS",
                 "--run-id", "k1"], spark)
     assert got["inserted"] == TicketOrphans.from_tables(spark, fx, fx).unmatched.count()
-    conn = JdbcConnection("derby", json.load(open(env))["boe"]["database"])
+    conn = JdbcConnection("derby", json.load(open(env))["crm"]["database"])
     assert JdbcTables(conn).raw(spark, "MEMBERS").count() == before + got["inserted"]

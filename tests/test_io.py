@@ -85,8 +85,8 @@ def test_publish_writes_new_versions_and_manifest(spark, scratch):
 
 def test_parquet_tables_and_schema_check(spark, scratch):
     fx = FixtureTables(SF_SMALL)
-    fx.table(spark, "members").write.parquet(f"{scratch}/dbmaster/members")
-    src = ParquetTables(scratch, names={"members": "dbmaster/members"})
+    fx.table(spark, "members").write.parquet(f"{scratch}/crm/members")
+    src = ParquetTables(scratch, names={"members": "crm/members"})
     assert src.table(spark, "members", ["id", "email"]).count() == fx.table(spark, "members").count()
     bad = spark.createDataFrame([(1,)], "id long")
     with pytest.raises(ValueError):
