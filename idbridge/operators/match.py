@@ -38,9 +38,7 @@ def match(left: DataFrame, right: DataFrame, left_on: str, right_on: str | None
     if how in ("inner", "left") and clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}; rename before matching")
     lk = add_key(left, left_on)
-    rk = _keyed_right(right, right_on, null_safe)
-    if how in ("left_semi", "left_anti"):
-        rk = rk.select(*KEY_COLS).distinct()
+    rk = _keyed_right(right, right_on, null_safe)  # semi/anti: skew_join keeps distinct keys only
     if not split_hot:
         policy = SkewPolicy(hot_rows=0)
     return skew_join(lk, rk, KEY_COLS, how, policy=policy).drop(*KEY_COLS)
