@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from idbridge.functions.ids import member_uuid, stable_member_id
 from idbridge.functions.keys import KEY_COLS, KEY_NULL, add_key
 from idbridge.functions.text import paste_names
-from idbridge.operators.skew import SkewPolicy, skew_join
+from idbridge.operators.skew import SkewPolicy, hot_from_counts, key_counts, skew_join
 from idbridge.sources.schemas import MEMBER_INSERT
 
 GUARDS = ("sql", "null_safe")
@@ -118,7 +118,8 @@ def update_from_lookup(target: DataFrame, *, key: str, match_col: str, set_col:
     cols = target.columns
     top2 = candidates if candidates is not None else smallest_two(
         lookup, lookup_col, value_col, null_safe_match=null_safe_match)
-    joined = skew_join(add_key(target, match_col), top2, KEY_COLS, "left", policy=policy, unique_right=True)
+    keyed = add_key(target, match_col)
+    joined = skew_join(keyed, top2, KEY_COLS, "left", policy=policy, unique_right=True)
     cur, c1, c2 = F.col(set_col), F.col(_C1), F.col(_C2)
     winner = F.when(_passes(guard, cur, c1), c1).when(_passes(guard, cur, c2), c2)
     if stable:
@@ -127,8 +128,11 @@ def update_from_lookup(target: DataFrame, *, key: str, match_col: str, set_col:
         if not null_safe_match:
             members = members.where(~F.col(KEY_NULL))
         members = members.select(*KEY_COLS, _CUR).distinct().withColumn(_HIT, F.lit(True))
-        joined = skew_join(joined.withColumn(_CUR, cur), members, KEY_COLS + [_CUR], "left", policy=policy,
-                           unique_right=True)
+        # the first join keeps target rows one for one, so its key counts are
+        # the target's: count there instead of through the first join
+        keys2 = KEY_COLS + [_CUR]
+        hot2 = hot_from_counts(key_counts(keyed.withColumn(_CUR, cur), keys2), keys2, policy)
+        joined = skew_join(joined.withColumn(_CUR, cur), members, keys2, "left", policy=policy, hot=hot2)
         winner = F.when(F.col(_HIT).isNull(), winner)
     return UpdatePlan(joined.withColumn(NEW, winner), cols, key, set_col)
 
