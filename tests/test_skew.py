@@ -129,3 +129,21 @@ def test_salted_paths_in_operators_match_plain(spark, skewed):
         assert split_dup == rows(duplicate_rows(users, "email", sort=False))
     finally:
         spark.conf.unset("idbridge.skew.hotRows")
+
+
+def test_two_sided_hot_table_is_bounded(both_hot):
+    left, right = both_hot
+    tight = SkewPolicy(hot_rows=1, rows_per_split=100, max_splits=8, max_hot_keys=2)
+    assert len(hot_keys(left, right, KEY_COLS, tight).collect()) <= 2 * tight.max_hot_keys
+
+
+def test_part_assignment_is_deterministic(skewed):
+    # a retried task must put every row in the same part
+    from idbridge.operators.skew import PART_L, SPLIT_L, _part
+    left, _ = skewed
+    hot = hot_keys(left, None, KEY_COLS, SPLIT)
+    lt = left.join(F.broadcast(hot), KEY_COLS, "left")
+    lt = lt.withColumn(PART_L, _part(lt, SPLIT_L)).select("id", PART_L)
+    first, second = rows(lt), rows(lt.repartition(7))
+    assert first == second
+    assert len({p for _, p in first}) > 1
