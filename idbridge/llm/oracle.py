@@ -1,6 +1,37 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE_SQL = {
+    "op1_decontaminate": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+     b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+     bw AS (SELECT DISTINCT item_id, least(len(ws), 10) AS m,
+                   unnest(list_transform(range(1, greatest(len(ws) - 9, 1) + 1),
+                                         lambda i: array_to_string(ws[i:i + 9], ' '))) AS win
+            FROM b WHERE len(ws) > 0),
+     dw AS (SELECT doc_id, m, i, array_to_string(ws[i:i + m - 1], ' ') AS win
+            FROM d, (SELECT DISTINCT m FROM bw), unnest(range(1, len(ws) - m + 2)) AS r(i)),
+     hit AS (SELECT doc_id, i, m, item_id FROM dw JOIN bw USING (m, win)),
+     cover AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+               FROM (SELECT doc_id, unnest(range(i, i + m)) AS p FROM hit) GROUP BY 1),
+     names AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+               FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY 1)
+SELECT d.doc_id, len(d.ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN names USING (doc_id)
+""",
+    "op2_minhash_neardup": rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+     s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] ELSE list_distinct(list_transform(
+                  range(1, greatest(len(ws) - 3, 1) + 1), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS sh FROM w),
+     e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+     link AS (SELECT a.doc_id AS u, b.doc_id AS v FROM e a JOIN e b USING (g) WHERE a.doc_id != b.doc_id
+              GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+     reach(u, v) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.u, link.v FROM reach r JOIN link ON link.u = r.v),
+     least_of AS (SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, len(sh) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN least_of USING (doc_id)
+""",
     "op10_exact_dedup": r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
            FROM documents),

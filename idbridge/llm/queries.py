@@ -7,7 +7,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import round_trip
+from .decontam import contamination, words_hit
 from .exact import DigestIndex
+from .neardup import NearDup, near_duplicates
 from .store import Store
 
 
@@ -15,6 +18,31 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"),
+                          Store(spark, "decontam"))
+    return found.select("doc_id", "n_words", words_hit().cast("bigint").alias("n_hit"),
+                        F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
+                        (F.size("windows") > 0).alias("contaminated"))
+
+
+def op2_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = near_duplicates(_table(spark, sf_dir, "documents"), Store(spark, "neardup"), NearDup(shingle=4))
+    return near.select("doc_id", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept"))
+
+
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Path of an installed public tokenizer file; the same on all executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary())
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = Store(spark, "exact")
     index = DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}")
@@ -25,5 +53,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op2_minhash_neardup": op2_minhash_neardup,
+    "op8_bpe": op8_bpe,
     "op10_exact_dedup": op10_exact_dedup,
 }

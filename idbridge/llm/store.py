@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,10 +51,25 @@ class Store:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, which need not
+    share the driver's folders or PYTHONPATH; once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_idbridge_shipped", None) != sc.applicationId:
+        root = Path(__file__).resolve().parents[1]
+        target = Path(tempfile.mkdtemp(prefix="idbridge-")) / "idbridge.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(str(target))
+        sc._idbridge_shipped = sc.applicationId
+
+
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Bound the Arrow batches handed to Python tasks: texts may be long, so
-    a batch is limited by rows and, where Spark knows the setting, by bytes.
-    Only lowers the session's settings; results do not depend on them."""
+    """Before a Python stage: ship the code and bound the Arrow batches. Texts
+    may be long, so a batch is limited by rows and by bytes. Only lowers the
+    session's settings; results do not depend on them."""
+    ship(spark)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > rows:
@@ -59,6 +77,24 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+def likely_rows(df: DataFrame, column: str, wanted: DataFrame, key: str, bits: int = 22) -> DataFrame:
+    """``df`` without most of the rows whose ``column`` is not in ``wanted[key]``.
+
+    A bit map of 2**bits hashed keys, 512 KB at any size of the input, goes to
+    the scan, so texts that no later join needs are not shuffled. It never
+    loses a wanted row; the fuller it is, the more others pass, and the join
+    behind it decides."""
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
+    got = (wanted.select(slot(F.col(key)).alias("s")).groupBy(F.floor(F.col("s") / 64).alias("w"))
+           .agg(F.expr("bit_or(shiftleft(1L, cast(s % 64 as int)))").alias("b")).toPandas())
+    words = np.zeros((1 << bits) // 64, np.int64)
+    words[got["w"].to_numpy(np.int64)] = got["b"].to_numpy(np.int64)
+    at = slot(F.col(column))
+    byte = F.substring(F.lit(bytearray(words.tobytes())), (F.floor(at / 8) + 1).cast("int"), F.lit(1))
+    byte = F.conv(F.hex(byte), 16, 10).cast("int")
+    return df.where(F.call_function("bit_get", byte, (at % 8).cast("int")) == 1)
+
+
 def held_out(doc_id) -> "F.Column":
     """The rows kept from learning: crc32(doc_id as text) mod 5 is 0."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
