@@ -33,6 +33,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .store import small_batches
 from .words import chunks, ranges, utf8
@@ -254,10 +255,11 @@ def _texts(column: pa.Array) -> Iterator[list[str]]:
         yield [t or "" for t in column.slice(i, j - i).to_pylist()]
 
 
-def _round_trip(batches: Iterator[pa.RecordBatch], path: str, keep: list[str]) -> Iterator[pa.RecordBatch]:
+def _round_trip(batches: Iterator[pa.RecordBatch], path: str, keep: list[str],
+                with_ids: bool) -> Iterator[pa.RecordBatch]:
     enc = encoder(path)
     for batch in batches:
-        counts, id_sha, text_sha = [], [], []
+        counts, id_sha, text_sha, all_ids = [], [], [], []
         for texts in _texts(batch.column("text")):
             for ids in enc.encode(texts):
                 sha = hashlib.sha256()
@@ -266,22 +268,30 @@ def _round_trip(batches: Iterator[pa.RecordBatch], path: str, keep: list[str]) -
                 counts.append(len(ids))
                 id_sha.append(enc.digest(ids))
                 text_sha.append(sha.hexdigest())
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c) for c in keep), pa.array(counts, pa.int64()), pa.array(id_sha, pa.string()),
-             pa.array(text_sha, pa.string())], names=[*keep, "n_tokens", "ids_sha256", "decoded_sha256"])
+                if with_ids:
+                    all_ids.append(ids.astype(np.int32))
+        new = [pa.array(counts, pa.int64()), pa.array(id_sha, pa.string()), pa.array(text_sha, pa.string())]
+        if with_ids:
+            new.append(pa.array(all_ids, pa.list_(pa.int32())))
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *new],
+                                         names=[*keep, *NEW[:len(new)]])
 
 
-def round_trip(docs: DataFrame, path: str) -> DataFrame:
+NEW = ("n_tokens", "ids_sha256", "decoded_sha256", "ids")
+
+
+def round_trip(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
     """Encode and decode every ``text``: the other columns with n_tokens,
-    ids_sha256 and decoded_sha256 (replacing columns of these names)."""
+    ids_sha256, decoded_sha256 and, if asked for, ids (array of int). Input
+    columns of these names are replaced."""
     small_batches(docs.sparkSession)
-    new = ("n_tokens", "ids_sha256", "decoded_sha256")
-    keep = [c for c in docs.columns if c != "text" and c not in new]
+    keep = [c for c in docs.columns if c != "text" and c not in NEW[:3 + with_ids]]
     schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema
-    for c, kind in zip(new, ("bigint", "string", "string"), strict=True):
+    kinds = (T.LongType(), T.StringType(), T.StringType(), T.ArrayType(T.IntegerType()))
+    for c, kind in zip(NEW[:3 + with_ids], kinds[:3 + with_ids], strict=True):
         schema = schema.add(c, kind)
     return (docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("text"))
-            .mapInArrow(lambda it: _round_trip(it, path, keep), schema))
+            .mapInArrow(lambda it: _round_trip(it, path, keep, with_ids), schema))
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], path: str, keep: list[str]) -> Iterator[pa.RecordBatch]:
@@ -296,7 +306,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     """``docs`` with ``ids`` (array of int) in place of ``text``."""
     small_batches(docs.sparkSession)
     keep = [c for c in docs.columns if c not in ("text", "ids")]
-    schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema.add("ids", "array<int>")
+    schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema.add("ids", T.ArrayType(T.IntegerType()))
     return (docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("text"))
             .mapInArrow(lambda it: _encoded(it, path, keep), schema))
 
@@ -313,6 +323,6 @@ def decode(docs: DataFrame, path: str) -> DataFrame:
     """``docs`` with ``text`` in place of ``ids``."""
     small_batches(docs.sparkSession)
     keep = [c for c in docs.columns if c not in ("text", "ids")]
-    schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema.add("text", "string")
+    schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema.add("text", T.StringType())
     return (docs.select(*[F.col(f"`{c}`") for c in keep], "ids")
             .mapInArrow(lambda it: _decoded(it, path, keep), schema))

@@ -68,6 +68,19 @@ class DigestIndex:
         # both sides are shuffled here, so adaptive execution can split the rows of a hot digest
         return rows.join(known, "digest")
 
+    def keep_new(self, docs: DataFrame, batch: str, store: Store) -> DataFrame:
+        """Add ``docs`` and return those of its rows that stay, with their
+        columns: one row of each text that the index lacked, the one with the
+        smallest doc_id (any one of rows that repeat it)."""
+        rows = self.add(docs, batch, store)
+        stay = rows.where(~F.col("seen")).select("digest", F.col("keep_id")).distinct()
+        # the join key holds the doc_id, so copies of a hot text spread over all tasks
+        mark, own = "__digest", docs.columns
+        return (docs.withColumn(mark, digest(F.col("text")))
+                .join(stay, (F.col(mark) == F.col("digest"))
+                      & F.col("doc_id").cast("bigint").eqNullSafe(F.col("keep_id")), "left_semi")
+                .dropDuplicates([mark, "doc_id"]).select(*[F.col(f"`{c}`") for c in own]))
+
     def _append(self, fresh: DataFrame) -> None:
         key = "spark.sql.sources.partitionOverwriteMode"
         mode = self.spark.conf.get(key)

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from .bpe import round_trip
 from .decontam import contamination, words_hit
 from .exact import DigestIndex
+from .langid import identify
 from .neardup import NearDup, near_duplicates
-from .store import Store
+from .store import Store, held_out
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +33,12 @@ def op2_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("doc_id", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept"))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return (identify(docs, ~held_out(F.col("doc_id")))
+            .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"))
+
+
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     """Path of an installed public tokenizer file; the same on all executors."""
     import public_tokenizers
@@ -55,6 +62,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_minhash_neardup": op2_minhash_neardup,
+    "op3_language_id": op3_language_id,
     "op8_bpe": op8_bpe,
     "op10_exact_dedup": op10_exact_dedup,
 }
