@@ -11,7 +11,6 @@ import uuid
 import zipfile
 from pathlib import Path
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,22 +76,23 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
-def likely_rows(df: DataFrame, column: str, wanted: DataFrame, key: str, bits: int = 22) -> DataFrame:
-    """``df`` without most of the rows whose ``column`` is not in ``wanted[key]``.
+def likely_rows(df: DataFrame, column: str, wanted: DataFrame, key: str, bits: int = 22,
+                likely: bool = True) -> DataFrame:
+    """``df`` without most of the rows whose ``column`` is not in ``wanted[key]``
+    (``likely=False``: exactly the rows left out otherwise).
 
-    A bit map of 2**bits hashed keys, 512 KB at any size of the input, goes to
-    the scan, so texts that no later join needs are not shuffled. It never
-    loses a wanted row; the fuller it is, the more others pass, and the join
-    behind it decides."""
+    A bit map of 2**bits hashed keys is broadcast as at most 2**bits / 64 rows
+    (1 MB at any size of the input), so texts that no later join needs are not
+    shuffled. It never loses a wanted row; the fuller it is, the more others
+    pass, and the join behind it decides."""
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
-    got = (wanted.select(slot(F.col(key)).alias("s")).groupBy(F.floor(F.col("s") / 64).alias("w"))
-           .agg(F.expr("bit_or(shiftleft(1L, cast(s % 64 as int)))").alias("b")).toPandas())
-    words = np.zeros((1 << bits) // 64, np.int64)
-    words[got["w"].to_numpy(np.int64)] = got["b"].to_numpy(np.int64)
-    at = slot(F.col(column))
-    byte = F.substring(F.lit(bytearray(words.tobytes())), (F.floor(at / 8) + 1).cast("int"), F.lit(1))
-    byte = F.conv(F.hex(byte), 16, 10).cast("int")
-    return df.where(F.call_function("bit_get", byte, (at % 8).cast("int")) == 1)
+    word, at = F.floor(F.col("__s") / 64), F.expr("cast(__s % 64 as int)")
+    table = (wanted.select(slot(F.col(key)).alias("__s")).groupBy(word.alias("__w"))
+             .agg(F.expr("bit_or(shiftleft(1L, cast(__s % 64 as int)))").alias("__b")))
+    own = [F.col(f"`{c}`") for c in df.columns]
+    return (df.withColumn("__s", slot(F.col(column))).withColumn("__w", word)
+            .join(F.broadcast(table), "__w", "inner" if likely else "left")
+            .where(F.coalesce(F.call_function("bit_get", F.col("__b"), at), F.lit(0)) == int(likely)).select(*own))
 
 
 def held_out(doc_id) -> "F.Column":
