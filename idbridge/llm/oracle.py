@@ -1,5 +1,22 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+_ASSIGN = ("([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]"
+           "|[aA][pP][iI]_?[kK][eE][yY])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)")
+
+
+def _matches(kind: str, pattern: str, group: int, least: int) -> str:
+    pattern = pattern.replace("'", "''")
+    return f"""
+        SELECT doc_id, '{kind}' AS kind, place AS start_, place + length(m) AS end_, v AS value FROM (
+            SELECT doc_id, m, v, sum(length(gap) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) - length(m) AS place
+            FROM (SELECT doc_id, unnest(range(1, len(ms) + 1)) AS i, unnest(ms) AS m, unnest(vs) AS v,
+                         unnest(gaps[1:len(ms)]) AS gap
+                  FROM (SELECT doc_id, regexp_extract_all(t, '{pattern}') AS ms,
+                               regexp_extract_all(t, '{pattern}', {group}) AS vs,
+                               regexp_split_to_array(t, '{pattern}') AS gaps FROM d)))
+        WHERE length(v) >= {least}"""
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE_SQL = {
@@ -31,6 +48,43 @@ WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0
      reach(u, v) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.u, link.v FROM reach r JOIN link ON link.u = r.v),
      least_of AS (SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY 1)
 SELECT doc_id, len(sh) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN least_of USING (doc_id)
+""",
+    "op4_substring_dedup": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+     win AS (SELECT doc_id, i, array_to_string(ws[i:i + 34], ' ') AS g FROM w, unnest(range(1, len(ws) - 33)) AS r(i)),
+     again AS (SELECT g FROM win GROUP BY 1 HAVING count(*) > 1),
+     gone AS (SELECT DISTINCT doc_id, p FROM win JOIN again USING (g), unnest(range(i, i + 35)) AS r(p)),
+     word AS (SELECT doc_id, p, ws[p] AS word FROM w, unnest(range(1, len(ws) + 1)) AS r(p)),
+     kept AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS t
+              FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY 1)
+SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+""",
+    "op5_secrets": f"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+     base AS ({_matches("assign", _ASSIGN, 2, 6)} UNION ALL {_matches("access", "AKIA[A-Z0-9]+", 0, 20)}
+              UNION ALL {_matches("hex", "[0-9a-f]+", 0, 24)}),
+     bare AS (SELECT * FROM ({_matches("owned", "[A-Za-z0-9+/_-]+", 0, 20)}) AS x
+              WHERE regexp_matches(value, '[0-9]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]')
+                AND NOT EXISTS (SELECT 1 FROM base b
+                                WHERE b.doc_id = x.doc_id AND b.start_ < x.end_ AND x.start_ < b.end_)),
+     every AS (SELECT * FROM base UNION ALL SELECT * FROM bare),
+     owner AS (SELECT value, count(DISTINCT doc_id) AS repos, count(DISTINCT source) AS owners
+               FROM every JOIN d USING (doc_id) GROUP BY 1),
+     judged AS (SELECT e.*, CASE WHEN owners >= 3 OR repos >= 1000 THEN 'example' ELSE 'live' END AS verdict,
+                       list_position(['assign', 'access', 'hex', 'owned'], kind) AS nth,
+                       concat_ws(':', kind, CAST(start_ AS BIGINT), CAST(end_ AS BIGINT)) AS span
+                FROM every e JOIN owner USING (value)),
+     said AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+                     count(*) FILTER (kind = 'hex') AS n_hex,
+                     string_agg(span, ',' ORDER BY start_, nth) FILTER (kind != 'owned') AS base,
+                     string_agg(span, ',' ORDER BY start_, nth) AS spans,
+                     count(*) FILTER (verdict = 'live') AS n_live, count(*) FILTER (verdict = 'example') AS n_example
+              FROM judged WHERE kind != 'owned' OR verdict = 'live' GROUP BY 1)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+       coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM d LEFT JOIN said USING (doc_id)
 """,
     "op10_exact_dedup": r"""
 WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256

@@ -12,7 +12,10 @@ from .decontam import contamination, words_hit
 from .exact import DigestIndex
 from .langid import identify
 from .neardup import NearDup, near_duplicates
+from .secrets import KINDS, secrets
 from .store import Store, held_out
+from .substring import repeated_spans, without_repeats
+from .toxicity import score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +42,35 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    kept = without_repeats(docs, repeated_spans(docs, Store(spark, "substring")))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents stand for repositories, their source for the owner."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.col("doc_id").alias("repository"),
+                                                     F.col("source").alias("owner"))
+    found = secrets(docs, Store(spark, "secrets"))
+    joined = "concat_ws(',', transform({0}, s -> concat_ws(':', s.kind, s.start, s.end)))"
+    return (found.withColumn("base", F.expr("filter(spans, s -> s.kind != 'owned')"))
+            .select("doc_id", *[F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as bigint)").alias(f"n_{k}")
+                                for k in KINDS],
+                    F.sha2(F.expr(joined.format("base")).cast("binary"), 256).alias("base_sha256"),
+                    F.expr(joined.format("spans")).alias("spans"),
+                    *[F.expr(f"cast(size(filter(spans, s -> s.verdict = '{v}')) as bigint)").alias(f"n_{v}")
+                      for v in ("live", "example")]))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    scored = score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"),
+                            part.isin(1, 2, 3), part == 4, Store(spark, "toxicity"))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     """Path of an installed public tokenizer file; the same on all executors."""
     import public_tokenizers
@@ -63,6 +95,9 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_minhash_neardup": op2_minhash_neardup,
     "op3_language_id": op3_language_id,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_secrets": op5_secrets,
+    "op7_toxicity": op7_toxicity,
     "op8_bpe": op8_bpe,
     "op10_exact_dedup": op10_exact_dedup,
 }
