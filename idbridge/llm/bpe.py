@@ -294,6 +294,23 @@ def round_trip(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
             .mapInArrow(lambda it: _round_trip(it, path, keep, with_ids), schema))
 
 
+def _counted(batches: Iterator[pa.RecordBatch], path: str, keep: list[str]) -> Iterator[pa.RecordBatch]:
+    enc = encoder(path)
+    for batch in batches:
+        n = [len(x) for texts in _texts(batch.column("text")) for x in enc.encode(texts)]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(n, pa.int64())],
+                                         names=[*keep, "n_tokens"])
+
+
+def count_tokens(docs: DataFrame, path: str) -> DataFrame:
+    """``docs`` with ``n_tokens`` in place of ``text``."""
+    small_batches(docs.sparkSession)
+    keep = [c for c in docs.columns if c not in ("text", "n_tokens")]
+    schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema.add("n_tokens", T.LongType())
+    return (docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("text"))
+            .mapInArrow(lambda it: _counted(it, path, keep), schema))
+
+
 def _encoded(batches: Iterator[pa.RecordBatch], path: str, keep: list[str]) -> Iterator[pa.RecordBatch]:
     enc = encoder(path)
     for batch in batches:

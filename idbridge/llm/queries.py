@@ -7,14 +7,16 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import round_trip
+from .bpe import count_tokens, round_trip
 from .decontam import contamination, words_hit
 from .exact import DigestIndex
+from .html_extract import extract
 from .langid import identify
 from .neardup import NearDup, near_duplicates
 from .secrets import KINDS, secrets
 from .store import Store, held_out
 from .substring import repeated_spans, without_repeats
+from .token_counts import TokenRollup
 from .toxicity import score_toxicity
 
 
@@ -63,6 +65,28 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                       for v in ("live", "example")]))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch 1 books every document with an estimate of a token per four
+    characters, batch 2 revises all of them by the tokenizer's own counts."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    length = F.coalesce(F.char_length("text"), F.lit(0))
+    row = ["doc_id", "source", "lang", F.lit("byte_bpe_50k").alias("tokenizer")]
+    rollup = TokenRollup(spark, f"token_rollup_{uuid.uuid4().hex}")
+    rollup.commit(1, docs.select(F.lit("insert").alias("op"), *row, F.ceil(length / 4).alias("tokens"),
+                                 length.alias("chars")))
+    counted = count_tokens(docs.withColumn("chars", length), vocabulary())
+    rollup.commit(2, counted.select(F.lit("revise").alias("op"), *row, F.col("n_tokens").alias("tokens"), "chars"))
+    totals = Store(spark, "rollup").put(rollup.totals(), "totals")
+    rollup.drop()  # a one-off run
+    return totals.select("source", "lang", "tokenizer", F.col("docs").alias("n_docs"),
+                         F.col("tokens").alias("n_tokens"), F.col("chars").alias("n_chars"))
+
+
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = extract(_table(spark, sf_dir, "pages"), Store(spark, "html"))
+    return texts.withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     scored = score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"),
@@ -97,7 +121,9 @@ QUERIES = {
     "op3_language_id": op3_language_id,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_secrets": op5_secrets,
+    "op6_token_counts": op6_token_counts,
     "op7_toxicity": op7_toxicity,
     "op8_bpe": op8_bpe,
+    "op9_html_extract": op9_html_extract,
     "op10_exact_dedup": op10_exact_dedup,
 }
