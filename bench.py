@@ -19,19 +19,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from idbridge.plans.catalog import QUERIES  # noqa: E402
 from idbridge.session import build_session  # noqa: E402
 
-HEADLINE = [
-    "mapped_users", "dup_mapped", "update_users", "changed_users_null_safe", "member_email_counts",
-    "remap_transactions", "update_transactions", "update_invoices_cascade", "transaction_orphans",
-    "unmatched_transaction_emails", "ticket_orphans", "new_members",
-]
-
-
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     reps = int(os.environ.get("BENCH_REPS", "3"))
     names = os.environ.get("BENCH_QUERIES")
-    names = names.split(",") if names else (list(QUERIES) if os.environ.get("BENCH_ALL") else HEADLINE)
+    names = names.split(",") if names else list(QUERIES)
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus)
     if not spark.conf.get("spark.checkpoint.dir", None):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="bench-ckpt-"))

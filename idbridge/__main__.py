@@ -11,6 +11,11 @@
 parquet folder (``{"kind": "parquet", "root": "s3://lake/crm"}``). Passwords
 are read from the named environment variables, never from the file.
 
+A database environment may also hold ``"partitions"``: per table, how many
+tasks read it: ``{"column": "id", "lower": 0, "upper": 1000000, "num": 64}`` for a
+numeric column, ``{"column": "id", "cuts": ["4", "8", "c"]}`` or ``{"column": "id",
+"hex": 64}`` for a string key; ``"fetch_size"``; and ``"max_connections"`` for writes.
+
 Reports are written as parquet under ``--out``; updated tables are published as
 new versions with a manifest. The session comes from the cluster's
 ``spark-submit`` settings.
@@ -26,16 +31,29 @@ from pyspark.sql import SparkSession
 
 from idbridge.plans.pipelines import AssociationRepair, TicketOrphans, TransactionOrphans, UserMapping
 from idbridge.operators.sinks import publish
-from idbridge.sources.readers import JdbcConnection, JdbcTables, ParquetTables, Tables
+from idbridge.sources.readers import (JdbcConnection, JdbcTables, KeyRanges, ParquetTables, Partitioning,
+                                      Tables)
+
+READING = ("names", "partitions", "fetch_size", "max_connections")
+MAX_CONNECTIONS = 8
+
+
+def connection_for(env: dict) -> JdbcConnection:
+    return JdbcConnection(**{k: v for k, v in env.items() if k not in READING})
+
+
+def _partitions(spec: dict) -> Partitioning | KeyRanges:
+    if "hex" in spec:
+        return KeyRanges.hex(spec["column"], spec["hex"])
+    return KeyRanges(**spec) if "cuts" in spec else Partitioning(**spec)
 
 
 def tables_for(env: dict) -> Tables:
-    env = dict(env)
-    kind = env.pop("kind")
-    names = env.pop("names", None)
-    if kind == "parquet":
-        return ParquetTables(env["root"], names=names)
-    return JdbcTables(JdbcConnection(kind=kind, **env), names=names)
+    if env["kind"] == "parquet":
+        return ParquetTables(env["root"], names=env.get("names"))
+    return JdbcTables(connection_for(env), names=env.get("names"),
+                      partitions={t: _partitions(p) for t, p in env.get("partitions", {}).items()},
+                      fetch_size=env.get("fetch_size", 10000))
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -51,6 +69,7 @@ def _parser() -> argparse.ArgumentParser:
     r.add_argument("--source", required=True)
     r.add_argument("--out", required=True)
     r.add_argument("--cascade", action="store_true")
+    r.add_argument("--stage-to", help="database environment that gets the change lists as tables")
     t = sub.add_parser("transaction-orphans")
     t.add_argument("--source", required=True)
     t.add_argument("--out", required=True)
@@ -84,22 +103,24 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     if args.job == "repair-associations":
         job = AssociationRepair.from_tables(spark, src(args.source))
         publish(spark, {"member_email_counts": job.member_email_counts}, f"{args.out}/reports", run_id=run_id)
-        return job.run(args.out, cascade=args.cascade, run_id=run_id)
+        to = envs[args.stage_to] if args.stage_to else None
+        return job.run(args.out, cascade=args.cascade, run_id=run_id, stage_to=connection_for(to) if to else None,
+                       max_connections=(to or {}).get("max_connections", MAX_CONNECTIONS))
     if args.job == "transaction-orphans":
-        job = TransactionOrphans.from_tables(spark, src(args.source), args.min_year)
+        job = TransactionOrphans.from_tables(spark, src(args.source), args.min_year).materialized()
         return publish(spark, {"dup_members": job.dup_members, "dup_orphans": job.dup_orphans,
                                "unmatched": job.unmatched, "matched": job.matched}, args.out, run_id=run_id)
     # ticket-members
-    members_env = dict(envs[args.members])
+    members_env = envs[args.members]
     job = TicketOrphans.from_tables(spark, src(args.tickets), src(args.members), dedupe=args.dedupe)
     conn = None
-    if members_env.get("kind") != "parquet":
-        members_env.pop("kind"), members_env.pop("names", None)
-        conn = JdbcConnection(kind=envs[args.members]["kind"], **members_env)
+    if members_env["kind"] != "parquet":
+        conn = connection_for(members_env)
     if args.out:
         publish(spark, {"dup_members": job.dup_members, "dup_orphans": job.dup_orphans},
                 f"{args.out}/reports", run_id=run_id)
-    rows = job.run(conn, args.table, out_root=args.out, run_id=run_id)
+    rows = job.run(conn, args.table, out_root=args.out, run_id=run_id,
+                   max_connections=members_env.get("max_connections", MAX_CONNECTIONS))
     return {"inserted": rows.count()}
 
 

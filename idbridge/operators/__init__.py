@@ -2,14 +2,14 @@
 
 from idbridge.operators.apply import (UpdatePlan, dedupe_inserts, member_inserts, preview_append,
                                       smallest_two, stage, update_from_lookup)
-from idbridge.operators.checks import duplicate_rows, key_counts, mapping_summary, row_count, sorted_report
+from idbridge.operators.checks import duplicate_joined_rows, duplicate_rows, key_counts, mapping_summary, row_count, sorted_report
 from idbridge.operators.match import match, match_anti, match_inner, match_left, match_semi
 from idbridge.operators.remap import remap_id
 from idbridge.operators.skew import SkewPolicy, hot_keys, skew_join
 
 __all__ = [
     "UpdatePlan", "dedupe_inserts", "member_inserts", "preview_append", "smallest_two", "stage",
-    "update_from_lookup", "duplicate_rows", "key_counts", "mapping_summary", "row_count",
+    "update_from_lookup", "duplicate_joined_rows", "duplicate_rows", "key_counts", "mapping_summary", "row_count",
     "sorted_report", "match", "match_anti", "match_inner", "match_left", "match_semi", "remap_id",
     "SkewPolicy", "hot_keys", "skew_join",
 ]

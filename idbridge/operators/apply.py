@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from idbridge.functions.ids import member_uuid, stable_member_id
 from idbridge.functions.keys import KEY_COLS, KEY_NULL, add_key
 from idbridge.functions.text import paste_names
-from idbridge.operators.skew import SkewPolicy, hot_from_counts, key_counts, skew_join
+from idbridge.operators.skew import SkewPolicy, skew_join
 from idbridge.sources.schemas import MEMBER_INSERT
 
 GUARDS = ("sql", "null_safe")
@@ -100,7 +100,8 @@ def smallest_two(lookup: DataFrame, lookup_col: str, value_col: str, *, null_saf
 def update_from_lookup(target: DataFrame, *, key: str, match_col: str, set_col: str,
                        lookup: DataFrame, lookup_col: str, value_col: str,
                        guard: str = "null_safe", null_safe_match: bool = True, stable: bool = False,
-                       candidates: DataFrame | None = None, policy: SkewPolicy | None = None) -> UpdatePlan:
+                       candidates: DataFrame | None = None, unique_lookup: bool = False,
+                       policy: SkewPolicy | None = None) -> UpdatePlan:
     """Set ``target.set_col`` from staged candidate values where ``guard`` allows.
 
     Staged candidates of a target row: ``lookup.value_col`` of the lookup rows
@@ -110,14 +111,24 @@ def update_from_lookup(target: DataFrame, *, key: str, match_col: str, set_col:
     (``NOT current <=> value``). ``stable=True`` leaves a row alone when its
     current value is one of its candidates, so reruns cannot flip it.
     ``candidates`` may pass ``smallest_two(lookup, ...)`` computed (and
-    checkpointed) once for several updates.
+    checkpointed) once for several updates. ``unique_lookup`` says that
+    ``lookup_col`` is a primary key of ``lookup``: its rows are the candidates
+    as they are, shuffled once, by the join alone.
+
+    The new value takes the type of the stored column; every other column of
+    ``target`` stays as it is.
     """
     if guard not in GUARDS:
         raise ValueError(f"guard {guard!r} not in {GUARDS}")
-    policy = policy or SkewPolicy.from_session(target.sparkSession)
     cols = target.columns
-    top2 = candidates if candidates is not None else smallest_two(
-        lookup, lookup_col, value_col, null_safe_match=null_safe_match)
+    if unique_lookup:
+        top2 = (add_key(lookup.select(lookup_col, F.col(value_col).alias(_C1)), lookup_col).drop(lookup_col)
+                .withColumn(_C2, F.lit(None).cast(lookup.schema[value_col].dataType)))
+        if not null_safe_match:
+            top2 = top2.where(~F.col(KEY_NULL))
+    else:
+        top2 = candidates if candidates is not None else smallest_two(
+            lookup, lookup_col, value_col, null_safe_match=null_safe_match)
     keyed = add_key(target, match_col)
     joined = skew_join(keyed, top2, KEY_COLS, "left", policy=policy, unique_right=True)
     cur, c1, c2 = F.col(set_col), F.col(_C1), F.col(_C2)
@@ -128,13 +139,10 @@ def update_from_lookup(target: DataFrame, *, key: str, match_col: str, set_col:
         if not null_safe_match:
             members = members.where(~F.col(KEY_NULL))
         members = members.select(*KEY_COLS, _CUR).distinct().withColumn(_HIT, F.lit(True))
-        # the first join keeps target rows one for one, so its key counts are
-        # the target's: count there instead of through the first join
-        keys2 = KEY_COLS + [_CUR]
-        hot2 = hot_from_counts(key_counts(keyed.withColumn(_CUR, cur), keys2), keys2, policy)
-        joined = skew_join(joined.withColumn(_CUR, cur), members, keys2, "left", policy=policy, hot=hot2)
+        joined = skew_join(joined.withColumn(_CUR, cur), members, KEY_COLS + [_CUR], "left", policy=policy,
+                           unique_right=True)
         winner = F.when(F.col(_HIT).isNull(), winner)
-    return UpdatePlan(joined.withColumn(NEW, winner), cols, key, set_col)
+    return UpdatePlan(joined.withColumn(NEW, winner.cast(target.schema[set_col].dataType)), cols, key, set_col)
 
 
 def member_inserts(unmatched: DataFrame, *, na_text: str | None = "NA", id_mode: str = "uuid") -> DataFrame:
@@ -174,7 +182,9 @@ def preview_append(table: DataFrame, rows: DataFrame) -> DataFrame:
 def dedupe_inserts(rows: DataFrame, key: str = "email") -> DataFrame:
     """Optional: one insert per key (smallest ``external_id``), for ``dedupe=True``.
 
-    ``row_number() <= 1`` gets a map-side group limit, so a hot key ships
-    one row per map task."""
-    w = Window.partitionBy(F.col(key)).orderBy(F.col("external_id").asc_nulls_last())
+    Rows without a key are not known to be one person and stay apart, one per
+    ``external_id``. ``row_number() <= 1`` gets a map-side group limit, so a hot
+    key ships one row per map task."""
+    apart = F.when(F.col(key).isNull(), F.col("external_id"))
+    w = Window.partitionBy(F.col(key), apart).orderBy(F.col("external_id").asc_nulls_last())
     return rows.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= 1).drop("_rn")

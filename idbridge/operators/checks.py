@@ -4,8 +4,7 @@
 ``group_by(k) %>% filter(n() > 1)``. A window count would send a whole key
 group to one task; instead the per-key counts are a partial aggregate (a hot
 key costs one row per map task), and the rows are kept by a semi join
-against the duplicated keys, with hot keys split (``skew_join``). The count
-table is computed once and feeds both the duplicate keys and the hot keys.
+against the duplicated keys, with placeholder keys split (``skew_join``).
 """
 
 from __future__ import annotations
@@ -13,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from idbridge.functions.keys import KEY_COLS, add_key
-from idbridge.operators.skew import COUNT, SkewPolicy, hot_from_counts, key_counts as _counts, skew_join
+from idbridge.operators.match import match_left
+from idbridge.operators.skew import COUNT, SkewPolicy, key_counts as _counts, skew_join
 
 
 def sorted_report(df: DataFrame, key: str, tiebreak: list[str] | None = None) -> DataFrame:
@@ -30,12 +30,27 @@ def sorted_report(df: DataFrame, key: str, tiebreak: list[str] | None = None) ->
 def duplicate_rows(df: DataFrame, key: str, *, sort: bool = True,
                    policy: SkewPolicy | None = None) -> DataFrame:
     """Rows of ``df`` whose ``key`` (NULL included, as one group) occurs more than once."""
-    policy = policy or SkewPolicy.from_session(df.sparkSession)
     keyed = add_key(df, key)
     counts = _counts(keyed.select(*KEY_COLS), KEY_COLS)
     dup_keys = counts.where(F.col(COUNT) > 1).select(*KEY_COLS)
-    hot = hot_from_counts(counts, KEY_COLS, policy)
-    rows = skew_join(keyed, dup_keys, KEY_COLS, "left_semi", policy=policy, hot=hot).drop(*KEY_COLS)
+    rows = skew_join(keyed, dup_keys, KEY_COLS, "left_semi", policy=policy).drop(*KEY_COLS)
+    return sorted_report(rows, key) if sort else rows
+
+
+def duplicate_joined_rows(left: DataFrame, right: DataFrame, key: str, *, sort: bool = True,
+                          policy: SkewPolicy | None = None) -> DataFrame:
+    """``duplicate_rows(match_left(left, right, key), key)``, joined once.
+
+    A key occurs ``n(left) * max(1, n(right))`` times in the joined rows, so
+    the keys that occur more than once follow from the counts of both sides;
+    only left rows of those keys are joined."""
+    keyed = add_key(left, key)
+    n_left = _counts(keyed, KEY_COLS, "_nl")
+    n_right = _counts(add_key(right, key), KEY_COLS, "_nr")
+    many = (n_left.join(n_right, KEY_COLS, "left")
+            .where(F.col("_nl") * F.greatest(F.coalesce(F.col("_nr"), F.lit(1)), F.lit(1)) > 1).select(*KEY_COLS))
+    some = skew_join(keyed, many, KEY_COLS, "left_semi", policy=policy).drop(*KEY_COLS)
+    rows = match_left(some, right, key, policy=policy)
     return sorted_report(rows, key) if sort else rows
 
 

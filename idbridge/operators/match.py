@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from idbridge.functions.keys import KEY_COLS, KEY_NULL, add_key
-from idbridge.operators.skew import SkewPolicy, skew_join
+from idbridge.operators.skew import PLAIN, SkewPolicy, skew_join
 
 
 def _keyed_right(right: DataFrame, right_on: str, null_safe: bool) -> DataFrame:
@@ -40,7 +40,7 @@ def match(left: DataFrame, right: DataFrame, left_on: str, right_on: str | None
     lk = add_key(left, left_on)
     rk = _keyed_right(right, right_on, null_safe)  # semi/anti: skew_join keeps distinct keys only
     if not split_hot:
-        policy = SkewPolicy(hot_rows=0)
+        policy = PLAIN
     return skew_join(lk, rk, KEY_COLS, how, policy=policy).drop(*KEY_COLS)
 
 

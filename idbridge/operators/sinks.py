@@ -48,14 +48,26 @@ def write_jdbc(df: DataFrame, conn: JdbcConnection, table: str, *, mode: str = "
         .option("dbtable", table).option("batchsize", str(batch_size)).mode(mode).save())
 
 
+def published(spark: SparkSession, root: str, run_id: str) -> bool:
+    """Whether the manifest of ``run_id``, written last, is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/_manifests/run={run_id}/_SUCCESS")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str, *,
             run_id: str | None = None, fmt: str = "parquet") -> dict[str, str]:
-    """Write each table to ``root/<name>/run=<run_id>``, then the manifest."""
+    """Write each table to ``root/<name>/run=<run_id>``, then the manifest.
+
+    A version named by a manifest is never overwritten; files of a run that
+    failed before its manifest are."""
     run_id = run_id or _uuid.uuid4().hex
     root = root.rstrip("/")
-    paths = {name: write_table(df, f"{root}/{name}/run={run_id}", fmt=fmt) for name, df in tables.items()}
+    if published(spark, root, run_id):
+        raise ValueError(f"run {run_id} is published in {root}")
+    paths = {name: write_table(df, f"{root}/{name}/run={run_id}", fmt=fmt, mode="overwrite")
+             for name, df in tables.items()}
     manifest = spark.createDataFrame([(run_id, json.dumps(paths))], "run_id string, tables string")
-    manifest.coalesce(1).write.mode("errorifexists").json(f"{root}/_manifests/run={run_id}")
+    manifest.coalesce(1).write.mode("overwrite").json(f"{root}/_manifests/run={run_id}")
     return paths
 
 

@@ -1,48 +1,51 @@
 """Equi-joins that survive a hot key.
 
-A shuffle join sends every row of one key to one task. When one key holds a
-large share of a table (NULL or a placeholder email is the usual case),
-that task runs the whole key alone. ``skew_join`` splits such keys on both
-sides:
-
-1. Rows per key are counted on each side with a partial (map-side)
-   aggregate. The heaviest keys above ``hot_rows`` rows on either side form
-   the hot table: at most ``2 * max_hot_keys`` rows, so broadcasting it is
-   bounded by construction. Each hot key gets ``a`` probe parts and ``b``
-   build parts from its row counts and ``rows_per_split`` (one part on a
-   side where it is not heavy).
-2. A probe (left) row of a hot key takes part ``i`` in ``[0, a)``, a hash of
-   the whole row, so a retried task assigns the same part; it is copied to
-   every build part ``j`` in ``[0, b)``. A build (right) row takes part ``j``
-   by hash and is copied to every ``i``. Cold keys have ``a = b = 1``.
-3. The join runs on ``keys + (i, j)``: each left row meets each right row
-   of its key in exactly one cell, and a hot key is spread over ``a * b``
-   tasks with at most about ``rows_per_split`` rows from each side.
-4. Left joins: when ``b > 1`` the key has build rows, so every left row has
-   a match; a copy that lands in an empty build part emits a null-extended
-   row that is an artefact and is dropped (build rows carry a marker).
-   Semi and anti joins only need the build side's distinct keys, so ``b`` is
-   always 1 for them.
-
-When the build side is small enough for the planner to broadcast it, the
-probe side is not shuffled and nothing is split. With no hot key the extra
-work is the key-count aggregates and joins against an empty broadcast
-table, which adaptive execution removes at run time. Adaptive skew-join
-handling stays on as a second line of defence.
+A shuffle join sends every row of one key to one task. Three means keep a
+key that holds a large share of a table from running alone:
+
+- **Adaptive execution** splits a join partition that turns out much larger
+  than the others, from sizes it has measured anyway. It needs no count of
+  the keys, so the inputs are read once. This is the default for joins whose
+  sides may both repeat a key.
+- **Placeholder parts.** In joins to a one-row-per-key side (updates, semi and
+  anti joins) the keys that are hot in practice are known beforehand: NULL and
+  the empty string. Their probe rows are dealt to ``placeholder_parts`` parts
+  by a hash of the row, and the at most two build rows are copied to each.
+- **Counted splitting**, where ``idbridge.skew.hotRows`` is set. Rows per key
+  are counted on each side first (one more read), and every key with at least
+  that many rows on a side is split:
+
+  1. Each such key gets ``a`` probe parts and ``b`` build parts, one for every
+     ``rows_per_split`` rows. There are at most ``rows / hot_rows`` hot keys on a
+     side; the table of them is counted before it is broadcast, and more than
+     ``max_broadcast_keys`` is an error that says so, never a cut.
+  2. Equal rows of a hot key are grouped with their number and numbered when
+     expanded, so they too take different parts; row content and number
+     decide the part, which a retried task gives again. A probe row of part
+     ``i`` is copied to every build part ``j``, a build row of part ``j`` to
+     every ``i``. Cold keys have ``a = b = 1``.
+  3. The join runs on ``keys + (i, j)``: each left row meets each right row
+     of its key in exactly one cell.
+  4. Left joins: when ``b > 1`` the key has build rows, so a copy that finds
+     none in its cell is an artefact and is dropped (build rows carry a marker).
+     Semi and anti joins need the build side's distinct keys only: ``b`` is 1.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
+
+from idbridge.functions.keys import KEY_NULL, KEY_VAL
 
 PART_L, PART_R = "_part_l", "_part_r"     # cell coordinates i, j
 SPLIT_L, SPLIT_R = "_split_l", "_split_r"  # a, b per hot key
 MARK = "_build_row"
 COUNT = "_n"
 COUNT_L, COUNT_R = "_n_l", "_n_r"
+NUMBER = "_nth"
 
 JOIN_TYPES = {"inner", "left", "left_semi", "left_anti"}
 
@@ -52,31 +55,35 @@ class SkewPolicy:
     """When a key is hot and how far it is split.
 
     Read from session settings ``idbridge.skew.*`` so a cluster run can tune
-    them without code changes. ``hot_rows <= 0`` turns splitting off.
+    them without code changes. ``hot_rows <= 0`` (the default) counts nothing.
+    ``placeholder_parts = 1`` leaves placeholders whole; 0 stands for the
+    session's number of shuffle partitions.
     """
 
-    hot_rows: int = 1_000_000
+    hot_rows: int = 0
     rows_per_split: int = 250_000
-    max_splits: int = 1024
-    max_hot_keys: int = 1000
+    max_broadcast_keys: int = 1_000_000
+    placeholder_parts: int = 0
 
     @classmethod
     def from_session(cls, spark: SparkSession) -> "SkewPolicy":
         get = lambda k, d: int(spark.conf.get(f"idbridge.skew.{k}", str(d)))
         return cls(hot_rows=get("hotRows", cls.hot_rows),
                    rows_per_split=get("rowsPerSplit", cls.rows_per_split),
-                   max_splits=get("maxSplits", cls.max_splits),
-                   max_hot_keys=get("maxHotKeys", cls.max_hot_keys))
+                   max_broadcast_keys=get("maxBroadcastKeys", cls.max_broadcast_keys),
+                   placeholder_parts=get("placeholderParts", cls.placeholder_parts))
 
     @property
-    def enabled(self) -> bool:
+    def counted(self) -> bool:
         return self.hot_rows > 0
 
     def parts(self, rows_col: str) -> Column:
-        """Parts for a key with ``rows_col`` rows: 1 up to ``rows_per_split`` rows."""
+        """Parts for a key with ``rows_col`` rows: one per ``rows_per_split``."""
         n = F.coalesce(F.col(rows_col), F.lit(0))
-        return F.least(F.lit(self.max_splits),
-                       F.greatest(F.lit(1), F.ceil(n / F.lit(self.rows_per_split)))).cast("int")
+        return F.greatest(F.lit(1), F.ceil(n / F.lit(self.rows_per_split))).cast("int")
+
+
+PLAIN = SkewPolicy(placeholder_parts=1)
 
 
 def key_counts(df: DataFrame, keys: list[str], name: str = COUNT) -> DataFrame:
@@ -84,87 +91,73 @@ def key_counts(df: DataFrame, keys: list[str], name: str = COUNT) -> DataFrame:
     return df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 
-def _heaviest(counts: DataFrame, count_col: str, policy: SkewPolicy) -> DataFrame:
-    return (counts.where(F.col(count_col) >= policy.hot_rows)
-            .orderBy(F.col(count_col).desc()).limit(policy.max_hot_keys))
-
-
-def hot_from_counts(counts: DataFrame, keys: list[str], policy: SkewPolicy,
-                    count_col: str = COUNT) -> DataFrame:
-    """Hot table for a join whose build side has at most one row per key
-    (semi/anti lookups, one-row-per-key tables), from probe-side counts."""
-    return (_heaviest(counts, count_col, policy)
-            .select(*keys, policy.parts(count_col).alias(SPLIT_L), F.lit(1).alias(SPLIT_R)))
-
-
 def hot_keys(left: DataFrame, right: DataFrame | None, keys: list[str], policy: SkewPolicy) -> DataFrame:
-    """Hot table ``keys, _split_l, _split_r`` for joining ``left`` to ``right``.
-
-    ``right=None`` means the build side has at most one row per key.
-    """
-    lc = key_counts(left, keys, COUNT_L)
-    if right is None:
-        return hot_from_counts(lc, keys, policy, COUNT_L)
-    rc = key_counts(right, keys, COUNT_R)
-    # A key heavy on one side only gets one part on the other side: there it
-    # has fewer than hot_rows rows (or is outside the top list), which one task holds.
-    heavy_l = _heaviest(lc, COUNT_L, policy).select(*keys, COUNT_L, F.lit(None).cast("long").alias(COUNT_R))
-    heavy_r = _heaviest(rc, COUNT_R, policy).select(*keys, F.lit(None).cast("long").alias(COUNT_L), COUNT_R)
-    both = (heavy_l.unionByName(heavy_r).groupBy(*keys)
-            .agg(F.max(COUNT_L).alias(COUNT_L), F.max(COUNT_R).alias(COUNT_R)))
-    return both.select(*keys, policy.parts(COUNT_L).alias(SPLIT_L), policy.parts(COUNT_R).alias(SPLIT_R))
-
-
-_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30,
-          "t": 1 << 40, "tb": 1 << 40}
-
-
-def byte_size(text: str) -> int:
-    """Parse a Spark byte-size setting such as ``10485760b``, ``10MB`` or ``-1``."""
-    m = re.fullmatch(r"\s*(-?)(\d+)\s*([a-z]*)\s*", str(text).lower())
-    if m is None:
-        raise ValueError(f"not a byte size: {text!r}")
-    value = int(m.group(2)) * _UNITS.get(m.group(3) or "b", 1)
-    return -value if m.group(1) else value
-
-
-def planned_as_broadcast(df: DataFrame) -> bool:
-    """True when Spark's planner will broadcast ``df`` as a join build side.
-
-    The same size check the planner applies (estimated plan size against
-    ``spark.sql.autoBroadcastJoinThreshold``). A broadcast join does not
-    shuffle the probe side, so no key can concentrate in one task and no
-    split is needed. Adaptive execution re-checks the size at run time.
-    """
-    limit = byte_size(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
-    if limit <= 0:
-        return False
-    qe = df._jdf.queryExecution()
-    # the analysed plan's estimate is cheap and rarely below the optimised one
-    if int(str(qe.analyzed().stats().sizeInBytes())) <= limit:
-        return True
-    return int(str(qe.optimizedPlan().stats().sizeInBytes())) <= limit
+    """Hot table ``keys, _split_l, _split_r`` for joining ``left`` to ``right``:
+    every key with ``hot_rows`` rows or more on a side. A side where the key has
+    fewer gets one part. ``right=None``: the build side has one row per key."""
+    none = F.lit(None).cast("long")
+    hot = (key_counts(left, keys, COUNT_L).where(F.col(COUNT_L) >= policy.hot_rows)
+           .select(*keys, COUNT_L, none.alias(COUNT_R)))
+    if right is not None:
+        heavy = (key_counts(right, keys, COUNT_R).where(F.col(COUNT_R) >= policy.hot_rows)
+                 .select(*keys, none.alias(COUNT_L), COUNT_R))
+        hot = (hot.unionByName(heavy).groupBy(*keys)
+               .agg(F.max(COUNT_L).alias(COUNT_L), F.max(COUNT_R).alias(COUNT_R)))
+    return hot.select(*keys, policy.parts(COUNT_L).alias(SPLIT_L), policy.parts(COUNT_R).alias(SPLIT_R))
+
+
+def _bounded(hot: DataFrame, policy: SkewPolicy) -> DataFrame | None:
+    """The hot table, read once and small enough to broadcast; None if empty."""
+    got = hot.limit(policy.max_broadcast_keys + 1).collect()
+    if len(got) > policy.max_broadcast_keys:
+        raise ValueError(f"more than {policy.max_broadcast_keys} keys have {policy.hot_rows} rows or more; "
+                         "raise idbridge.skew.hotRows or idbridge.skew.maxBroadcastKeys")
+    return hot.sparkSession.createDataFrame(got, hot.schema) if got else None
+
+
+def _side(df: DataFrame, hot: DataFrame, keys: list[str], own: str, part: str, other: str, other_part: str) -> DataFrame:
+    """``df`` with its part and a copy for every part of the other side."""
+    cols = df.columns
+    marked = df.join(F.broadcast(hot), keys, "left")
+    whole = marked.where(F.coalesce(F.col(own), F.lit(1)) <= 1).withColumn(part, F.lit(0))
+    equal = marked.where(F.col(own) > 1).groupBy(*cols, SPLIT_L, SPLIT_R).agg(F.count(F.lit(1)).alias(COUNT))
+    dealt = equal.withColumn(NUMBER, F.explode(F.sequence(F.lit(1).cast("long"), F.col(COUNT))))
+    dealt = dealt.withColumn(part, F.pmod(F.xxhash64(*cols, NUMBER), F.col(own)).cast("int")).drop(COUNT, NUMBER)
+    copies = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)
+    return whole.unionByName(dealt).withColumn(other_part, F.explode(copies))
+
+
+def _counted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, hot: DataFrame) -> DataFrame:
+    lt = _side(left, hot, keys, SPLIT_L, PART_L, SPLIT_R, PART_R)
+    rt = _side(right, hot, keys, SPLIT_R, PART_R, SPLIT_L, PART_L).drop(SPLIT_L, SPLIT_R)
+    if how == "left":
+        rt = rt.withColumn(MARK, F.lit(True))
+    out = lt.join(rt, keys + [PART_L, PART_R], how)
+    if how == "left":
+        # b > 1 means the key has build rows: a null-extended copy is an artefact
+        out = out.where(F.col(MARK).isNotNull() | (F.coalesce(F.col(SPLIT_R), F.lit(1)) <= 1))
+    return out
 
 
-def _copies(n_col: str) -> Column:
-    return F.explode(F.when(F.col(n_col).isNull(), F.array(F.lit(0)))
-                     .otherwise(F.sequence(F.lit(0), F.col(n_col) - 1)))
+def _placeholder(df: DataFrame) -> Column:
+    empty = F.col(KEY_VAL) == "" if isinstance(df.schema[KEY_VAL].dataType, T.StringType) else F.lit(False)
+    return F.col(KEY_NULL) | empty
 
 
-def _part(df: DataFrame, n_col: str) -> Column:
-    h = F.xxhash64(*[F.col(c) for c in df.columns if c not in (SPLIT_L, SPLIT_R)])
-    return F.when(F.col(n_col).isNull(), F.lit(0)).otherwise(F.pmod(h, F.col(n_col)).cast("int"))
+def _placeholder_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, parts: int) -> DataFrame:
+    dealt = F.pmod(F.xxhash64(*left.columns), F.lit(parts)).cast("int")
+    copies = F.when(_placeholder(right), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+    lt = left.withColumn(PART_L, F.when(_placeholder(left), dealt).otherwise(F.lit(0)))
+    return lt.join(right.withColumn(PART_L, F.explode(copies)), [*keys, PART_L], how)
 
 
 def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", *,
-              policy: SkewPolicy | None = None, hot: DataFrame | None = None,
-              unique_right: bool = False) -> DataFrame:
+              policy: SkewPolicy | None = None, unique_right: bool = False) -> DataFrame:
     """Equi-join on non-null key columns ``keys`` (same names on both sides).
 
     Output: left columns, then right non-key columns (none for semi/anti).
-    ``hot`` may pass a precomputed hot table (``hot_from_counts``).
     ``unique_right`` says the build side has at most one row per key (a
-    per-key table), so only the probe side is counted and split.
+    per-key table).
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"join type {how!r} not in {sorted(JOIN_TYPES)}")
@@ -175,21 +168,12 @@ def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     else:
         out_cols += [c for c in right.columns if c not in keys]
     policy = policy or SkewPolicy.from_session(left.sparkSession)
-    if not policy.enabled or planned_as_broadcast(right):
-        return left.join(right, keys, how).select(*out_cols)
-
-    if hot is None:
-        hot = hot_keys(left, None if (lookup_only or unique_right) else right, keys, policy)
-    hot = F.broadcast(hot)
-    lt = left.join(hot, keys, "left")
-    lt = lt.withColumn(PART_L, _part(lt, SPLIT_L)).withColumn(PART_R, _copies(SPLIT_R))
-    rt = right.join(hot, keys, "left")
-    rt = rt.withColumn(PART_R, _part(rt, SPLIT_R)).withColumn(PART_L, _copies(SPLIT_L))
-    rt = rt.drop(SPLIT_L, SPLIT_R)
-    if how == "left":
-        rt = rt.withColumn(MARK, F.lit(True))
-    out = lt.join(rt, keys + [PART_L, PART_R], how)
-    if how == "left":
-        # b > 1 means the key has build rows: a null-extended copy is an artefact
-        out = out.where(F.col(MARK).isNotNull() | (F.coalesce(F.col(SPLIT_R), F.lit(1)) <= 1))
-    return out.select(*out_cols)
+    one_row = lookup_only or unique_right
+    if policy.counted:
+        hot = _bounded(hot_keys(left, None if one_row else right, keys, policy), policy)
+        if hot is not None:
+            return _counted_join(left, right, keys, how, hot).select(*out_cols)
+    parts = policy.placeholder_parts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if one_row and parts > 1 and KEY_NULL in keys:
+        return _placeholder_join(left, right, keys, how, parts).select(*out_cols)
+    return left.join(right, keys, how).select(*out_cols)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from idbridge.operators.checks import row_count
 from idbridge.plans.pipelines import AssociationRepair, TicketOrphans, TransactionOrphans, UserMapping
@@ -46,6 +46,17 @@ def _new_members(spark: SparkSession, sf_dir: str) -> DataFrame:
         "external_id", "member_since")
 
 
+def _new_member_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds of the ids and times drawn at run time: as many distinct ids
+    as rows, all of UUID shape, and equal creation and update times."""
+    shape = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
+    return p4(spark, sf_dir).inserts.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_ids"),
+        F.count_if(F.col("id").rlike(shape)).alias("n_id_shape"),
+        F.count_if(F.col("created_at") == F.col("updated_at")).alias("n_same_time"),
+        F.count("external_id").alias("n_external_ids"))
+
+
 QUERIES: dict[str, Query] = {
     # P1: users -> members
     "mapped_users": lambda s, d: p1(s, d).mapped,
@@ -85,4 +96,5 @@ QUERIES: dict[str, Query] = {
     "unmatched_ticket_users": lambda s, d: p4(s, d).unmatched,
     "matched_ticket_orphans": lambda s, d: p4(s, d).matched,
     "new_members": _new_members,
+    "new_member_ids": _new_member_ids,
 }

@@ -19,9 +19,11 @@ def transaction_orphans(transactions: DataFrame, members: DataFrame, min_year: i
     have an email, fall in ``min_year`` or later, and whose email no member
     holds.
 
-    Raw emails, compared as SQL does (NULL matches nothing). "No member holds
-    it" means no member with a non-NULL id has that exact email, so this is
-    an anti join against those members.
+    Raw emails, compared as SQL does (NULL matches nothing). The source query
+    keeps a transaction row for which some joined member row has no id, so an
+    email counts as held only if every member row with it has an id: the anti
+    join is against those emails. (With a primary key on the member id this is
+    the same as "some member has it".)
 
     Emails compare byte for byte. A source database compares with its column
     collation; ``collation="UTF8_LCASE"`` gives the case-insensitive one for
@@ -31,7 +33,8 @@ def transaction_orphans(transactions: DataFrame, members: DataFrame, min_year: i
          .where(F.col("member_id").isNull() & F.col("customer_email").isNotNull()
                 & at_least_year(transactions, "date", min_year))
          .select("customer_email").distinct())
-    m = members.where(F.col("id").isNotNull()).select("email").distinct()
+    m = (members.groupBy("email").agg(F.count_if(F.col("id").isNull()).alias("_no_id"))
+         .where(F.col("_no_id") == 0).select("email"))
     if collation:
         # the left side holds distinct emails, so this join cannot be skewed
         on = F.collate(t.customer_email, collation) == F.collate(m.email, collation)

@@ -13,6 +13,7 @@ until a property is collected or written.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -20,15 +21,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from idbridge.functions.keys import KEY_COLS, add_key
 from idbridge.functions.text import sanitize_email
-from idbridge.operators.apply import (UpdatePlan, dedupe_inserts, member_inserts, smallest_two,
+from idbridge.operators.apply import (UpdatePlan, dedupe_inserts, member_inserts, smallest_two, stage,
                                       update_from_lookup)
-from idbridge.operators.checks import duplicate_rows, key_counts, mapping_summary
+from idbridge.operators.checks import duplicate_joined_rows, duplicate_rows, key_counts, mapping_summary
 from idbridge.operators.match import match_anti, match_inner, match_left
 from idbridge.operators.remap import remap_id
 from idbridge.operators.skew import skew_join
-from idbridge.operators.sinks import materialize, publish, write_jdbc
+from idbridge.operators.sinks import materialize, publish, published, read_published, write_jdbc
 from idbridge.plans.orphans import ticket_orphans, transaction_orphans
-from idbridge.sources.readers import JdbcConnection, Tables
+from idbridge.session import checkpoint_dir
+from idbridge.sources.readers import JdbcConnection, JdbcTables, Tables
 
 _CLEAN = "_clean_email"
 
@@ -43,12 +45,13 @@ def clean_members(members: DataFrame) -> DataFrame:
 
 @dataclass
 class UserMapping:
-    users: DataFrame     # id, email, fname, lname, created_at, hn_member_id
+    users: DataFrame     # id, email, hn_member_id and whatever else is stored
     members: DataFrame   # id, email
 
     @classmethod
     def from_tables(cls, spark: SparkSession, users_src: Tables, members_src: Tables) -> "UserMapping":
-        return cls(users_src.table(spark, "users"), members_src.table(spark, "members", ["id", "email"]))
+        return cls(users_src.target(spark, "users", ["id", "email", "hn_member_id"]),
+                   members_src.table(spark, "members", ["id", "email"]))
 
     @cached_property
     def clean_members(self) -> DataFrame:
@@ -74,7 +77,7 @@ class UserMapping:
 
     @property
     def dup_mapped(self) -> DataFrame:
-        return duplicate_rows(self.mapped, "email")
+        return duplicate_joined_rows(self.clean_users, self.clean_members.select("email", "member_id"), "email")
 
     def update(self, *, null_safe: bool = False, stable: bool = False) -> UpdatePlan:
         """Set ``users.hn_member_id`` to a staged member id of the same user
@@ -113,13 +116,15 @@ class UserMapping:
 class AssociationRepair:
     members: DataFrame       # id, email
     transactions: DataFrame  # id, customer_email, member_id, ...
-    reservations: DataFrame  # id, customer_email, member_id
-    invoices: DataFrame      # id, reservation_id, customer_id
+    reservations: DataFrame  # id, customer_email, member_id, ...
+    invoices: DataFrame      # id, reservation_id, customer_id, ...
 
     @classmethod
     def from_tables(cls, spark: SparkSession, src: Tables) -> "AssociationRepair":
-        return cls(src.table(spark, "members", ["id", "email"]), src.table(spark, "transactions"),
-                   src.table(spark, "reservations"), src.table(spark, "invoices"))
+        return cls(src.table(spark, "members", ["id", "email"]),
+                   src.target(spark, "transactions", ["id", "customer_email", "member_id"]),
+                   src.target(spark, "reservations", ["id", "customer_email", "member_id"]),
+                   src.target(spark, "invoices", ["id", "reservation_id", "customer_id"]))
 
     @cached_property
     def clean_members(self) -> DataFrame:
@@ -194,21 +199,29 @@ class AssociationRepair:
             lookup = self.reservations.select(F.col("id").alias("reservation_id"), "member_id")
         return update_from_lookup(self.invoices, key="id", match_col="reservation_id", set_col="customer_id",
                                   lookup=lookup, lookup_col="reservation_id", value_col="member_id",
-                                  guard="null_safe")
-
-    def run(self, out_root: str, *, cascade: bool = False, run_id: str | None = None) -> dict[str, str]:
-        """Write the three repaired tables, then one manifest naming all three.
-
-        The member candidate table feeds all three updates, so it is computed
-        once and checkpointed; a lost executor then costs a re-read, not a
-        recomputation from the member table.
+                                  guard="null_safe", unique_lookup=not cascade)
+
+    def run(self, out_root: str, *, cascade: bool = False, run_id: str | None = None,
+            stage_to: JdbcConnection | None = None, max_connections: int = 8) -> dict[str, str]:
+        """Write the three repaired tables and their change lists, then one
+        manifest naming all six.
+
+        The member candidate table feeds all three updates, and each update
+        feeds a table and a list, so these are computed once and checkpointed;
+        a lost executor then costs a re-read. The lists are staged as session
+        tables ``<name>_changes`` and, with ``stage_to``, overwrite tables of
+        that name in the database, from which its own UPDATE can follow.
         """
         cands = materialize(self.member_candidates)
-        return publish(self.members.sparkSession, {
-            "transactions": self.update_transactions(cands).table,
-            "reservations": self.update_reservations(cands).table,
-            "invoices": self.update_invoices(cascade, cands).table,
-        }, out_root, run_id=run_id)
+        plans = {"transactions": self.update_transactions(cands).materialized(),
+                 "reservations": self.update_reservations(cands).materialized(),
+                 "invoices": self.update_invoices(cascade, cands).materialized()}
+        staged = {f"{name}_changes": stage(plan.changes, f"{name}_changes") for name, plan in plans.items()}
+        if stage_to is not None:
+            for name, changes in staged.items():
+                write_jdbc(changes, stage_to, name, mode="overwrite", max_connections=max_connections)
+        return publish(self.members.sparkSession, {**{name: plan.table for name, plan in plans.items()}, **staged},
+                       out_root, run_id=run_id)
 
 
 # ---------------------------------------------------------------- P3
@@ -233,10 +246,15 @@ class TransactionOrphans:
     def dup_members(self) -> DataFrame:
         return duplicate_rows(self.clean_members, "email")
 
-    @property
+    @cached_property
     def orphans_raw(self) -> DataFrame:
         return transaction_orphans(self.transactions, self.members, self.min_year, self.collation)
 
+    def materialized(self) -> "TransactionOrphans":
+        """The same job with the orphans, which three reports read, computed once."""
+        self.orphans_raw = materialize(self.orphans_raw)
+        return self
+
     @property
     def orphans(self) -> DataFrame:
         """Orphan emails sanitised after the fetch; duplicates possible."""
@@ -307,13 +325,22 @@ class TicketOrphans:
         return dedupe_inserts(rows) if self.dedupe else rows
 
     def run(self, conn: JdbcConnection | None = None, table: str = "members", *,
-            out_root: str | None = None, run_id: str | None = None) -> DataFrame:
-        """Append the new members. The rows (with their random ids) are
-        checkpointed once, so the database append and the parquet copy hold
-        the same ids even if a task is retried."""
-        rows = materialize(self.inserts)
+            out_root: str | None = None, run_id: str | None = None, max_connections: int = 8) -> DataFrame:
+        """Append the new members; a run that is repeated adds no row twice.
+
+        The rows, with the random ids drawn for them, are first published under
+        ``run_id`` (in ``out_root``, or the checkpoint folder). A rerun of the
+        same ``run_id`` takes those rows instead of new ones, and the append
+        leaves out the ids that the table already has, which a half-failed
+        append may have left there.
+        """
+        spark = self.members.sparkSession
+        root, run_id = out_root or f"{checkpoint_dir(spark)}/inserts", run_id or uuid.uuid4().hex
+        if not published(spark, root, run_id):
+            publish(spark, {"member_inserts": self.inserts}, root, run_id=run_id)
+        rows = read_published(spark, root, run_id, "member_inserts")
         if conn is not None:
-            write_jdbc(rows, conn, table, mode="append")
-        if out_root is not None:
-            publish(rows.sparkSession, {"member_inserts": rows}, out_root, run_id=run_id)
+            there = JdbcTables(conn).raw(spark, table).select("id")
+            write_jdbc(rows.join(there, "id", "left_anti").select(*rows.columns), conn, table, mode="append",
+                       max_connections=max_connections)
         return rows

@@ -7,9 +7,6 @@ session it is given.
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every run wants: adaptive execution re-plans joins from measured
@@ -39,12 +36,12 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, *, local_fallback: bool = False) -> str:
+def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for reliable checkpoints and staged tables.
 
-    Read from ``spark.checkpoint.dir``. Only local (test) runs may fall back
-    to a fresh scratch folder; on a cluster an unset value is an error, since
-    a machine-local folder does not survive the loss of that machine.
+    Read from ``spark.checkpoint.dir``. An unset value is an error, since a
+    machine-local folder does not survive the loss of that machine; tests set
+    their own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -52,8 +49,4 @@ def checkpoint_dir(spark: SparkSession, *, local_fallback: bool = False) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    if not (local_fallback and sc.master.startswith("local")):
-        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
-    path = tempfile.mkdtemp(prefix="idbridge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")

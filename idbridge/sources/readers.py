@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from idbridge.sources import fixtures
-from idbridge.sources.schemas import check_schema
+from idbridge.sources.schemas import check_schema, check_target
 
 # JDBC URL prefix and driver class per database kind.
 JDBC_KINDS = {
@@ -72,6 +72,35 @@ class Partitioning:
     num: int
 
 
+@dataclass
+class KeyRanges:
+    """Parallel JDBC read by a string key: one task per range between ``cuts``
+    (ascending, compared as the database does). For ids of hex digits,
+    ``KeyRanges.hex("id", 64)`` cuts the space evenly.
+
+    ``column`` is written into the predicates as given, quoted by the caller
+    where the database needs it. Every row falls into exactly one range: rows
+    below the first cut and NULL keys into the first."""
+
+    column: str
+    cuts: list[str]
+
+    @classmethod
+    def hex(cls, column: str, num: int) -> "KeyRanges":
+        digits = 1
+        while 16 ** digits < num:
+            digits += 1
+        return cls(column, [f"{i * 16 ** digits // num:0{digits}x}" for i in range(1, num)])
+
+    def predicates(self) -> list[str]:
+        q = lambda v: "'" + v.replace("'", "''") + "'"
+        c, cuts = self.column, sorted(set(self.cuts))
+        if not cuts:
+            return ["1 = 1"]
+        between = [f"{c} >= {q(a)} AND {c} < {q(b)}" for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return [f"{c} < {q(cuts[0])} OR {c} IS NULL", *between, f"{c} >= {q(cuts[-1])}"]
+
+
 class Tables:
     """Source of logical tables; subclasses say where they live."""
 
@@ -81,6 +110,10 @@ class Tables:
     def table(self, spark: SparkSession, name: str, columns: list[str] | None = None) -> DataFrame:
         return check_schema(self.raw(spark, name), name, columns)
 
+    def target(self, spark: SparkSession, name: str, needed: list[str]) -> DataFrame:
+        """A table to be updated: all stored columns, with their types."""
+        return check_target(self.raw(spark, name), name, needed)
+
 
 class FixtureTables(Tables):
     """Tables derived from the TPC-H-style parquet files in ``sf_dir``.
@@ -107,6 +140,9 @@ class FixtureTables(Tables):
         df = spark.table(view)
         return df.select(*columns) if columns else df
 
+    def target(self, spark, name, needed):
+        return check_target(self.table(spark, name), name, needed)
+
 
 class ParquetTables(Tables):
     """One parquet folder (or file) per table under ``root``.
@@ -126,12 +162,13 @@ class JdbcTables(Tables):
     """Tables read through Spark's JDBC source.
 
     ``names`` maps logical names to qualified database names
-    (``{"tickets": "sales.tickets"}``); ``partitions`` gives per-table
-    range partitioning so large tables are read by many tasks at once.
+    (``{"tickets": "sales.tickets"}``); ``partitions`` says per table how it
+    is read by many tasks at once: ``Partitioning`` for a numeric column,
+    ``KeyRanges`` for a string key.
     """
 
     def __init__(self, conn: JdbcConnection, names: dict[str, str] | None = None,
-                 partitions: dict[str, Partitioning] | None = None, fetch_size: int = 10000):
+                 partitions: dict[str, Partitioning | KeyRanges] | None = None, fetch_size: int = 10000):
         self.conn, self.names = conn, names or {}
         self.partitions, self.fetch_size = partitions or {}, fetch_size
 
@@ -139,13 +176,17 @@ class JdbcTables(Tables):
         r = spark.read.format("jdbc").options(**self.conn.options())
         r = r.option("fetchsize", str(self.fetch_size))
         p = self.partitions.get(name)
-        if p is not None:
+        if isinstance(p, Partitioning):
             r = (r.option("partitionColumn", p.column).option("lowerBound", str(p.lower))
                   .option("upperBound", str(p.upper)).option("numPartitions", str(p.num)))
         return r
 
     def raw(self, spark, name):
-        return self._reader(spark, name).option("dbtable", self.names.get(name, name)).load()
+        p, table = self.partitions.get(name), self.names.get(name, name)
+        if isinstance(p, KeyRanges):
+            opts = {**self.conn.options(), "fetchsize": str(self.fetch_size)}
+            return spark.read.jdbc(opts.pop("url"), table, predicates=p.predicates(), properties=opts)
+        return self._reader(spark, name).option("dbtable", table).load()
 
     def query(self, spark: SparkSession, sql: str, partition: Partitioning | None = None) -> DataFrame:
         """A relation defined by SQL text that runs inside the database.

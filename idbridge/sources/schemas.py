@@ -36,6 +36,18 @@ MEMBER_INSERT = _struct(
 )
 
 
+def check_target(df: DataFrame, name: str, needed: list[str]) -> DataFrame:
+    """``df`` as stored, with all its columns and types, for a table that is
+    written back whole; only checks that ``needed`` exist and can be cast to
+    their logical types."""
+    schema, have = SCHEMAS[name], set(df.columns)
+    missing = [c for c in needed if c not in have]
+    if missing:
+        raise ValueError(f"{name}: missing columns {missing}; found {sorted(have)}")
+    df.select(*[df[c].cast(schema[c].dataType) for c in needed])  # analysed at once: a type that cannot be cast raises
+    return df
+
+
 def check_schema(df: DataFrame, name: str, columns: list[str] | None = None,
                  *, strict_types: bool = False) -> DataFrame:
     """Select ``columns`` (default: all logical columns) and verify them.

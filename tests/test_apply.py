@@ -111,3 +111,32 @@ def test_materialized_plan_gives_same_table_and_changes(target, lookup):
     assert rows(m.table) == rows(plan.table)
     assert rows(m.changes) == rows(plan.changes)
     assert m.without("email").table.columns == ["id", "member_id"]
+
+
+def test_dedupe_keeps_rows_without_email_apart(spark):
+    from idbridge.operators import dedupe_inserts
+    df = spark.createDataFrame([(1, None), (2, None), (3, "a"), (4, "a")], "external_id long, email string")
+    assert rows(dedupe_inserts(df)) == [(1, None), (2, None), (3, "a")]
+
+
+def test_member_row_without_id_does_not_hold_its_email(spark):
+    """The source query joins members and keeps rows whose member id is NULL."""
+    import datetime as dt
+
+    from idbridge.plans.orphans import transaction_orphans
+    day = dt.datetime(2026, 1, 1)
+    trans = spark.createDataFrame([(i, e, None, day) for i, e in enumerate(["a", "b", "c", "d"])],
+                                  "id long, customer_email string, member_id string, date timestamp_ntz")
+    members = spark.createDataFrame([("M1", "a"), (None, "b"), ("M2", "c"), (None, "c")], "id string, email string")
+    assert rows(transaction_orphans(trans, members, 2026)) == [("b",), ("c",), ("d",)]
+
+
+def test_unique_lookup_gives_the_same_update(spark):
+    from idbridge.operators import update_from_lookup
+    target = spark.createDataFrame([(1, 10, "x"), (2, 11, None), (3, None, "y"), (4, 99, "z"), (5, 12, "w")],
+                                   "id long, ref long, cur string")
+    lookup = spark.createDataFrame([(10, "p"), (11, "q"), (12, None), (13, "r")], "ref long, v string")
+    args = dict(key="id", match_col="ref", set_col="cur", lookup=lookup, lookup_col="ref", value_col="v")
+    plain, unique = (update_from_lookup(target, **args, unique_lookup=u) for u in (False, True))
+    assert rows(plain.table) == rows(unique.table)
+    assert rows(plain.changes) == rows(unique.changes) == [(1, "x", "p"), (2, None, "q")]

@@ -5,11 +5,12 @@ from pyspark.sql import functions as F
 
 from idbridge.functions.keys import KEY_COLS, add_key
 from idbridge.operators import SkewPolicy, hot_keys, match_left, skew_join
-from idbridge.operators.checks import duplicate_rows
+from idbridge.operators.checks import duplicate_joined_rows, duplicate_rows
+from idbridge.operators.skew import PART_L, PLAIN, SPLIT_L, SPLIT_R, _side
 from tests.conftest import rows
 
-SPLIT = SkewPolicy(hot_rows=50, rows_per_split=100, max_splits=8, max_hot_keys=10)
-OFF = SkewPolicy(hot_rows=0)
+SPLIT = SkewPolicy(hot_rows=50, rows_per_split=100)
+JOINS = ["inner", "left", "left_semi", "left_anti"]
 
 
 @pytest.fixture(autouse=True)
@@ -21,15 +22,6 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_broadcast_side_is_not_split(spark, skewed, scratch):
-    left, right = skewed
-    right.write.parquet(f"{scratch}/right")  # file-backed, so the planner knows its size
-    right = spark.read.parquet(f"{scratch}/right")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
-    out = skew_join(left, right, KEY_COLS, "left", policy=SPLIT)
-    assert "_part_l" not in out._jdf.queryExecution().optimizedPlan().toString()
-
-
 @pytest.fixture()
 def skewed(spark):
     # a third of the left rows on NULL, a quarter on one email, the rest spread
@@ -44,24 +36,6 @@ def skewed(spark):
     return add_key(left, "email"), add_key(right, "email").drop("email")
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_split_join_equals_plain_join(skewed, how):
-    left, right = skewed
-    split = skew_join(left, right, KEY_COLS, how, policy=SPLIT)
-    plain = skew_join(left, right, KEY_COLS, how, policy=OFF)
-    assert split.columns == plain.columns
-    assert rows(split) == rows(plain)
-
-
-def test_hot_keys_are_bounded_and_split(skewed):
-    left, _ = skewed
-    hot = hot_keys(left, None, KEY_COLS, SPLIT).collect()
-    assert len(hot) == 2  # NULL (800 rows) and hot@x (600 rows)
-    assert all(2 <= r["_split_l"] <= SPLIT.max_splits and r["_split_r"] == 1 for r in hot)
-    tight = SkewPolicy(hot_rows=1, rows_per_split=100, max_splits=8, max_hot_keys=3)
-    assert len(hot_keys(left, None, KEY_COLS, tight).collect()) == 3
-
-
 @pytest.fixture()
 def both_hot(spark):
     # NULL is hot on both sides; "big@x" only on the build side; "lone@x" only on the probe side
@@ -79,71 +53,115 @@ def both_hot(spark):
     return add_key(left, "email"), add_key(right, "email").drop("email")
 
 
+@pytest.mark.parametrize("how", JOINS)
+@pytest.mark.parametrize("case", ["skewed", "both_hot"])
+def test_split_join_equals_plain_join(request, case, how):
+    left, right = request.getfixturevalue(case)
+    plain = skew_join(left, right, KEY_COLS, how, policy=PLAIN)
+    for policy in (SPLIT, SkewPolicy(), SkewPolicy(placeholder_parts=3)):
+        split = skew_join(left, right, KEY_COLS, how, policy=policy)
+        assert split.columns == plain.columns
+        assert rows(split) == rows(plain)
+
+
+@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
+def test_placeholders_are_dealt_to_parts_without_a_count(skewed, how):
+    left, right = skewed
+    one = right.groupBy(*KEY_COLS).agg(F.min("member_id").alias("member_id"))
+    policy = SkewPolicy(placeholder_parts=7)
+    out = skew_join(left, one, KEY_COLS, how, policy=policy, unique_right=True)
+    assert rows(out) == rows(skew_join(left, one, KEY_COLS, how, policy=PLAIN, unique_right=True))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert PART_L in plan and plan.count("Range (0, 2400") == 1  # the probe side is read once
+    plan = skew_join(left, right, KEY_COLS, "inner", policy=policy)._jdf.queryExecution().optimizedPlan().toString()
+    assert PART_L not in plan and plan.count("Range (0, 2400") == 1
+
+
+def test_empty_string_is_a_placeholder(spark):
+    left = add_key(spark.range(500).select("id", F.lit("").alias("email")), "email")
+    right = add_key(spark.createDataFrame([("M1", "")], "member_id string, email string"), "email").drop("email")
+    out = skew_join(left, right, KEY_COLS, "left", policy=SkewPolicy(placeholder_parts=5), unique_right=True)
+    assert out.where("member_id = 'M1'").count() == out.count() == 500
+
+
+def test_every_hot_key_is_split_whatever_their_number(spark):
+    left = add_key(spark.range(6000).select("id", (F.col("id") % 1500).cast("string").alias("email")), "email")
+    policy = SkewPolicy(hot_rows=4, rows_per_split=2)
+    hot = hot_keys(left, None, KEY_COLS, policy).collect()
+    assert len(hot) == 1500 and {(r[SPLIT_L], r[SPLIT_R]) for r in hot} == {(2, 1)}
+    right = add_key(spark.range(0, 1500, 2).select(F.col("id").cast("string").alias("email")), "email").drop("email")
+    assert skew_join(left, right, KEY_COLS, "left_semi", policy=policy).count() == 3000
+
+
+def test_parts_follow_the_rows(spark):
+    left = add_key(spark.range(6000).select("id", F.lit("a").alias("email")), "email")
+    hot = hot_keys(left, None, KEY_COLS, SkewPolicy(hot_rows=10, rows_per_split=4)).collect()
+    assert [(r[SPLIT_L], r[SPLIT_R]) for r in hot] == [(1500, 1)]
+
+
+def test_too_many_hot_keys_fail_loudly(skewed):
+    left, right = skewed
+    with pytest.raises(ValueError, match="hotRows"):
+        skew_join(left, right, KEY_COLS, "inner", policy=SkewPolicy(hot_rows=1, max_broadcast_keys=3))
+
+
 def test_build_side_hot_keys_get_build_parts(both_hot):
     left, right = both_hot
-    hot = {(r["_k_null"], r["_k_val"]): (r["_split_l"], r["_split_r"])
+    hot = {(r["_k_null"], r["_k_val"]): (r[SPLIT_L], r[SPLIT_R])
            for r in hot_keys(left, right, KEY_COLS, SPLIT).collect()}
-    assert hot[(True, "")][0] >= 2 and hot[(True, "")][1] >= 2   # NULL: 300 probe, 350 build rows
-    assert hot[(False, "big@x")] == (1, 2)                        # 2 probe, 175 build rows
-    assert hot[(False, "lone@x")] == (3, 1)                       # 300 probe, no build rows
+    assert hot[(True, "")] == (3, 4)  # NULL: 300 probe, 350 build rows
+    assert hot[(False, "big@x")] == (1, 2)  # 2 probe, 175 build rows
+    assert hot[(False, "lone@x")] == (3, 1)  # 300 probe, no build rows
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_two_sided_split_equals_plain_join(both_hot, how):
-    left, right = both_hot
-    split = skew_join(left, right, KEY_COLS, how, policy=SPLIT)
-    plain = skew_join(left, right, KEY_COLS, how, policy=OFF)
-    assert rows(split) == rows(plain)
-    if how == "left":
-        # every left row kept; rows with no build match appear once, null-extended
-        assert split.select("id").distinct().count() == left.count()
+@pytest.mark.parametrize("how", JOINS)
+def test_equal_rows_take_different_parts(spark, how):
+    """200 equal rows of one key: many parts, and the plain join's result."""
+    left = add_key(spark.range(200).select(F.lit("a@x").alias("email")), "email")
+    right = add_key(spark.createDataFrame([("a@x",), ("a@x",), ("b@x",)], "email string"), "email").drop("email")
+    policy = SkewPolicy(hot_rows=50, rows_per_split=20)
+    hot = hot_keys(left, right, KEY_COLS, policy)
+    parts = _side(left, hot, KEY_COLS, SPLIT_L, PART_L, SPLIT_R, "_part_r")
+    assert parts.count() == 200 and parts.select(PART_L).distinct().count() > 5
+    assert rows(skew_join(left, right, KEY_COLS, how, policy=policy)) == \
+        rows(skew_join(left, right, KEY_COLS, how, policy=PLAIN))
 
 
-def test_hot_key_rows_spread_over_salts(skewed):
+def test_part_assignment_is_deterministic(skewed):
+    # a retried task must put every row in the same part
+    left, _ = skewed
+    hot = hot_keys(left, None, KEY_COLS, SPLIT)
+    side = lambda df: rows(_side(df, hot, KEY_COLS, SPLIT_L, PART_L, SPLIT_R, "_part_r"), "id", PART_L)
+    first = side(left)
+    assert first == side(left.repartition(7))
+    assert len({p for _, p in first}) > 1
+
+
+def test_hot_key_rows_meet_each_match_once(skewed):
     left, right = skewed
     out = skew_join(left, right, KEY_COLS, "left", policy=SPLIT)
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "_part_l" in plan
-    # each left row appears once per matching right row, never more
+    assert PART_L in out._jdf.queryExecution().optimizedPlan().toString()
     per_id = out.groupBy("id").count()
     assert per_id.where("count > 3").count() == 0
     assert per_id.count() == left.count()
 
 
-def test_salted_paths_in_operators_match_plain(spark, skewed):
-    left, right = skewed
+def test_operators_with_counted_splitting_match_plain(spark, skewed):
+    left, _ = skewed
     users = left.drop(*KEY_COLS)
     members = spark.createDataFrame(
         [("M1", None), ("M2", None), ("M3", "hot@x"), ("M6", "u7@x")], "member_id string, email string")
+
+    def results():
+        return [rows(match_left(users, members, "email")), rows(duplicate_rows(users, "email", sort=False)),
+                rows(duplicate_joined_rows(users, members, "email", sort=False))]
+
+    plain = results()
+    assert plain[2] == rows(duplicate_rows(match_left(users, members, "email"), "email", sort=False))
     spark.conf.set("idbridge.skew.hotRows", "50")
     spark.conf.set("idbridge.skew.rowsPerSplit", "100")
     try:
-        split_map = rows(match_left(users, members, "email"))
-        split_dup = rows(duplicate_rows(users, "email", sort=False))
+        assert results() == plain
     finally:
         spark.conf.unset("idbridge.skew.hotRows")
         spark.conf.unset("idbridge.skew.rowsPerSplit")
-    spark.conf.set("idbridge.skew.hotRows", "0")
-    try:
-        assert split_map == rows(match_left(users, members, "email"))
-        assert split_dup == rows(duplicate_rows(users, "email", sort=False))
-    finally:
-        spark.conf.unset("idbridge.skew.hotRows")
-
-
-def test_two_sided_hot_table_is_bounded(both_hot):
-    left, right = both_hot
-    tight = SkewPolicy(hot_rows=1, rows_per_split=100, max_splits=8, max_hot_keys=2)
-    assert len(hot_keys(left, right, KEY_COLS, tight).collect()) <= 2 * tight.max_hot_keys
-
-
-def test_part_assignment_is_deterministic(skewed):
-    # a retried task must put every row in the same part
-    from idbridge.operators.skew import PART_L, SPLIT_L, _part
-    left, _ = skewed
-    hot = hot_keys(left, None, KEY_COLS, SPLIT)
-    lt = left.join(F.broadcast(hot), KEY_COLS, "left")
-    lt = lt.withColumn(PART_L, _part(lt, SPLIT_L)).select("id", PART_L)
-    first, second = rows(lt), rows(lt.repartition(7))
-    assert first == second
-    assert len({p for _, p in first}) > 1

@@ -4,8 +4,8 @@ Usage: python tools/plans.py [sf_dir] > docs/PLANS.md
 
 Two columns of settings: as planned on the test data, and with broadcast
 joins off (``autoBroadcastJoinThreshold=-1``), which is how the plans look
-when every table is too large to broadcast. Counts come from the executed
-adaptive plan, so they reflect what ran.
+when every table is too large to broadcast. Counts come from the initial
+physical plan, before adaptive execution changes it.
 """
 
 from __future__ import annotations
