@@ -116,7 +116,7 @@ def parse(page: str) -> Element:
         tag = m[2].lower()
         if m[1]:
             if tag not in ("html", "body"):
-                close({tag}, {"article", "main", "body"} - {tag} if tag not in BLOCK else {"body"} - {tag})
+                close({tag}, {"body"} if tag in BLOCK else BLOCK)
             continue
         if tag in ("html", "body", "head") and any(e.tag == tag for e in stack):
             continue

@@ -7,12 +7,13 @@ from the continuation counts of the 5-gram types of both classes; the toxic
 model's back off to the ordinary one, so an expression too rare to be told
 apart scores the same in both. A text's value is its log likelihood ratio per
 byte, less what each context's ratio would be on average in ordinary text:
-ordinary text of any language then has a mean of 0. A logistic curve, fitted on
-labelled rows that the counts leave out, turns it into a score.
+ordinary text of any language then has a mean of 0. A logistic curve turns it
+into a score. The curve is fitted on all labelled rows, each valued by a model
+that has counted only the other half of them.
 
 All labelled rows are counted. Tasks send one entry per 5-gram type; there are
 32**5 types at most, so the tables after the sum have a bound that does not
-depend on the input: 32 MB, one byte per 5-gram, for the scoring tasks.
+depend on the input: 32 MB a model, one byte per 5-gram, for the scoring tasks.
 
 Defined results: a null text is empty, an empty one has a ratio of 0; rows of
 a doc_id with several labels count as toxic if one says so; null labels or
@@ -65,32 +66,35 @@ def grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return code
 
 
+COUNTS = ("t0", "o0", "t1", "o1")  # toxic and ordinary, in both halves
+MODELS = {"ratio": (0, 1), "without0": (1,), "without1": (0,)}  # the halves that each model counts
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """5-gram types of the task with their counts in both classes."""
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    """5-gram types of the task with their counts by class and half."""
+    held: list[tuple[np.ndarray, ...]] = []
 
-    def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def merged() -> tuple[np.ndarray, ...]:
         code, at = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-        return (code, *(np.bincount(at, np.concatenate([h[k] for h in held]), len(code)) for k in (1, 2)))
+        return (code, *(np.bincount(at, np.concatenate([h[k] for h in held]), len(code)) for k in range(1, 5)))
 
     for batch in batches:
         data, offsets = utf8(batch.column("text"))
-        toxic = batch.column("toxic").to_numpy(zero_copy_only=False).astype(bool)
+        which = 2 * batch.column("half").to_numpy(zero_copy_only=False) + 1 - batch.column("toxic").to_numpy(zero_copy_only=False)
         for i, j in chunks(offsets, 1 << 22):
             code = grams(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-            bad = np.repeat(toxic[i:j], np.diff(offsets[i:j + 1]))
             types, at = np.unique(code, return_inverse=True)
-            t = np.bincount(at, bad, len(types))
-            held.append((types, t, np.bincount(at, minlength=len(types)) - t))
+            own = np.repeat(which[i:j].astype(np.int64), np.diff(offsets[i:j + 1]))
+            n = np.bincount(at * 4 + own, minlength=4 * len(types)).reshape(-1, 4)
+            held.append((types, *n.T))
             if len(held) > 16:
                 held = [merged()]
     if held:
-        code, t, o = merged()
-        for a in range(0, len(code), 1 << 16):
+        every = merged()
+        for a in range(0, len(every[0]), 1 << 16):
             part = [pa.ListArray.from_arrays(pa.array([0, len(x[a:a + (1 << 16)])], pa.int32()),
-                                             pa.array(x[a:a + (1 << 16)].astype(np.int64)))
-                    for x in (code, t, o)]
-            yield pa.RecordBatch.from_arrays(part, names=["code", "t", "o"])
+                                             pa.array(x[a:a + (1 << 16)].astype(np.int64))) for x in every]
+            yield pa.RecordBatch.from_arrays(part, names=["code", *COUNTS])
 
 
 def discount(counts: np.ndarray) -> float:
@@ -124,51 +128,60 @@ def _smoothed(n: np.ndarray, d: float, strength: float, back: np.ndarray) -> np.
 
 
 def _ratios(table: pa.Table, shared: np.ndarray, d: dict[str, float], strength: float) -> pa.Table:
-    """Log ratios of all 5-grams of one two-symbol start, a byte each."""
+    """Log ratios of all 5-grams of one two-symbol start, a byte each, for
+    every model."""
     group, at = table["g"][0].as_py(), table["code"].to_numpy() & ((1 << GROUP) - 1)
-    n = {c: np.zeros(1 << GROUP) for c in "to"}
-    for c in "to":
-        n[c][at] = table[c].to_numpy()
-        n[c] = n[c].reshape(-1, SYMBOLS)
     back = shared.reshape(SYMBOLS, -1)[group % SYMBOLS].reshape(-1, SYMBOLS)  # by its second symbol and two more
-    ordinary = _smoothed(n["o"], d["o"], 0.0, back)
-    toxic = _smoothed(n["t"], d["t"], strength, ordinary)
-    ratio = np.log(toxic / ordinary)
-    ratio -= (ordinary * ratio).sum(axis=1, keepdims=True)
-    step = np.clip(np.rint(ratio / STEP), -127, 127).astype(np.int8)
-    return pa.table({"g": pa.array([group], pa.int32()), "row": pa.array([step.tobytes()], pa.binary())})
-
-
-def fit(labelled: DataFrame, store: Store, strength: float = STRENGTH) -> np.ndarray:
-    """Log ratios (in steps) of all 5-grams, from rows (text, toxic)."""
-    counted = labelled.mapInArrow(_counts, "code array<bigint>, t array<bigint>, o array<bigint>")
-    counted = counted.select(F.explode(F.arrays_zip("code", "t", "o")).alias("x")).select("x.*")
-    counted = store.put(counted.groupBy("code").agg(F.sum("t").alias("t"), F.sum("o").alias("o")), "grams")
-    n = counted.agg(*[F.count_if(F.col(c) == k).alias(f"{c}{k}") for c in "to" for k in (1, 2)],
-                    F.coalesce(F.sum("t"), F.lit(0)).alias("t"), F.coalesce(F.sum("o"), F.lit(0)).alias("o")).first()
-    out = np.zeros(MASK + 1, np.int8)
+    rows = []
+    for halves in MODELS.values():
+        n = {}
+        for c in "to":
+            n[c] = np.zeros(1 << GROUP)
+            n[c][at] = sum(table[f"{c}{k}"].to_numpy() for k in halves)
+            n[c] = n[c].reshape(-1, SYMBOLS)
+        ordinary = _smoothed(n["o"], d["o"], 0.0, back)
+        toxic = _smoothed(n["t"], d["t"], strength, ordinary)
+        ratio = np.log(toxic / ordinary)
+        ratio -= (ordinary * ratio).sum(axis=1, keepdims=True)
+        rows.append(np.clip(np.rint(ratio / STEP), -127, 127).astype(np.int8).tobytes())
+    return pa.table({"g": pa.array([group] * len(rows), pa.int32()), "model": pa.array(list(MODELS)),
+                     "row": pa.array(rows, pa.binary())})
+
+
+def fit(labelled: DataFrame, store: Store, strength: float = STRENGTH) -> dict[str, np.ndarray]:
+    """Log ratios (in steps) of all 5-grams by model, from rows (text, toxic
+    and half: 0 or 1)."""
+    counted = labelled.mapInArrow(_counts, ", ".join(f"{c} array<bigint>" for c in ("code", *COUNTS)))
+    counted = counted.select(F.explode(F.arrays_zip("code", *COUNTS)).alias("x")).select("x.*")
+    counted = store.put(counted.groupBy("code").agg(*[F.sum(c).alias(c) for c in COUNTS]), "grams")
+    both = {c: F.col(f"{c}0") + F.col(f"{c}1") for c in "to"}
+    n = counted.agg(*[F.count_if(both[c] == k).alias(f"{c}_{k}") for c in "to" for k in (1, 2)],
+                    *[F.coalesce(F.sum(both[c]), F.lit(0)).alias(c) for c in "to"]).first()
+    out = {m: np.zeros(MASK + 1, np.int8) for m in MODELS}
     if not n["t"] or not n["o"]:
         return out
-    d = {c: n[f"{c}1"] / (n[f"{c}1"] + 2 * n[f"{c}2"]) if n[f"{c}1"] else 0.5 for c in "to"}
+    d = {c: n[f"{c}_1"] / (n[f"{c}_1"] + 2 * n[f"{c}_2"]) if n[f"{c}_1"] else 0.5 for c in "to"}
     left = (counted.groupBy((F.col("code") % CONTEXT).cast("int").alias("c")).agg(F.count(F.lit(1)).cast("int").alias("n"))
             .toPandas())  # at most 32**4 rows
     back = labelled.sparkSession.sparkContext.broadcast(shared_backoff(left["c"].to_numpy(), left["n"].to_numpy()))
     rows = (counted.withColumn("g", F.shiftright("code", GROUP).cast("int")).groupBy("g")
-            .applyInArrow(lambda t: _ratios(t, back.value, d, strength), "g int, row binary").collect())  # at most 32**5 bytes
-    for r in rows:
-        out[r["g"] << GROUP:(r["g"] + 1) << GROUP] = np.frombuffer(r["row"], np.int8)
+            .applyInArrow(lambda t: _ratios(t, back.value, d, strength), "g int, model string, row binary"))
+    for r in rows.toLocalIterator():  # at most 32**5 bytes for each model
+        out[r["model"]][r["g"] << GROUP:(r["g"] + 1) << GROUP] = np.frombuffer(r["row"], np.int8)
     return out
 
 
-def _mean_ratio(batches: Iterator[pa.RecordBatch], ratios: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _mean_ratio(batches: Iterator[pa.RecordBatch], ratios: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = utf8(batch.column("text"))
-        z = np.zeros(batch.num_rows)
-        for i, j in chunks(offsets):
-            step = ratios[grams(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])]
-            total = np.concatenate(([0], np.cumsum(step, dtype=np.int64)))[offsets[i:j + 1] - offsets[i]]
-            z[i:j] = np.diff(total) * STEP / np.maximum(np.diff(offsets[i:j + 1]), 1)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(z)], names=["doc_id", "ratio"])
+        z = {m: np.zeros(batch.num_rows) for m in ratios}
+        for i, j in chunks(offsets, 1 << 18):
+            cut = offsets[i:j + 1] - offsets[i]
+            code = grams(data[offsets[i]:offsets[j]], cut)
+            for m, table in ratios.items():
+                total = np.concatenate(([0], np.cumsum(table[code], dtype=np.int64)))[cut]
+                z[m][i:j] = np.diff(total) * STEP / np.maximum(np.diff(cut), 1)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, z.values())], names=["doc_id", *z])
 
 
 @dataclass(frozen=True)
@@ -204,20 +217,21 @@ def calibrate(rows: DataFrame, bins: int = 4000, width: float = 1 / 2000) -> Cur
     return Curve(float(w[0] / scale), float(w[1]))
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, teaches: Column, calibrates: Column, store: Store) -> DataFrame:
+def score_toxicity(docs: DataFrame, labels: DataFrame, teaches: Column, half: Column, store: Store) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, ratio, score, one row per row.
-    ``labels`` (doc_id, toxic); the models count the labelled rows where
-    ``teaches`` holds, the curve is fitted where ``calibrates`` does (both on
-    doc_id, and disjoint)."""
+    ``labels`` (doc_id, toxic) are learned where ``teaches`` holds; ``half``
+    deals them to two halves, 0 and 1 (both on doc_id)."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    labels = (labels.where("doc_id is not null and toxic is not null").groupBy("doc_id")
-              .agg(F.max(F.col("toxic").cast("int")).alias("toxic")))
-    learned = store.put(labels.where(teaches), "labels")
-    known = likely_rows(docs, "doc_id", learned, "doc_id").join(learned, "doc_id").select("text", "toxic")
+    learned = store.put(labels.where("doc_id is not null and toxic is not null").where(teaches).groupBy("doc_id")
+                        .agg(F.max(F.col("toxic").cast("int")).alias("toxic")).withColumn("half", half.cast("int")), "labels")
+    known = likely_rows(docs, "doc_id", learned, "doc_id").join(learned, "doc_id").select("text", "toxic", "half")
     ratios = spark.sparkContext.broadcast(fit(known, store))
-    schema = docs.select("doc_id").schema.add("ratio", T.DoubleType())
+    schema = docs.select("doc_id").schema
+    for m in MODELS:
+        schema = schema.add(m, T.DoubleType())
     valued = store.put(docs.mapInArrow(lambda it: _mean_ratio(it, ratios.value), schema), "ratios")
-    curve = calibrate(valued.join(labels.where(calibrates), "doc_id"))
-    return valued.withColumn("score", 1 / (1 + F.exp(-(curve.slope * F.col("ratio") + curve.base))))
+    other = F.when(F.col("half") == 0, F.col("without0")).otherwise(F.col("without1"))
+    curve = calibrate(valued.join(learned, "doc_id").select(other.alias("ratio"), "toxic"))
+    return valued.select("doc_id", "ratio", (1 / (1 + F.exp(-(curve.slope * F.col("ratio") + curve.base)))).alias("score"))

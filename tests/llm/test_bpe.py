@@ -1,0 +1,102 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from idbridge.llm import bpe
+from idbridge.llm.queries import vocabulary
+
+from . import helpers as h
+
+
+@pytest.fixture(scope="module")
+def library():
+    tokenizers = pytest.importorskip("tokenizers")
+    t = tokenizers.Tokenizer.from_file(vocabulary())
+    t.no_padding()
+    t.no_truncation()
+    return t
+
+
+@pytest.fixture(scope="module")
+def merges():
+    return bpe.load(vocabulary())
+
+
+def hard_texts(merges):
+    rng = random.Random(4)
+    letters = [t.decode() for t in merges.token if t.isalpha() and t.isascii()]
+    out = ["", " ", "a" * 3001, "ab" * 2000, "the" * 1500, " " * 500 + "x", "\n\n\n  a", "é" * 999, "日本語" * 300,
+           "0123456789" * 300, "=-" * 777, "😀" * 300, "'s't I'll we've'", "a<|endoftext|> b<|endoftext|><|endoftext|>",
+           "  x", "\x00\x01"]
+    out += ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzaeiouthn", k=rng.randint(1, 4000))) for _ in range(40)]
+    out += ["".join(rng.choices(letters, k=rng.randint(1, 700))) for _ in range(40)]
+    return out
+
+
+def test_same_ids_as_the_library(merges, library):
+    enc, texts = bpe.Encoder(vocabulary()), hard_texts(merges)
+    for text, ids in zip(texts, enc.encode(texts), strict=True):
+        want = library.encode(text, add_special_tokens=False).ids
+        assert ids.tolist() == want
+        assert "".join(enc.decode(ids)) == library.decode(want, skip_special_tokens=False)
+        assert enc.digest(ids) == hashlib.sha256(",".join(map(str, want)).encode()).hexdigest()
+
+
+def test_smallest_window_is_enough(merges, library):
+    """One pretoken read in windows of the lookahead and one token."""
+    window = merges.lookahead + merges.longest
+    for text in hard_texts(merges):
+        if text.isalpha():
+            got = bpe.encode_pretoken(text.encode(), merges, window)
+            assert got.tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_lookahead_of_a_small_merge_list():
+    # a b c d; "cd" takes c from "bc", which gives b back to "ab"
+    length = [1, 1, 1, 1, 2, 2, 2]
+    rules = [(2, 3, 4), (1, 2, 5), (0, 1, 6)]
+    assert bpe.lookahead(rules, length) >= 3
+    assert bpe.lookahead([], [1, 1]) == 1
+
+
+def test_known_pretokens_are_bounded(monkeypatch, library):
+    monkeypatch.setattr(bpe, "KNOWN_MAX", 50)
+    enc, rng = bpe.Encoder(vocabulary()), random.Random(1)
+    for _ in range(20):
+        text = " ".join(h.words(40, rng))
+        assert enc.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(enc.known) <= 50 + 40
+
+
+def test_decoding_in_pieces(monkeypatch):
+    enc = bpe.Encoder(vocabulary())
+    text = "naïve 日本語 😀 " * 50
+    ids = enc.encode([text])[0]
+    monkeypatch.setattr(bpe, "DECODE_TOKENS", 1)
+    assert "".join(enc.decode(ids)) == text
+    assert enc.digest(ids) == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+    assert "".join(enc.decode(ids[:-1][:0])) == ""
+    broken = enc.encode(["日"])[0][:1]
+    assert "".join(enc.decode(np.asarray(broken))) == "�"
+
+
+def test_edge_rows(spark, library):
+    docs = h.edge_docs(spark)
+    got = bpe.round_trip(docs, vocabulary(), with_ids=True)
+    assert set(docs.columns) - {"text"} <= set(got.columns)
+    texts = sorted((r.text or "" for r in docs.collect()))
+    rows = got.collect()
+    assert sorted(r.decoded_sha256 for r in rows) == sorted(hashlib.sha256(t.encode()).hexdigest() for t in texts)
+    want = sorted(library.encode(t, add_special_tokens=False).ids for t in texts)
+    assert sorted(r.ids for r in rows) == want
+    back = bpe.decode(bpe.encode(docs.select("doc_id", "text"), vocabulary()), vocabulary())
+    assert sorted(r.text for r in back.collect()) == texts
+    assert sorted(r.n_tokens for r in bpe.count_tokens(docs, vocabulary()).collect()) == sorted(map(len, want))
+
+
+def test_empty_table(spark):
+    assert bpe.round_trip(h.empty_docs(spark), vocabulary()).count() == 0

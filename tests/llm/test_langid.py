@@ -1,0 +1,72 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from idbridge.llm.langid import Kernel, identify, presence
+from idbridge.llm.queries import QUERIES
+from idbridge.llm.store import held_out
+from idbridge.llm.words import utf8
+
+from . import helpers as h
+from ..conftest import SF_CHECK
+
+
+def test_presence_is_the_set_of_grams():
+    p = Kernel(slots=1 << 20)  # few collisions
+    texts = ["abab", "", "été ABC", "a"]
+    data, offsets = utf8(pa.array(texts))
+    got = presence(data, offsets, p).sum(axis=1)
+    for text, n in zip(texts, got, strict=True):
+        raw = h.lower(text).encode()
+        assert n == len({raw[i:i + k] for k in (1, 2, 3) for i in range(len(raw) - k + 1)})
+
+
+def test_held_out_accuracy(spark):
+    got = QUERIES["op3_language_id"](spark, SF_CHECK)
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    rows = got.join(docs, "doc_id").where("held_out and lang is not null").select("lang", "lang_pred").collect()
+    assert got.count() == docs.count()
+    assert np.mean([r.lang == r.lang_pred for r in rows]) > 0.97
+    assert got.where("score < 0 or score > 1 or score is null").count() == 0
+
+
+def test_held_out_rows_and_other_columns_do_not_matter(spark):
+    rng = random.Random(1)
+    rows = [(i, " ".join(h.words(30, rng)) if i % 2 else "ж" * 5 + " " + "щука рыба " * (i % 5 + 1),
+             "en" if i % 2 else "ru", "s", 0) for i in range(80)]
+    docs = spark.createDataFrame(rows, h.DOC_SCHEMA)
+    base = {r.doc_id: (r.lang_pred, r.score) for r in identify(docs, ~held_out(F.col("doc_id"))).collect()}
+    wrong = docs.withColumn("lang", F.when(held_out(F.col("doc_id")), "xx").otherwise(F.col("lang")))
+    assert base == {r.doc_id: (r.lang_pred, r.score) for r in identify(wrong, ~held_out(F.col("doc_id"))).collect()}
+    assert all(base[i][0] == ("en" if i % 2 else "ru") for i in base)
+
+
+def test_edge_rows(spark):
+    docs = h.edge_docs(spark)
+    got = identify(docs, F.lit(True))
+    assert set(got.columns) == set(docs.columns)  # lang_pred and score replace the user's
+    rows = got.collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert (r.lang_pred == "und") == (not any(map(str.isalpha, r.text or "")))
+        assert 0 <= r.score <= 1 and (r.lang_pred != "und" or r.score == 0)
+        assert r.lang_pred in ("en", "fr", "und")
+
+
+def test_nothing_to_learn_from(spark):
+    docs = h.edge_docs(spark, extra=False)
+    assert {r.lang_pred for r in identify(docs, F.lit(False)).collect()} == {"und"}
+    assert identify(h.empty_docs(spark), F.lit(True)).count() == 0
+
+
+def test_sample_bound_per_language(spark):
+    from idbridge.llm.langid import sample
+    docs = spark.createDataFrame([(i, f"text {i // 2} abc", "en" if i % 3 else "fr", "s", 0) for i in range(300)], h.DOC_SCHEMA)
+    x, langs = sample(docs, F.lit(True), Kernel(per_lang=10))
+    assert len(x) == 20 and langs == ["en"] * 10 + ["fr"] * 10
+    again, _ = sample(docs.repartition(7), F.lit(True), Kernel(per_lang=10))
+    assert (x == again).all()

@@ -1,0 +1,83 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from idbridge.llm.components import components
+from idbridge.llm.neardup import NearDup, near_duplicates
+from idbridge.llm.store import Store
+
+from . import helpers as h
+
+
+def _run(spark, docs, **p):
+    return near_duplicates(docs, Store(spark, "t"), NearDup(**p)).collect()
+
+
+def test_components_of_random_graphs(spark):
+    rng = random.Random(3)
+    for n, m in ((1, 0), (60, 40), (400, 500)):
+        links = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)] + [(i, i + 1) for i in range(1000, 1040)]
+        got = {r.node: r.root for r in components(spark.createDataFrame(links, "u bigint, v bigint"),
+                                                  Store(spark, "t")).collect()}
+        want = h.components({x for e in links for x in e}, links)
+        assert all(got.get(k, k) == v for k, v in want.items())
+
+
+def test_a_hub_with_many_neighbours(spark):
+    links = [(5, i) for i in range(10, 3000)] + [(2999, 4)]
+    got = components(spark.createDataFrame(links, "u bigint, v bigint"), Store(spark, "t")).collect()
+    assert {r.root for r in got} == {4}
+
+
+@pytest.mark.parametrize("k", [4, 5])
+def test_families_of_edited_copies(spark, k):
+    """Families around a base text: copies near it and, through it, each other;
+    blocks of one row, so that large buckets are split to the utmost."""
+    rng = random.Random(11)
+    texts, n = {}, 0
+    for family in range(6):
+        base = h.words(rng.randint(60, 160), rng)
+        for _ in range(40):
+            texts[n] = " ".join(h.edited(base, rng.choice([0, 0.01, 0.02, 0.04, 0.06]), rng))
+            n += 1
+    ids = list(texts)
+    rng.shuffle(ids)
+    texts = {i: t for i, t in zip(ids, texts.values(), strict=True)}
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in texts.items()], h.DOC_SCHEMA)
+    want = h.near_components(texts, k)
+    for block in (512, 3):
+        got = {r.doc_id: r.component_id for r in _run(spark, docs, shingle=k, block=block)}
+        assert got == want
+
+
+def test_edge_rows(spark):
+    docs = h.edge_docs(spark)
+    got = _run(spark, docs)
+    assert len(got) == docs.count()
+    by = {}
+    for r in got:
+        by.setdefault(r.doc_id, []).append((r.n_shingles, r.component_id))
+    assert by[0] == [(0, 0)] and by[1] == [(0, 1)] and by[2] == [(0, 2)]  # no words: linked with nothing
+    assert {c for i in (6, 7, 8, 9) for _, c in by[i]} == {6}  # case and white space do not count
+    assert by[13] == [(1, 13)] and (1, 13) in by[None]  # a row without doc_id has its class's component
+    assert (1, None) in by[None]
+    assert len(by[6]) == 3
+
+
+def test_empty_table(spark):
+    assert _run(spark, h.empty_docs(spark)) == []
+
+
+def test_exact_threshold(spark):
+    """Similarity of exactly 0.8 links, just below does not."""
+    w = [f"w{i}" for i in range(200)]
+    a = " ".join(w[:13])  # shingles of 5: 9
+    b = " ".join(w[:12])  # 8 of them: 8 / 9
+    c = " ".join(w[100:114])  # 10
+    d = " ".join(w[100:112])  # 8 of them: 8 / 10
+    e = " ".join(w[150:163])  # 9
+    f = " ".join(w[150:161])  # 7 of them: 7 / 9
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate([a, b, c, d, e, f])], h.DOC_SCHEMA)
+    assert [r.component_id for r in sorted(_run(spark, docs), key=lambda r: r.doc_id)] == [0, 0, 2, 2, 4, 5]

@@ -1,0 +1,99 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from idbridge.llm import toxicity as t
+from idbridge.llm.queries import QUERIES
+from idbridge.llm.store import Store
+from idbridge.llm.words import utf8
+
+from . import helpers as h
+from ..conftest import SF_CHECK
+
+def _part():
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+
+
+def _auc(score, label):
+    rank = np.argsort(np.argsort(score)) + 1
+    n = label.sum()
+    return (rank[label == 1].sum() - n * (n + 1) / 2) / (n * (len(label) - n))
+
+
+def test_grams_begin_after_white_space():
+    data, offsets = utf8(pa.array(["ab", "", "C"]))
+    got = t.grams(data, offsets).tolist()
+    assert got == [1, 1 << 5 | 2, 3]
+
+
+def test_shared_distribution_sums_to_one():
+    rng = np.random.default_rng(1)
+    codes = np.unique(rng.integers(0, t.CONTEXT, 5000))
+    p = t.shared_backoff(codes, rng.integers(1, 30, len(codes)))
+    sums = p.reshape(-1, t.SYMBOLS).sum(axis=1)
+    assert np.allclose(sums, 1) and (p > 0).all()
+
+
+def test_smoothed_rows_sum_to_one():
+    rng = np.random.default_rng(2)
+    n = rng.poisson(0.3, (50, t.SYMBOLS)).astype(float)
+    back = rng.dirichlet(np.ones(t.SYMBOLS), 50)
+    for strength in (0.0, 30.0):
+        assert np.allclose(t._smoothed(n, 0.7, strength, back).sum(axis=1), 1)
+
+
+def test_counts_cover_all_rows(spark):
+    rng = random.Random(3)
+    rows = [(" ".join(h.words(rng.randint(0, 50), rng)), int(i % 3 == 0), i % 2) for i in range(200)]
+    got = spark.createDataFrame(rows, "text string, toxic int, half int").repartition(5).mapInArrow(
+        t._counts, ", ".join(f"{c} array<bigint>" for c in ("code", *t.COUNTS)))
+    got = got.select(F.explode(F.arrays_zip("code", *t.COUNTS)).alias("x")).select("x.*")
+    got = got.agg(*[F.sum(c).alias(c) for c in t.COUNTS]).first()
+    for c in t.COUNTS:
+        assert got[c] == sum(len(x) for x, y, k in rows if (y, k) == (int(c[0] == "t"), int(c[1])))
+
+
+def test_held_out_ranking(spark):
+    got = QUERIES["op7_toxicity"](spark, SF_CHECK)
+    assert got.count() == spark.read.parquet(f"{SF_CHECK}/documents.parquet").count()
+    rows = got.join(spark.read.parquet(f"{SF_CHECK}/labels.parquet"), "doc_id").where("held_out").collect()
+    score, label = np.array([r.score for r in rows]), np.array([r.toxic for r in rows])
+    assert _auc(score, label) > 0.8  # 400 labels; 0.99 on 20,000, see README
+    assert all(r.predicted == (r.score >= 0.5) for r in rows)
+
+
+def test_toxic_words_in_two_languages(spark):
+    """Toxic stems are learned from labels; a held-out label changes nothing."""
+    rng = random.Random(7)
+    lists = [h.words(80, rng), ["ж" + w for w in h.words(80, rng)]]
+    bad = [["grobnik", "grobniks", "zlurk"], ["жgrobnik", "жzlurk"]]
+    rows, labels = [], []
+    for i in range(1200):
+        w = [rng.choice(lists[i % 2]) for _ in range(rng.randint(5, 60))]
+        toxic = i % 7 == 0
+        for _ in range(2 if toxic else 0):
+            w.insert(rng.randint(0, len(w)), rng.choice(bad[i % 2]))
+        rows.append((i, " ".join(w), None, None, 0))
+        labels.append((i, int(toxic)))
+    docs, lab = spark.createDataFrame(rows, h.DOC_SCHEMA), spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    got = t.score_toxicity(docs, lab, _part() != 0, _part() > 2, Store(spark, "t")).collect()
+    score = {r.doc_id: r.score for r in got}
+    out = [(score[i], y) for i, y in labels if h.held_out(i)]
+    assert np.mean([(s >= 0.5) == bool(y) for s, y in out]) > 0.95
+    flipped = lab.withColumn("toxic", F.when(_part() == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    again = t.score_toxicity(docs, flipped, _part() != 0, _part() > 2, Store(spark, "t")).collect()
+    assert score == {r.doc_id: r.score for r in again}
+
+
+def test_edge_rows(spark):
+    docs = h.edge_docs(spark)
+    for labels in ([], [(1, 1), (1, 0), (2, None), (None, 1)], [(6, 1), (7, 0), (8, 0), (9, 1), (10, 0), (5, 1)]):
+        lab = spark.createDataFrame(labels, "doc_id bigint, toxic int").withColumn("score", F.lit("user"))
+        got = t.score_toxicity(docs, lab, F.lit(True), F.col("doc_id") % 2, Store(spark, "t")).collect()
+        assert len(got) == docs.count() and all(0 <= r.score <= 1 for r in got)
+    empty = t.score_toxicity(h.empty_docs(spark), lab, F.lit(True), F.col("doc_id") % 2, Store(spark, "t"))
+    assert empty.count() == 0
