@@ -57,7 +57,8 @@ class Cover:
 
 
 SINGLE, KNOWN, PASS = 0, 1, 2  # an entry; one that repeats in its task; one more of those
-ENTRY = np.dtype([("hash", "<u8"), ("key", "<i8"), ("pos", "<i4"), ("flag", "u1")])
+KEY = "S16"  # MD5 of the text
+ENTRY = np.dtype([("hash", "<u8"), ("key", KEY), ("pos", "<i4"), ("flag", "u1")])
 SENT = "bucket bigint, hash binary, key binary, pos binary, flag binary"
 
 
@@ -76,13 +77,13 @@ def _send(entries: np.ndarray, buckets: int, hash_type: str) -> pa.RecordBatch:
     many = np.diff(np.append(np.flatnonzero(first), len(h)))[np.cumsum(first) - 1] > 1
     entries["flag"][first & many] = KNOWN
     entries["flag"][~first] = PASS
-    to = np.where(first, (h >> np.uint64(32)) % np.uint64(buckets),
-                  entries["key"].astype(np.uint64) % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((entries["pos"], entries["key"], to))  # runs of one text's entries compress well
+    own = np.ascontiguousarray(entries["key"]).view("<u8")[::2]
+    to = np.where(first, (h >> np.uint64(32)) % np.uint64(buckets), own % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort((entries["pos"], own, to))  # runs of one text's entries compress well
     entries, to = entries[order], to[order]
     cut = np.flatnonzero(np.concatenate(([True], to[1:] != to[:-1])))
     end = np.append(cut[1:], len(to))
-    cols = {n: entries[n] for n in ENTRY.names} | {"hash": entries["hash"].astype(hash_type)}
+    cols = {n: np.ascontiguousarray(entries[n]) for n in ENTRY.names} | {"hash": entries["hash"].astype(hash_type)}
     return pa.RecordBatch.from_arrays(
         [pa.array(to[cut], pa.int64()),
          *(pa.array([x[a:b].tobytes() for a, b in zip(cut, end, strict=True)], pa.binary()) for x in cols.values())],
@@ -113,12 +114,13 @@ def _met(table: pa.Table, hash_type: str) -> pa.Table:
     key = col["key"][hit]
     cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.empty(0, np.int64)
     lists = pa.ListArray.from_arrays(pa.array(np.append(cut, len(key)), pa.int32()), pa.array(col["pos"][hit]))
-    return pa.table({"key": pa.array(key[cut]), "pos": lists})
+    raw = np.ascontiguousarray(key[cut]).tobytes()
+    return pa.table({"key": pa.array([raw[i:i + 16] for i in range(0, len(raw), 16)], pa.binary()), "pos": lists})
 
 
 def _repeats(sent: DataFrame, hash_type: str) -> DataFrame:
     """(key, pos array) of each text's entries that occur twice."""
-    met = sent.groupBy("bucket").applyInArrow(lambda t: _met(t, hash_type), "key bigint, pos array<int>")
+    met = sent.groupBy("bucket").applyInArrow(lambda t: _met(t, hash_type), "key binary, pos array<int>")
     return met.groupBy("key").agg(F.flatten(F.collect_list("pos")).alias("pos"))
 
 
@@ -129,7 +131,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch,
 
 
 def _keys(batch: pa.RecordBatch, i: int, j: int) -> np.ndarray:
-    return batch.column("key").slice(i, j - i).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.frombuffer(b"".join(batch.column("key").slice(i, j - i).to_pylist()), KEY)
 
 
 def _anchors(batches: Iterator[pa.RecordBatch], p: Cover) -> Iterator[np.ndarray]:
@@ -175,8 +177,8 @@ def _spans(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Record
 
 
 def text_key(text: Column) -> Column:
-    """64 bits of the text's MD5."""
-    return F.conv(F.substring(F.md5(F.coalesce(text, F.lit("")).cast("binary")), 1, 16), 16, -10).cast("bigint")
+    """The text's MD5, 16 bytes."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
 SPANS = "array<struct<start:int,end:int>>"
@@ -189,13 +191,9 @@ def repeated_spans(docs: DataFrame, store: Store, p: Cover = Cover()) -> DataFra
     small_batches(docs.sparkSession)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null")
     docs = docs.withColumn("key", text_key(F.col("text")))
-    own = F.xxhash64("text")
-    classes = store.put(docs.groupBy("key").agg(
-        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.max(F.octet_length("text")).alias("bytes"),
-        F.min(own).alias("a"), F.max(own).alias("b")), "classes")
-    total, clash = classes.agg(F.sum(F.col("n") * F.col("bytes")), F.count_if(F.expr("a != b"))).first()
-    if clash:
-        raise ValueError("two texts have one 64-bit key")
+    classes = store.put(docs.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"),
+                                                F.sum(F.octet_length("text")).alias("bytes")), "classes")
+    total = classes.agg(F.sum("bytes")).first()[0]
     buckets = max(1, -(-(total or 0) // p.bucket_bytes))
     copied = classes.where("n > 1").select("key")
 
@@ -208,7 +206,7 @@ def repeated_spans(docs: DataFrame, store: Store, p: Cover = Cover()) -> DataFra
     sent = near.select("key", "text", "pos").mapInArrow(
         lambda it: _flushing(_extended(it, p), p, buckets, "<u8"), SENT)
     spans = (_repeats(sent, "<u8").join(copied, "key", "left_anti")
-             .mapInArrow(lambda it: _spans(it, p.window), f"key bigint, spans {SPANS}"))
+             .mapInArrow(lambda it: _spans(it, p.window), f"key binary, spans {SPANS}"))
     every = spans.select("key", F.lit(False).alias("whole"), "spans").unionAll(
         copied.select("key", F.lit(True).alias("whole"), F.expr(f"cast(null as {SPANS})").alias("spans")))
     return store.put(every, "spans")
