@@ -42,7 +42,7 @@ def main() -> None:
     print(f"# Physical plans at {os.path.basename(sf_dir)}\n")
     print("Generated by `tools/plans.py`. Counts are from the initial physical plan:")
     print("hash/range shuffles, broadcast exchanges, sort-merge and broadcast hash joins;")
-    print("`limit` = map-side `WindowGroupLimit`; `split` = hot-key parts planned.\n")
+    print("`limit` = map-side `WindowGroupLimit`; `split` = placeholder keys dealt to parts.\n")
     rows = {}
     for mode, conf in [("local", "10485760b"), ("no-broadcast", "-1")]:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", conf)
