@@ -23,7 +23,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = _minima(both).select("u", F.least("u", "m").alias("m"))
     return (both.where("v > u").join(least, "u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct())
+            .select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

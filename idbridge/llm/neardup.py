@@ -7,14 +7,14 @@
    to its smallest one, so a bucket of any size gives as many pairs as it has
    members. Pairs pass a signature check, then the exact check on full sets.
 3. Links are merged into components (large-star, small-star). A bucket whose
-   members now lie in one component is finished. In the others the pairs
-   across components are still open: buckets of up to ``small_bucket`` members
-   give all of those pairs; larger ones are split by a further band (a pair of
-   0.8 similarity agrees in two bands but for 1 in 10,000), tied and checked
-   again, and so on until no bucket is open. No bucket or partner is capped.
+   members now lie in one component is finished. In the others, the members
+   outside the largest component are held against all members of other
+   components: inside tasks, in blocks, signature first, then full sets. Only
+   links come out, so no pair is emitted and no bucket or partner is capped.
 
 A pair of the least similarity misses every one of 30 bands of 5 rows with a
-probability of 7 in a million.
+probability of 7 in a million. The work of step 3 grows with the unlinked part
+of a bucket times its size; linked copies, however many, cost one pair each.
 
 Defined results: no words or a null text give an empty set, linked with
 nothing; rows that repeat a doc_id count as versions of one document; a row
@@ -48,7 +48,7 @@ class NearDup:
     percent: int = 80
     bands: int = 30
     rows: int = 5
-    small_bucket: int = 16
+    block: int = 512  # members and queries compared in one task
     seed: int = 7
 
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
@@ -128,8 +128,7 @@ def _agreeing(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Re
                 for c in ("sig_u", "sig_v"))
         est = ((x == y).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
         keep = np.flatnonzero(est >= least)
-        yield pa.RecordBatch.from_arrays([batch.column("u").take(keep), batch.column("v").take(keep),
-                                          pa.array(est[keep])], names=["u", "v", "est"])
+        yield pa.RecordBatch.from_arrays([batch.column("u").take(keep), batch.column("v").take(keep)], names=["u", "v"])
 
 
 def _linked(batches: Iterator[pa.RecordBatch], p: NearDup) -> Iterator[pa.RecordBatch]:
@@ -149,6 +148,44 @@ def _linked(batches: Iterator[pa.RecordBatch], p: NearDup) -> Iterator[pa.Record
         yield pa.RecordBatch.from_arrays([batch.column("u").take(at), batch.column("v").take(at)], names=["u", "v"])
 
 
+def _sets(batches: Iterator[pa.RecordBatch], p: NearDup) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i, j, words in texts_in_chunks(batch.column("text"), NOT_SPACE, True):
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rep").slice(i, j - i),
+                 pa.array([s.tobytes() for s in shingle_sets(words, p.shingle)], pa.binary())], names=["rep", "shingles"])
+
+
+def _across(table: pa.Table, p: NearDup) -> pa.Table:
+    """Links between the queries and the members of one block of a bucket that
+    lie in different components. A pair that shares an earlier band is left to
+    that band's bucket, which is open too."""
+    rep, root, band = (table[c].to_numpy() for c in ("rep", "root", "band"))
+    query = np.asarray(table["query"].to_pylist(), bool)
+    sig, sets = ([np.frombuffer(x, t) for x in table[c].to_pylist()]
+                 for c, t in (("sig", np.uint8), ("shingles", np.uint64)))
+    keys = table["keys"].combine_chunks().flatten().to_numpy().reshape(len(rep), -1)
+    members, least = np.flatnonzero(~query), p.least_estimate()
+    u, v = [], []
+    if len(members):
+        sigs, bands, size = np.stack([sig[m] for m in members]), keys[members], p.percent
+        counts = np.array([len(sets[m]) for m in members])
+        for q in np.flatnonzero(query):
+            first = (bands == keys[q]).argmax(axis=1) == band[q]
+            est = ((sigs == sig[q]).mean(axis=1) - 1 / 256) / (1 - 1 / 256)
+            n = len(sets[q])
+            near = (100 * np.minimum(counts, n) >= size * np.maximum(counts, n)) & (root[members] != root[q])
+            linked: set[int] = set()
+            for m in members[near & first & (est >= least)]:
+                if root[m] not in linked:  # one link to a component is enough
+                    both = len(np.intersect1d(sets[q], sets[m], assume_unique=True))
+                    if 100 * both >= size * (n + len(sets[m]) - both):
+                        linked.add(root[m])
+                        u.append(rep[q])
+                        v.append(rep[m])
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+
 def _check(pairs: DataFrame, texts: DataFrame, p: NearDup) -> DataFrame:
     """Pairs (u, v) that are links by their full sets."""
     ids = pairs.select(F.col("u").alias("id")).unionAll(pairs.select(F.col("v").alias("id")))
@@ -158,6 +195,34 @@ def _check(pairs: DataFrame, texts: DataFrame, p: NearDup) -> DataFrame:
             .mapInArrow(lambda it: _linked(it, p), "u bigint, v bigint"))
 
 
+def _open_links(tied: DataFrame, roots: DataFrame, reps: DataFrame, texts: DataFrame, store: Store,
+                p: NearDup) -> DataFrame:
+    """Links across components inside the buckets that hold several."""
+    rooted = (tied.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+              .select("rep", "band", "key", F.coalesce("root", "rep").alias("root")))
+    parts = rooted.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    buckets = (parts.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("most"), F.sum("n").alias("size"),
+                                        F.max("n").alias("n"), F.count(F.lit(1)).alias("parts"))
+               .where("parts > 1 and size > 2")
+               .select("key", "most", F.ceil(F.col("size") / p.block).cast("int").alias("member_blocks"),
+                       F.ceil((F.col("size") - F.col("n")) / p.block).cast("int").alias("query_blocks")))
+    rows = store.put(rooted.join(buckets, "key"), "open")
+    if rows.isEmpty():
+        return rows.select(F.col("rep").alias("u"), F.col("rep").alias("v"))
+    ids = rows.select("rep").distinct()
+    some = likely_rows(texts.withColumnRenamed("doc_id", "rep"), "rep", ids, "rep").join(ids, "rep")
+    sets = some.mapInArrow(lambda it: _sets(it, p), "rep bigint, shingles binary").join(
+        reps, "rep")
+    own = lambda n: F.pmod(F.xxhash64("rep"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    members = rows.withColumn("m", own("member_blocks")).withColumn("q", every("query_blocks")).withColumn("query", F.lit(False))
+    queries = (rows.where("root != most").withColumn("q", own("query_blocks")).withColumn("m", every("member_blocks"))
+               .withColumn("query", F.lit(True)))
+    cols = ["key", "m", "q", "rep", "band", "root", "query"]
+    return (members.select(cols).unionAll(queries.select(cols)).join(sets, "rep")
+            .groupBy("key", "m", "q").applyInArrow(lambda t: _across(t, p), "u bigint, v bigint"))
+
+
 def near_duplicates(docs: DataFrame, store: Store, p: NearDup = NearDup()) -> DataFrame:
     """``docs`` (doc_id, text) -> one row per row: doc_id, n_shingles,
     component_id (the smallest doc_id reachable over links)."""
@@ -168,73 +233,23 @@ def near_duplicates(docs: DataFrame, store: Store, p: NearDup = NearDup()) -> Da
                         .agg(F.min("doc_id").alias("rep")), "classes")
     texts = texts.where("doc_id is not null")
 
-    reps = (signed.select("digest", F.col("doc_id").alias("rep"), "sig", "keys")
-            .join(classes, ["digest", "rep"]).dropDuplicates(["digest", "rep"]))
-    reps = store.put(reps.select("rep", "sig", "keys"), "reps")
-    sigs = reps.select("rep", "sig")
-    buckets = store.put(reps.select("rep", F.posexplode("keys").alias("band", "key")), "buckets")
-
-    def tied(rows: DataFrame) -> DataFrame:
-        """Members (rep, band, key) of buckets with two members or more, with the bucket's
-        smallest member and size."""
-        head = rows.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last"),
-                                       F.count(F.lit(1)).alias("size")).where("pivot < last").drop("last")
-        return store.put(rows.join(head, "key"), "tied")
-
-    def stars(members: DataFrame) -> DataFrame:
-        return members.where("rep != pivot").select(F.col("pivot").alias("u"), F.col("rep").alias("v")).distinct()
-
-    def agreeing(pairs: DataFrame) -> DataFrame:
-        least = p.least_estimate()
-        return store.put(pairs.join(sigs.toDF("u", "sig_u"), "u").join(sigs.toDF("v", "sig_v"), "v")
-                         .select("u", "v", "sig_u", "sig_v")
-                         .mapInArrow(lambda it: _agreeing(it, least), "u bigint, v bigint, est double"), "agreeing")
-
-    def across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-        """Pairs whose ends lie in different components."""
-        r = roots.select(F.col("node"), F.col("root"))
-        return (pairs.join(r.toDF("u", "ru"), "u", "left").join(r.toDF("v", "rv"), "v", "left")
-                .where("coalesce(ru, u) != coalesce(rv, v)").drop("ru", "rv"))
-
-    def linked(pairs: DataFrame, links: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Check the pairs across components; the links and roots after it."""
-        pairs = store.put(across(pairs, roots), "across")
-        if pairs.isEmpty():
-            return links, roots
-        new = store.put(_check(pairs, texts, p), "links")
-        if new.isEmpty():
-            return links, roots
-        links = links.unionAll(new)
-        return links, components(links, store)
-
-    # the most similar pivot of every class first; that joins most of a group
-    members = tied(buckets)
-    pairs = agreeing(stars(members))
-    best = pairs.groupBy("v").agg(F.max_by("u", F.struct("est", "u")).alias("u"))
-    links = store.put(_check(best.select("u", "v"), texts, p), "links")
+    reps = store.put(signed.select("digest", F.col("doc_id").alias("rep"), "sig", "keys")
+                     .join(classes, ["digest", "rep"]).dropDuplicates(["digest", "rep"])
+                     .select("rep", "sig", "keys"), "reps")
+    buckets = reps.select("rep", F.posexplode("keys").alias("band", "key"))
+    heads = buckets.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last")).where("pivot < last")
+    tied = store.put(buckets.join(heads.drop("last"), "key"), "tied")
+
+    sigs, least = reps.select("rep", "sig"), p.least_estimate()
+    stars = tied.where("rep != pivot").select(F.col("pivot").alias("u"), F.col("rep").alias("v")).distinct()
+    stars = store.put(stars.join(sigs.toDF("u", "sig_u"), "u").join(sigs.toDF("v", "sig_v"), "v")
+                      .select("u", "v", "sig_u", "sig_v")
+                      .mapInArrow(lambda it: _agreeing(it, least), "u bigint, v bigint"), "stars")
+    links = store.put(_check(stars, texts, p), "links")
     roots = components(links, store)
-    links, roots = linked(pairs.select("u", "v"), links, roots)
-
-    while True:
-        rooted = (members.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-                  .withColumn("root", F.coalesce("root", "rep")))
-        open_keys = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b")
-        rooted = store.put(rooted.join(open_keys.select("key"), "key").where("size > 2"), "open")
-        if rooted.isEmpty():
-            break
-        few = rooted.where(F.col("size") <= p.small_bucket)
-        few = few.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("rep", "root"))).alias("m"))
-        few = few.select(F.slice("m", 2, p.small_bucket).alias("m"))  # the first is the pivot, checked already
-        few = few.select(F.explode(F.expr("""
-            flatten(transform(m, (x, i) -> transform(filter(slice(m, i + 2, size(m)), y -> y.root != x.root),
-                                                     y -> struct(x.rep as u, y.rep as v))))""")).alias("p"))
-        few = few.select("p.u", "p.v").distinct()
-        many = rooted.where(F.col("size") > p.small_bucket).select("rep", F.col("band").alias("done"),
-                                                                   F.col("key").alias("old"))
-        finer = (many.join(buckets, "rep").where("band > done")
-                 .select("rep", "band", F.xxhash64("old", "key").alias("key")))
-        members = tied(finer)
-        links, roots = linked(agreeing(few.unionAll(stars(members)).distinct()).select("u", "v"), links, roots)
+    more = store.put(_open_links(tied, roots, reps, texts, store, p).distinct(), "more")
+    if not more.isEmpty():
+        roots = components(links.unionAll(more), store)
 
     named = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     named = store.put(named.select("digest", F.coalesce("root", "rep").alias("component_id")), "named")
