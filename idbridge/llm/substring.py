@@ -110,18 +110,15 @@ def _met(table: pa.Table, hash_type: str) -> pa.Table:
     _, group = np.unique(col["hash"][live], return_inverse=True)
     weight = np.bincount(group, 1.0 + (col["flag"][live] == KNOWN), minlength=1)
     hit = np.concatenate((live[weight[group] >= 2], np.flatnonzero(col["flag"] == PASS)))
-    hit = hit[np.argsort(col["key"][hit], kind="stable")]
-    key = col["key"][hit]
-    cut = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.empty(0, np.int64)
-    lists = pa.ListArray.from_arrays(pa.array(np.append(cut, len(key)), pa.int32()), pa.array(col["pos"][hit]))
-    raw = np.ascontiguousarray(key[cut]).tobytes()
-    return pa.table({"key": pa.array([raw[i:i + 16] for i in range(0, len(raw), 16)], pa.binary()), "pos": lists})
+    raw = np.ascontiguousarray(col["key"][hit]).tobytes()
+    return pa.table({"key": pa.array([raw[i:i + 16] for i in range(0, len(raw), 16)], pa.binary()),
+                     "pos": pa.array(col["pos"][hit])})
 
 
 def _repeats(sent: DataFrame, hash_type: str) -> DataFrame:
     """(key, pos array) of each text's entries that occur twice."""
-    met = sent.groupBy("bucket").applyInArrow(lambda t: _met(t, hash_type), "key binary, pos array<int>")
-    return met.groupBy("key").agg(F.flatten(F.collect_list("pos")).alias("pos"))
+    met = sent.groupBy("bucket").applyInArrow(lambda t: _met(t, hash_type), "key binary, pos int")
+    return met.groupBy("key").agg(F.collect_list("pos").alias("pos"))  # a text's entries of one task go as one row
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, int, Words]]:
