@@ -13,7 +13,7 @@ that has counted only the other half of them.
 
 All labelled rows are counted. Tasks send one entry per 5-gram type; there are
 32**5 types at most, so the tables after the sum have a bound that does not
-depend on the input: 32 MB a model, one byte per 5-gram, for the scoring tasks.
+depend on the input: 32 MB a model, one byte per 5-gram, sent compressed to the scoring tasks.
 
 Defined results: a null text is empty, an empty one has a ratio of 0; rows of
 a doc_id with several labels count as toxic if one says so; null labels or
@@ -23,8 +23,11 @@ of toxic rows (one half if there are none); every row gives one row.
 
 from __future__ import annotations
 
+import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -128,8 +131,8 @@ def _smoothed(n: np.ndarray, d: float, strength: float, back: np.ndarray) -> np.
 
 
 def _ratios(table: pa.Table, shared: np.ndarray, d: dict[str, float], strength: float) -> pa.Table:
-    """Log ratios of all 5-grams of one two-symbol start, a byte each, for
-    every model."""
+    """Log ratios of all 5-grams of one two-symbol start, a byte each before
+    compression, for every model."""
     group, at = table["g"][0].as_py(), table["code"].to_numpy() & ((1 << GROUP) - 1)
     back = shared.reshape(SYMBOLS, -1)[group % SYMBOLS].reshape(-1, SYMBOLS)  # by its second symbol and two more
     rows = []
@@ -143,35 +146,56 @@ def _ratios(table: pa.Table, shared: np.ndarray, d: dict[str, float], strength:
         toxic = _smoothed(n["t"], d["t"], strength, ordinary)
         ratio = np.log(toxic / ordinary)
         ratio -= (ordinary * ratio).sum(axis=1, keepdims=True)
-        rows.append(np.clip(np.rint(ratio / STEP), -127, 127).astype(np.int8).tobytes())
+        rows.append(zlib.compress(np.clip(np.rint(ratio / STEP), -127, 127).astype(np.int8).tobytes(), 1))
     return pa.table({"g": pa.array([group] * len(rows), pa.int32()), "model": pa.array(list(MODELS)),
                      "row": pa.array(rows, pa.binary())})
 
 
-def fit(labelled: DataFrame, store: Store, strength: float = STRENGTH) -> dict[str, np.ndarray]:
-    """Log ratios (in steps) of all 5-grams by model, from rows (text, toxic
-    and half: 0 or 1)."""
+@dataclass(frozen=True)
+class Ratios:
+    """Compressed log ratios: (start of two symbols, model, bytes)."""
+
+    id: str
+    rows: list[tuple[int, str, bytes]]
+
+
+@lru_cache(maxsize=1)
+def _tables(id_: str) -> dict[str, np.ndarray]:
+    return {m: np.zeros(MASK + 1, np.int8) for m in MODELS}
+
+
+def tables(ratios: Ratios) -> dict[str, np.ndarray]:
+    """Log ratios (in steps) of all 5-grams by model; opened once per worker."""
+    out = _tables(ratios.id)
+    if "open" not in out:
+        for g, m, row in ratios.rows:
+            out[m][g << GROUP:(g + 1) << GROUP] = np.frombuffer(zlib.decompress(row), np.int8)
+        out["open"] = np.empty(0, np.int8)
+    return {m: out[m] for m in MODELS}
+
+
+def fit(labelled: DataFrame, store: Store, strength: float = STRENGTH) -> Ratios:
+    """The models of rows (text, toxic and half: 0 or 1)."""
     counted = labelled.mapInArrow(_counts, ", ".join(f"{c} array<bigint>" for c in ("code", *COUNTS)))
     counted = counted.select(F.explode(F.arrays_zip("code", *COUNTS)).alias("x")).select("x.*")
     counted = store.put(counted.groupBy("code").agg(*[F.sum(c).alias(c) for c in COUNTS]), "grams")
     both = {c: F.col(f"{c}0") + F.col(f"{c}1") for c in "to"}
     n = counted.agg(*[F.count_if(both[c] == k).alias(f"{c}_{k}") for c in "to" for k in (1, 2)],
                     *[F.coalesce(F.sum(both[c]), F.lit(0)).alias(c) for c in "to"]).first()
-    out = {m: np.zeros(MASK + 1, np.int8) for m in MODELS}
     if not n["t"] or not n["o"]:
-        return out
+        return Ratios(uuid.uuid4().hex, [])
     d = {c: n[f"{c}_1"] / (n[f"{c}_1"] + 2 * n[f"{c}_2"]) if n[f"{c}_1"] else 0.5 for c in "to"}
     left = (counted.groupBy((F.col("code") % CONTEXT).cast("int").alias("c")).agg(F.count(F.lit(1)).cast("int").alias("n"))
             .toPandas())  # at most 32**4 rows
     back = labelled.sparkSession.sparkContext.broadcast(shared_backoff(left["c"].to_numpy(), left["n"].to_numpy()))
     rows = (counted.withColumn("g", F.shiftright("code", GROUP).cast("int")).groupBy("g")
             .applyInArrow(lambda t: _ratios(t, back.value, d, strength), "g int, model string, row binary"))
-    for r in rows.toLocalIterator():  # at most 32**5 bytes for each model
-        out[r["model"]][r["g"] << GROUP:(r["g"] + 1) << GROUP] = np.frombuffer(r["row"], np.int8)
-    return out
+    # at most 32**5 bytes for each model before compression
+    return Ratios(uuid.uuid4().hex, [(r["g"], r["model"], bytes(r["row"])) for r in rows.collect()])
 
 
-def _mean_ratio(batches: Iterator[pa.RecordBatch], ratios: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+def _mean_ratio(batches: Iterator[pa.RecordBatch], packed: Ratios) -> Iterator[pa.RecordBatch]:
+    ratios = tables(packed)
     for batch in batches:
         data, offsets = utf8(batch.column("text"))
         z = {m: np.zeros(batch.num_rows) for m in ratios}
@@ -197,6 +221,7 @@ def calibrate(rows: DataFrame, bins: int = 4000, width: float = 1 / 2000) -> Cur
     the ratio: all rows count, the driver gets at most ``bins`` of them."""
     bin_ = F.least(F.greatest(F.round(F.col("ratio") / width), F.lit(-bins / 2)), F.lit(bins / 2))
     got = rows.groupBy(bin_.alias("b")).agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")).toPandas()
+    got = got.sort_values("b")  # the same sums on every run
     x, t, n = (got[c].to_numpy(np.float64) for c in "btn")
     x = x * width
     total, bad = n.sum(), t.sum()
