@@ -18,6 +18,7 @@ nothing; every row gives one row; other columns pass through or are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -146,11 +147,22 @@ def sample(docs: DataFrame, teaches: Column, p: Kernel) -> tuple[np.ndarray, lis
     known = docs.where(teaches & F.col("lang").isNotNull()).select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     known = known.where(F.col("text").rlike(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]")).withColumn("key", F.xxhash64("text"))
-    top = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(p.max_langs).collect()]
-    # the group limit leaves per_lang rows of a language per map task before any shuffle
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
-    keys = (known.where(F.col("lang").isin(top)).select("lang", "key").distinct()
-            .withColumn("nth", nth).where(F.col("nth") <= p.per_lang).select("lang", "key").collect())
+    top = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(p.max_langs).collect()
+    # the least hashes are looked for below a bound that leaves a few times per_lang rows of each language; a language
+    # whose texts repeat too often to fill it is looked for again below a higher one
+    share, keys = {r["lang"]: 8 * p.per_lang / r["count"] for r in top}, []
+    while share:
+        below = F.lit(False)
+        for name, part in share.items():
+            bound = int(min(part, 1.0) * 2**64) - 2**63 - 1
+            below = below | ((F.col("lang") == name) & (F.col("key") <= bound))
+        nth = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
+        got = (known.where(below).select("lang", "key").distinct().withColumn("nth", nth)
+               .where(F.col("nth") <= p.per_lang).select("lang", "key").collect())
+        full = Counter(r["lang"] for r in got)
+        again = {name: part * 64 for name, part in share.items() if part < 1 and full[name] < p.per_lang}
+        keys += [r for r in got if r["lang"] not in again]
+        share = again
     if not keys:
         return np.empty((0, p.slots), np.float32), []
     rows = (known.where(F.col("key").isin([r["key"] for r in keys])).select("lang", "key", "text")
