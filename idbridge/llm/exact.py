@@ -49,22 +49,27 @@ class DigestIndex:
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE {self.name}")
 
-    def add(self, docs: DataFrame, batch: str, store: Store) -> DataFrame:
-        """Add the rows of ``docs`` (doc_id, text) as ``batch``. Returns one
-        row per row: doc_id, digest, keep_id (the first indexed row of equal
-        text; within a batch the smallest doc_id), group_size (equal rows in
-        this batch), seen (the text was in the index before this batch)."""
+    def _register(self, docs: DataFrame, batch: str, store: Store) -> tuple[DataFrame, DataFrame]:
+        """Rows (doc_id, digest) of ``docs``, and for each of their digests:
+        first_id and group_size in the batch, keep_id, seen."""
         rows = store.put(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                                      digest(F.col("text")).alias("digest")), "digests")
         groups = store.put(rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"),
                                                       F.count(F.lit(1)).alias("group_size")), "groups")
-        before = self.rows().where(F.col("batch") != batch).select("digest", F.col("keep_id").alias("old_id"))
+        before = self.rows().where(F.col("batch") != batch).select("digest")
         fresh = (groups.hint("merge").join(before.hint("merge"), "digest", "left_anti")
                  .select("digest", F.col("first_id").alias("keep_id"), F.lit(batch).alias("batch")))
         self._append(fresh)
         now = self.rows().select("digest", "keep_id", (F.col("batch") != batch).alias("seen"))
-        known = store.put(groups.hint("merge").join(now.hint("merge"), "digest")
-                          .select("digest", "keep_id", "group_size", "seen"), "known")
+        known = groups.hint("merge").join(now.hint("merge"), "digest")
+        return rows, store.put(known.select("digest", "keep_id", "group_size", "seen"), "known")
+
+    def add(self, docs: DataFrame, batch: str, store: Store) -> DataFrame:
+        """Add the rows of ``docs`` (doc_id, text) as ``batch``. Returns one
+        row per row: doc_id, digest, keep_id (the first indexed row of equal
+        text; within a batch the smallest doc_id), group_size (equal rows in
+        this batch), seen (the text was in the index before this batch)."""
+        rows, known = self._register(docs, batch, store)
         # both sides are shuffled here, so adaptive execution can split the rows of a hot digest
         return rows.join(known, "digest")
 
@@ -72,13 +77,13 @@ class DigestIndex:
         """Add ``docs`` and return those of its rows that stay, with their
         columns: one row of each text that the index lacked, the one with the
         smallest doc_id (any one of rows that repeat it)."""
-        rows = self.add(docs, batch, store)
-        stay = rows.where(~F.col("seen")).select("digest", F.col("keep_id")).distinct()
+        _, known = self._register(docs, batch, store)
+        stay = known.where(~F.col("seen")).select(F.col("digest").alias("__own"), F.col("keep_id").alias("__keep"))
         # the join key holds the doc_id, so copies of a hot text spread over all tasks
         mark, own = "__digest", docs.columns
         return (docs.withColumn(mark, digest(F.col("text")))
-                .join(stay, (F.col(mark) == F.col("digest"))
-                      & F.col("doc_id").cast("bigint").eqNullSafe(F.col("keep_id")), "left_semi")
+                .join(stay, (F.col(mark) == F.col("__own"))
+                      & F.col("doc_id").cast("bigint").eqNullSafe(F.col("__keep")), "left_semi")
                 .dropDuplicates([mark, "doc_id"]).select(*[F.col(f"`{c}`") for c in own]))
 
     def _append(self, fresh: DataFrame) -> None:
