@@ -6,10 +6,11 @@
 2. Spark counts the hashes by host, once per page. A subtree found on many
    pages of its host is template.
 3. Pages that hold template are joined with their hashes and parsed again.
-   Template goes, and so do elements whose tag, role or class says what they
-   are (menus, headers, footers, sidebars, notices, adverts, forms, comments).
-   What is left of the article, or of the body of a page without one, is the
-   text.
+   Template goes first, over the whole page, articles included. The text is
+   chosen from what is left: the articles that still hold text, else the main
+   elements, else the body, without elements whose tag, role or class says
+   what they are (menus, headers, footers, sidebars, notices, adverts, forms,
+   comments). If nothing is left, an article that recurs is the text.
 
 Inside an article, only containers go as template: a paragraph, heading or
 list item that many articles share is still part of each. Shape counts only
@@ -183,7 +184,40 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
     """The page's blocks of main text, joined by newlines."""
     root = parse(page)
     own = hashes(root) if template else {}
-    articles = _articles(root)
+    gone = {i for i, pair in own.items() if not template.isdisjoint(pair)}
+    text = _left(root, own, template, gone)
+    if not text and gone:  # all articles recur: they are the text, not what surrounds it
+        text = _left(root, own, template, gone - _around_articles(root))
+    return text
+
+
+def _around_articles(root: Element) -> set[int]:
+    """ids of the articles and main elements and of all that hold them."""
+    out: set[int] = set()
+    todo = [(root, (None, None))]
+    while todo:
+        e, up = todo.pop()
+        path = (id(e), up)
+        if e.tag in ("article", "main"):
+            at = path
+            while at[0] is not None and at[0] not in out:
+                out.add(at[0])
+                at = at[1]
+        todo += [(c, path) for c in e.children if isinstance(c, Element)]
+    return out
+
+
+def _left(root: Element, own: dict, template: frozenset[int], gone: set[int]) -> str:
+    """Main text of what is left of the page without ``gone``: its articles',
+    else its main elements', else all of it."""
+    for tags in (("article",), ("main",)):
+        text = _text(_outermost(root, tags, own, template, gone), True, own, template, gone)
+        if text:
+            return text
+    return _text([root], False, own, template, gone)
+
+
+def _text(starts: list[Element], inside: bool, own: dict, template: frozenset[int], gone: set[int]) -> str:
     blocks: list[str] = []
     line: list[str] = []
 
@@ -193,8 +227,7 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
             blocks.append(text)
         line.clear()
 
-    for start in articles or [root]:
-        inside = bool(articles)
+    for start in starts:
         todo: list = [start]
         while todo:
             x = todo.pop()
@@ -204,7 +237,7 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
                 line.append(x)
             elif x.tag in ("br", "wbr"):
                 line.append(" " if x.tag == "br" else "")
-            elif x is not start and (x.furniture(inside) or _is_template(x, own, template, inside)):
+            elif x is not start and (x.furniture(inside) or _is_template(x, own, template, gone, inside)):
                 if x.tag in BLOCK:
                     end()
             elif x.tag not in RAW:
@@ -216,27 +249,25 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
     return "\n".join(blocks)
 
 
-def _is_template(x: Element, own: dict, template: frozenset[int], inside: bool) -> bool:
-    content, shape = own.get(id(x), (None, None))
-    if inside:
-        return content in template and x.tag not in TEXTUAL
-    return content in template or (shape in template and x.tag not in TEXTUAL)
+def _is_template(x: Element, own: dict, template: frozenset[int], gone: set[int], inside: bool) -> bool:
+    if id(x) not in gone:
+        return False
+    return x.tag not in TEXTUAL or (not inside and own[id(x)][0] in template)
 
 
-def _articles(root: Element) -> list[Element]:
-    """The page's outermost articles that are not furniture; else its main
-    elements."""
-    for tags in (("article",), ("main",)):
-        out, todo = [], [root]
-        while todo:
-            x = todo.pop()
-            if x.tag in tags:
-                out.append(x)
-            elif x is root or not x.furniture(False):
-                todo += [c for c in reversed(x.children) if isinstance(c, Element)]
-        if out:
-            return out
-    return []
+def _outermost(root: Element, tags: tuple[str, ...], own: dict, template: frozenset[int], gone: set[int]) -> list[Element]:
+    """The page's outermost elements of ``tags`` that are neither furniture
+    nor template."""
+    out, todo = [], [root]
+    while todo:
+        x = todo.pop()
+        if _is_template(x, own, template, gone, False):
+            continue
+        if x.tag in tags:
+            out.append(x)
+        elif x is root or not x.furniture(False):
+            todo += [c for c in reversed(x.children) if isinstance(c, Element)]
+    return out
 
 
 def host(url: Column) -> Column:

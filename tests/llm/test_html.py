@@ -81,3 +81,25 @@ def test_given_pages_against_their_articles(spark):
 def test_subtree_hashes_are_stable():
     assert subtrees("<div class='a'><p>x</p></div>") == subtrees('<DIV class="a"><p> x </p></DIV>')
     assert subtrees("<div><p>x</p></div>") != subtrees("<div><p>y</p></div>")
+
+
+def _texts(spark, pages, p=Template()):
+    return {r.page_id: r.text for r in extract(spark.createDataFrame(pages, PAGES), Store(spark, "t"), p).collect()}
+
+
+def test_template_goes_before_the_text_is_chosen(spark):
+    teaser = "<article><h2>Featured</h2><p>the same story on every page</p></article>"
+    words = "amber birch cedar delta ember fjord grove heath inlet jetty kiosk larch".split()
+    pages = [(i, "http://a/", f"<div><p>{w} one</p><p>{w} two</p></div>{teaser}") for i, w in enumerate(words)]
+    pages += [(100 + i, "http://b/", f"<main><p>{w} text</p></main>{teaser}") for i, w in enumerate(words)]
+    # an article that recurs with other surroundings is still the text of a page that has no other
+    pages += [(200 + i, "http://c/", f"<nav>{w}</nav><div><article><p>copied</p></article></div>") for i, w in enumerate(words)]
+    got = _texts(spark, pages)
+    for i, w in enumerate(words):
+        assert got[i] == f"{w} one\n{w} two"
+        assert got[100 + i] == f"{w} text"
+        assert got[200 + i] == "copied"
+
+
+def test_an_article_without_text_is_not_the_main_text():
+    assert main_text("<article><nav>m</nav></article><p>body") == "body"
