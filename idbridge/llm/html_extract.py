@@ -3,8 +3,8 @@
 1. Every page is parsed into elements. Each block element is hashed with all
    it holds; elements without paragraphs or headings also by shape alone (tags
    and classes), since a site fills the same menu with other words.
-2. Spark counts the hashes by host, once per page. A subtree found on many
-   pages of its host is template.
+2. Spark counts the hashes by host, once per distinct page: copies of a page
+   count as one. A subtree found on many pages of its host is template.
 3. Pages that hold template are joined with their hashes and parsed again.
    Template goes first, over the whole page, articles included. The text is
    chosen from what is left: the articles that still hold text, else the main
@@ -40,11 +40,12 @@ from .store import Store, likely_rows, small_batches
 
 @dataclass(frozen=True)
 class Template:
-    """A subtree is template on ``pages`` or more pages of a host, if these
-    are ``share`` of the host's pages or more."""
+    """A subtree is template on ``pages`` or more distinct pages of a host, if
+    these are ``share`` of the host's distinct pages or more, or ``many``."""
 
     pages: int = 5
     share: float = 0.1
+    many: int = 50
 
 
 # Fixed values of HTML: elements without end tag, with raw text, and blocks.
@@ -290,6 +291,14 @@ def _extract(batches: Iterator[pa.RecordBatch], keep: list[str]) -> Iterator[pa.
                                          names=[*keep, "text"])
 
 
+def _once(found: DataFrame) -> DataFrame:
+    """A row for each distinct page of a host. Only pages that have copies are
+    shuffled with their hashes, one row per page and task."""
+    copied = found.groupBy("host", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return likely_rows(found, "key", copied, "key", likely=False).unionAll(
+        likely_rows(found, "key", copied, "key").groupBy("host", "key").agg(F.first("hashes").alias("hashes")))
+
+
 def extract(pages: DataFrame, store: Store, p: Template = Template()) -> DataFrame:
     """``pages`` (page_id, url, html) -> page_id, url, text, one row per row."""
     small_batches(pages.sparkSession, 64)
@@ -298,12 +307,13 @@ def extract(pages: DataFrame, store: Store, p: Template = Template()) -> DataFra
         "key", F.md5(F.concat("host", F.lit("\n"), F.coalesce("html", F.lit(""))).cast("binary")))
     found = store.put(pages.select("host", "key", "html")
                       .mapInArrow(_subtrees, "host string, key string, hashes array<bigint>"), "subtrees")
-    each = found.select("host", "key", F.explode("hashes").alias("h"))
-    sizes = found.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
+    once = _once(found)
+    each = once.select("host", "key", F.explode("hashes").alias("h"))
+    sizes = once.groupBy("host").agg(F.count(F.lit(1)).alias("n"))
     common = each.groupBy("host", "h").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= p.pages)
-    common = store.put(common.join(sizes, "host").where(F.col("pages") >= p.share * F.col("n")).select("host", "h"),
-                       "template")
-    marks = store.put(each.distinct().join(common, ["host", "h"]).groupBy("key")
+    often = (F.col("pages") >= p.share * F.col("n")) | (F.col("pages") >= p.many)
+    common = store.put(common.join(sizes, "host").where(often).select("host", "h"), "template")
+    marks = store.put(each.join(common, ["host", "h"]).groupBy("key")
                       .agg(F.collect_set("h").alias("template")), "marks")
     none = F.expr("cast(null as array<bigint>)")
     some = likely_rows(pages, "key", marks, "key").join(marks, "key", "left")

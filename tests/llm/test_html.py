@@ -103,3 +103,23 @@ def test_template_goes_before_the_text_is_chosen(spark):
 
 def test_an_article_without_text_is_not_the_main_text():
     assert main_text("<article><nav>m</nav></article><p>body") == "body"
+
+
+def test_copies_of_a_page_count_once(spark):
+    copy = "<div><p>a story</p><p>that is stored often</p></div>"
+    pages = [(i, "http://a/", copy) for i in range(20)]
+    pages += [(100 + i, "http://a/", f"<p>other {i}</p>" + ("<div>Menu</div>" if i < 4 else "")) for i in range(40)]
+    # of 45 rows 41 are copies: five distinct pages in all share the notice
+    pages += [(200 + i, "http://b/", f"<p>page {min(i, 4)}</p><div>Notice</div>") for i in range(45)]
+    got = _texts(spark, pages)
+    assert all(got[i] == "a story\nthat is stored often" for i in range(20))
+    assert got[100] == "other 0\nMenu" and got[139] == "other 39"
+    assert got[200] == "page 0" and got[244] == "page 4"
+
+
+def test_many_pages_are_enough_on_a_large_host(spark):
+    words = "amber birch cedar delta ember fjord grove heath inlet jetty".split()
+    pages = [(i, "http://a/", f"<p>{words[i % 10]} {i}</p>" + ("<div>Sports desk</div>" if i < 60 else "")) for i in range(1000)]
+    got = _texts(spark, pages)
+    assert got[0] == "amber 0" and got[59] == "jetty 59"  # 6 % of the host
+    assert got[60] == "amber 60"
