@@ -1,8 +1,9 @@
 """Main text of web pages, with the templates of their site removed.
 
 1. Every page is parsed into elements. Each block element is hashed with all
-   it holds; elements without paragraphs or headings also by shape alone (tags
-   and classes), since a site fills the same menu with other words.
+   it holds; link lists also by shape alone (tags and classes), since a site
+   fills the same menu with other words, and other lists without paragraphs
+   also with their numbers left out.
 2. Spark counts the hashes by host, once per distinct page: copies of a page
    count as one. A subtree found on many pages of its host is template.
 3. Pages that hold template are joined with their hashes and parsed again.
@@ -13,8 +14,9 @@
    comments). If nothing is left, an article that recurs is the text.
 
 Inside an article, only containers go as template: a paragraph, heading or
-list item that many articles share is still part of each. Shape counts only
-outside of articles, where pages of one site differ in words alone.
+list item that many articles share is still part of each. Shapes and lists
+without numbers count only outside of articles and only if text is left; a
+list without links must also hold no more text than is left.
 
 Defined results: null or empty html gives an empty text; pages of a null or
 odd url share one host; equal pages are told apart by nothing and need not be;
@@ -71,6 +73,9 @@ WORDS = frozenset("""ad ads advert adverts advertisement advertising sponsor spo
     pagination footer masthead""".split())
 KEPT_TAGS = frozenset("html body article main".split())
 TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li pre blockquote dt dd td th tr figcaption".split())
+LISTS = frozenset("ul ol menu dir dl".split())
+LINKED = 0.8  # a link list has this share of its text in links, or more
+NUMBER = re.compile(r"[0-9]+")
 PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote article main".split())
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)
@@ -151,11 +156,26 @@ def _h(*parts: str) -> int:
                           "big", signed=True)
 
 
-def hashes(root: Element) -> dict[int, tuple[int, int | None]]:
-    """id of each block element -> (hash of all it holds, hash of its shape
-    if it holds no paragraph); no recursion, so any depth will do."""
-    out: dict[int, tuple[int, int | None]] = {}
-    made: dict[int, tuple[str, str, bool]] = {}  # content, shape, has paragraphs
+@dataclass(slots=True)
+class _Made:
+    """An element's hashes and counts; those below ``content`` only if it
+    holds no paragraph."""
+
+    dense: bool  # holds paragraphs
+    content: str = ""
+    shape: str = ""
+    plain: str = ""  # content without numbers
+    numbers: bool = False
+    chars: int = 0
+    linked: int = 0  # of these, in links
+
+
+def hashes(root: Element) -> dict[int, tuple[int, int | None, int | None]]:
+    """id of each block element -> (hash of all it holds, of its shape if it
+    is a link list, of all but its numbers if it is another list); no
+    recursion, so any depth will do."""
+    out: dict[int, tuple[int, int | None, int | None]] = {}
+    made: dict[int, _Made] = {}
     todo = [(root, False)]
     while todo:
         e, ready = todo.pop()
@@ -164,31 +184,55 @@ def hashes(root: Element) -> dict[int, tuple[int, int | None]]:
             todo.append((e, True))
             todo += [(c, False) for c in kids]
             continue
-        inner = [" ".join(c.split()) if isinstance(c, str) else made[id(c)][0] for c in e.children]
-        text = "\x1e".join(x for x in inner if x)
-        shapes = "".join(dict.fromkeys(made[id(c)][1] for c in kids))
-        dense = e.tag in PARAGRAPHS or any(made[id(c)][2] for c in kids)
-        content, shape = _h("text", e.tag, e.names, text), _h("shape", e.tag, e.names, shapes)
-        made[id(e)] = (f"{content:x}" if text or kids else "", f"{shape:x}", dense)
+        below = [made[id(c)] for c in kids]
+        strings = {k: " ".join(c.split()) for k, c in enumerate(e.children) if isinstance(c, str)}
+        text = "\x1e".join(x for x in (strings[k] if k in strings else made[id(c)].content
+                                       for k, c in enumerate(e.children)) if x)
+        m = _Made(dense=e.tag in PARAGRAPHS or any(b.dense for b in below))
+        content = _h("text", e.tag, e.names, text)
+        m.content = f"{content:x}" if text or kids else ""
+        links = plain = None
+        if not m.dense:
+            m.chars = sum(map(len, strings.values())) + sum(b.chars for b in below)
+            m.linked = m.chars if e.tag == "a" else sum(b.linked for b in below)
+            m.numbers = any(b.numbers for b in below) or any(map(NUMBER.search, strings.values()))
+            shape = _h("shape", e.tag, e.names, "".join(dict.fromkeys(b.shape for b in below)))
+            m.shape, m.plain = f"{shape:x}", m.content
+            if m.numbers:
+                bare = _h("plain", e.tag, e.names, "\x1e".join(x for x in (
+                    NUMBER.sub("0", strings[k]) if k in strings else made[id(c)].plain
+                    for k, c in enumerate(e.children)) if x))
+                m.plain = f"{bare:x}"
+            if m.chars and m.linked >= LINKED * m.chars and e.tag not in TEXTUAL:
+                links = shape
+            elif m.numbers and e.tag in LISTS:
+                plain = bare
+        made[id(e)] = m
         if e.tag in BLOCK and text and e.tag not in ("html", "body", "head"):
-            out[id(e)] = (content, None if dense else shape)
+            out[id(e)] = (content, links, plain)
     return out
 
 
 def subtrees(page: str) -> list[int]:
     """Distinct hashes of the page's subtrees."""
     found = hashes(parse(page)).values()
-    return sorted({h for pair in found for h in pair if h is not None})
+    return sorted({h for own in found for h in own if h is not None})
 
 
 def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
     """The page's blocks of main text, joined by newlines."""
     root = parse(page)
-    own = hashes(root) if template else {}
-    gone = {i for i, pair in own.items() if not template.isdisjoint(pair)}
-    text = _left(root, own, template, gone)
-    if not text and gone:  # all articles recur: they are the text, not what surrounds it
-        text = _left(root, own, template, gone - _around_articles(root))
+    found = hashes(root) if template else {}
+    same, links, lists = ({i for i, own in found.items() if own[k] in template} for k in range(3))
+    text = _left(root, same, links | lists)
+    if lists:
+        more = _left(root, same, links)
+        if 2 * len(text) < len(more):  # the lists are most of the page
+            text = more
+    if not text and links | lists:
+        text = _left(root, same, set())
+    if not text and same:  # all articles recur: they are the text, not what surrounds it
+        text = _left(root, same - _around_articles(root), set())
     return text
 
 
@@ -208,17 +252,18 @@ def _around_articles(root: Element) -> set[int]:
     return out
 
 
-def _left(root: Element, own: dict, template: frozenset[int], gone: set[int]) -> str:
-    """Main text of what is left of the page without ``gone``: its articles',
-    else its main elements', else all of it."""
+def _left(root: Element, same: set[int], alike: set[int]) -> str:
+    """Main text of what is left of the page without the elements in ``same``,
+    and those in ``alike`` outside of articles: its articles', else its main
+    elements', else all of it."""
     for tags in (("article",), ("main",)):
-        text = _text(_outermost(root, tags, own, template, gone), True, own, template, gone)
+        text = _text(_outermost(root, tags, same, alike), True, same, alike)
         if text:
             return text
-    return _text([root], False, own, template, gone)
+    return _text([root], False, same, alike)
 
 
-def _text(starts: list[Element], inside: bool, own: dict, template: frozenset[int], gone: set[int]) -> str:
+def _text(starts: list[Element], inside: bool, same: set[int], alike: set[int]) -> str:
     blocks: list[str] = []
     line: list[str] = []
 
@@ -238,7 +283,7 @@ def _text(starts: list[Element], inside: bool, own: dict, template: frozenset[in
                 line.append(x)
             elif x.tag in ("br", "wbr"):
                 line.append(" " if x.tag == "br" else "")
-            elif x is not start and (x.furniture(inside) or _is_template(x, own, template, gone, inside)):
+            elif x is not start and (x.furniture(inside) or _is_template(x, same, alike, inside)):
                 if x.tag in BLOCK:
                     end()
             elif x.tag not in RAW:
@@ -250,19 +295,19 @@ def _text(starts: list[Element], inside: bool, own: dict, template: frozenset[in
     return "\n".join(blocks)
 
 
-def _is_template(x: Element, own: dict, template: frozenset[int], gone: set[int], inside: bool) -> bool:
-    if id(x) not in gone:
-        return False
-    return x.tag not in TEXTUAL or (not inside and own[id(x)][0] in template)
+def _is_template(x: Element, same: set[int], alike: set[int], inside: bool) -> bool:
+    if inside:
+        return id(x) in same and x.tag not in TEXTUAL
+    return id(x) in same or (id(x) in alike and x.tag not in TEXTUAL)
 
 
-def _outermost(root: Element, tags: tuple[str, ...], own: dict, template: frozenset[int], gone: set[int]) -> list[Element]:
+def _outermost(root: Element, tags: tuple[str, ...], same: set[int], alike: set[int]) -> list[Element]:
     """The page's outermost elements of ``tags`` that are neither furniture
     nor template."""
     out, todo = [], [root]
     while todo:
         x = todo.pop()
-        if _is_template(x, own, template, gone, False):
+        if _is_template(x, same, alike, False):
             continue
         if x.tag in tags:
             out.append(x)

@@ -123,3 +123,25 @@ def test_many_pages_are_enough_on_a_large_host(spark):
     got = _texts(spark, pages)
     assert got[0] == "amber 0" and got[59] == "jetty 59"  # 6 % of the host
     assert got[60] == "amber 60"
+
+
+WORDS = "amber birch cedar delta ember fjord grove heath inlet jetty kiosk larch".split()
+
+
+@pytest.mark.parametrize(("body", "text"), [
+    ("<div class='post'>{0} has<br>rain</div>", "{0} has rain"),
+    ("<ul><li>{0}</li><li>and {0}</li></ul>", "{0}\nand {0}"),
+    ("<table><tr><td>{0}</td><td>{1}</td></tr></table>", "{0}\n{1}"),
+    ("<div class='post'>part {1}</div>", "part {1}"), ("<ol><li>part {1}</li></ol>", "part {1}"),
+    ("<h1>{0}</h1><ul><li>a longer point {1}</li></ul>", "{0}\na longer point {1}"),
+    ("<p>{0} text</p><ul><li><a href='/'>{0}</a></li><li><a href='/x'>x{0}</a></li></ul>", "{0} text"),
+])
+def test_bodies_of_one_shape(spark, body, text):
+    menu = "<div><a href='/1'>One</a> <a href='/2'>Two</a></div>"
+    got = _texts(spark, [(i, "http://a/", menu + body.format(w, i)) for i, w in enumerate(WORDS)])
+    assert got == {i: text.format(w, i) for i, w in enumerate(WORDS)}
+
+
+def test_rare_blocks_of_a_common_shape_stay(spark):
+    pages = [(i, "http://a/", f"<p>{w}</p><div>{w * 2} desk</div>") for i, w in enumerate(WORDS)]
+    assert _texts(spark, pages)[0] == "amber\namberamber desk"
