@@ -3,7 +3,8 @@
 Patterns find candidates; the corpus decides what they are. The hash of every
 candidate value is counted by distinct repositories and distinct owners: a
 value that many owners have was copied from documentation or an example; a
-strong one that stays with one or two owners looks live. Unlike patterns that
+strong one that stays with one or two owners looks live, in however many of
+their repositories (these are counted for the report only). Unlike patterns that
 carry their own mark (assignments, access keys, long hex), a bare token counts
 only if it is strong and owner-specific.
 
@@ -41,7 +42,6 @@ SPANS = "array<struct<kind:string,start:int,end:int,value:string>>"
 @dataclass(frozen=True)
 class Ownership:
     example_owners: int = 3  # a value of so many owners is a widely copied example
-    example_repositories: int = 1000  # or of so many repositories, whoever owns them
 
 
 def _with_spans(rows: DataFrame, name: str, kind: str, pattern: str, group: int, least: int) -> DataFrame:
@@ -108,7 +108,7 @@ def secrets(docs: DataFrame, store: Store, p: Ownership = Ownership()) -> DataFr
     rows = candidates(docs, store)
     known = store.put(ownership(rows), "ownership")
     one = rows.select("row", F.explode(F.concat("base", "bare")).alias("s"))
-    copied = (F.col("n_owners") >= p.example_owners) | (F.col("n_repositories") >= p.example_repositories)
+    copied = F.col("n_owners") >= p.example_owners
     judged = (one.select("row", "s.*").join(known, "value")
               .withColumn("verdict", F.when(copied, "example").otherwise("live"))
               .where("kind != 'owned' or verdict = 'live'")

@@ -73,3 +73,11 @@ def test_no_python_in_the_plan(spark):
     docs = h.edge_docs(spark).select("doc_id", "text", F.lit("r").alias("repository"), F.lit("o").alias("owner"))
     plan = secrets(docs, Store(spark, "t"))._jdf.queryExecution().executedPlan().toString()
     assert not any(w in plan for w in ("Python", "Arrow", "Pandas"))
+
+
+def test_copies_of_one_owner_stay_live(spark):
+    live = "aB3" + "xY9z" * 6
+    rows = [(i, f"key {live}", f"r{i}", "o") for i in range(1100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, repository string, owner string")
+    got = secrets(docs, Store(spark, "t")).collect()
+    assert len(got) == 1100 and all([(s.kind, s.verdict) for s in r.spans] == [("owned", "live")] for r in got)
