@@ -9,7 +9,9 @@ presence by landmark presence, then landmark weights.
 
 Counts of labels and the choice of the sample cover all labelled rows; the
 sample is the ``per_lang`` rows of each language least by a hash of their
-text, which is the same on every run and of bounded size for any input.
+text (fewer where there are many languages), which is the same on every run.
+Every language that occurs is learned; sample and model grow with the number
+of languages, not with that of rows.
 
 Defined results: a null text, or one with no letter, is ``und`` with score 0;
 with no labelled row at all every text is ``und``; rows with null lang teach
@@ -42,11 +44,15 @@ class Kernel:
     longest: int = 3
     slots: int = 1 << 14
     per_lang: int = 256  # sample rows of each language
-    max_langs: int = 64  # languages learned, the most frequent; with per_lang the bound of the sample
-    landmarks: int = 128  # in all, shared out evenly
+    rows: int = 4096  # sample rows in all: many languages share them evenly, with ``landmarks`` rows each at least
+    landmarks: int = 32  # of each language
     ridge: float = 1e-2
     block: int = 64  # texts per matrix product
 
+    def sampled(self, langs: int) -> int:
+        """Sample rows of each of so many languages."""
+        return min(self.per_lang, max(self.landmarks, self.rows // max(1, langs)))
+
 
 def presence(data: np.ndarray, offsets: np.ndarray, p: Kernel) -> np.ndarray:
     """Texts by slots, 1 where the text contains a gram of the slot."""
@@ -88,7 +94,7 @@ def fit(x: np.ndarray, langs: list[str], p: Kernel) -> Model | None:
         return None
     x = _unit(x)
     label = np.array([names.index(v) for v in langs])
-    pick = np.concatenate([np.flatnonzero(label == k)[:max(1, p.landmarks // len(names))] for k in range(len(names))])
+    pick = np.concatenate([np.flatnonzero(label == k)[:p.landmarks] for k in range(len(names))])
     marks = x[pick]
     near, among = (x @ marks.T).astype(np.float64), (marks @ marks.T).astype(np.float64)
     # k(x, .) ~ near @ among^-1/2: the regression runs on those features
@@ -139,28 +145,27 @@ def _packed(batches: Iterator[pa.RecordBatch], p: Kernel) -> Iterator[pa.RecordB
 
 
 def sample(docs: DataFrame, teaches: Column, p: Kernel) -> tuple[np.ndarray, list[str]]:
-    """Presence rows and labels of at most ``per_lang`` texts of each of the
-    ``max_langs`` most frequent languages, those least by a hash of the whole
-    text. The choice covers all labelled rows and does not depend on
+    """Presence rows and labels of at most ``p.sampled`` texts of every
+    language, those least by a hash of the whole text. The choice covers all labelled rows and does not depend on
     partitions; equal texts count once. The driver gets slots / 8 bytes for
     each, however long the text."""
     known = docs.where(teaches & F.col("lang").isNotNull()).select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     known = known.where(F.col("text").rlike(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]")).withColumn("key", F.xxhash64("text"))
-    top = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(p.max_langs).collect()
-    # the least hashes are looked for below a bound that leaves a few times per_lang rows of each language; a language
+    every = known.groupBy("lang").count().collect()  # a row for each language
+    most = p.sampled(len(every))
+    # the least hashes are looked for below a bound that leaves a few times as many rows of each language; a language
     # whose texts repeat too often to fill it is looked for again below a higher one
-    share, keys = {r["lang"]: 8 * p.per_lang / r["count"] for r in top}, []
+    share, keys = {r["lang"]: 8 * most / r["count"] for r in every}, []
     while share:
-        below = F.lit(False)
-        for name, part in share.items():
-            bound = int(min(part, 1.0) * 2**64) - 2**63 - 1
-            below = below | ((F.col("lang") == name) & (F.col("key") <= bound))
+        bounds = docs.sparkSession.createDataFrame(
+            [(name, int(min(part, 1.0) * 2**64) - 2**63 - 1) for name, part in sorted(share.items())], "lang string, bound bigint")
+        below = known.select("lang", "key").join(F.broadcast(bounds), "lang").where("key <= bound")
         nth = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
-        got = (known.where(below).select("lang", "key").distinct().withColumn("nth", nth)
-               .where(F.col("nth") <= p.per_lang).select("lang", "key").collect())
+        got = (below.select("lang", "key").distinct().withColumn("nth", nth)
+               .where(F.col("nth") <= most).select("lang", "key").collect())
         full = Counter(r["lang"] for r in got)
-        again = {name: part * 64 for name, part in share.items() if part < 1 and full[name] < p.per_lang}
+        again = {name: part * 64 for name, part in share.items() if part < 1 and full[name] < most}
         keys += [r for r in got if r["lang"] not in again]
         share = again
     if not keys:
@@ -181,7 +186,7 @@ def identify(docs: DataFrame, teaches: Column, p: Kernel = Kernel()) -> DataFram
     spark = docs.sparkSession
     small_batches(spark)
     model = fit(*sample(docs, teaches, p), p)
-    shared = spark.sparkContext.broadcast(model)  # max_langs * landmarks rows at most
+    shared = spark.sparkContext.broadcast(model)  # landmarks rows of each language
     keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
     schema = docs.select(*[F.col(f"`{c}`") for c in keep]).schema
     schema = schema.add("lang_pred", T.StringType()).add("score", T.DoubleType())

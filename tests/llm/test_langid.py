@@ -70,3 +70,14 @@ def test_sample_bound_per_language(spark):
     assert len(x) == 20 and langs == ["en"] * 10 + ["fr"] * 10
     again, _ = sample(docs.repartition(7), F.lit(True), Kernel(per_lang=10))
     assert (x == again).all()
+
+
+def test_every_language_is_learned(spark):
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(70):
+        own = ["".join(rng.choices(letters, k=7)) for _ in range(4)]
+        rows += [(100 * k + i, " ".join(rng.choices(own, k=30)), f"l{k:02d}", "s", 0) for i in range(6 if k < 64 else 3)]
+    got = identify(spark.createDataFrame(rows, h.DOC_SCHEMA), F.lit(True)).select("lang", "lang_pred").collect()
+    assert len(got) == 64 * 6 + 6 * 3 and all(r.lang == r.lang_pred for r in got)
