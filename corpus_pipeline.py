@@ -23,9 +23,14 @@ from idbridge.llm.store import Store, held_out
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents whose language cannot be told (no text, no letter)."""
+    """Drops the documents without a letter and gives those without ``lang``
+    the predicted one. Where no label teaches anything, all texts with a letter
+    stay, without ``lang``."""
     found = identify(docs, ~held_out(F.col("doc_id")))
-    return found.where(F.col("lang_pred") != UND).select(*docs.columns)
+    told = F.col("lang_pred") != UND
+    kept = found.where(told | F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
+    lang = F.coalesce(F.col("lang").cast("string"), F.when(told, F.col("lang_pred"))).alias("lang")
+    return kept.select(*[lang if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,3 +71,16 @@ def test_clean_documents_stay(spark):
     docs = spark.createDataFrame(rows, h.DOC_SCHEMA)
     for _, stage in cp.STAGES[:-1]:
         assert sorted(r.doc_id for r in stage(spark, docs, SF_SMALL).collect()) == list(range(60))
+
+
+def test_documents_stay_where_nothing_can_be_learned(spark):
+    rows = [(1, "some words", None, "s", 0), (2, "слова", None, "s", 0), (3, "12 - 3", None, "s", 0), (4, None, None, "s", 0)]
+    out = cp.language(spark, spark.createDataFrame(rows, h.DOC_SCHEMA), SF_SMALL).collect()
+    assert sorted((r.doc_id, r.lang) for r in out) == [(1, None), (2, None)]
+
+
+def test_predicted_language_fills_the_missing_one(spark):
+    rows = [(i, "the quick brown fox " * (i % 5 + 1) if i % 2 else "щука рыба " * (i % 5 + 1),
+             None if i >= 60 else "en" if i % 2 else "ru", "s", 0) for i in range(80)]
+    out = cp.language(spark, spark.createDataFrame(rows, h.DOC_SCHEMA), SF_SMALL).collect()
+    assert len(out) == 80 and all(r.lang == ("en" if r.doc_id % 2 else "ru") for r in out)
