@@ -1,5 +1,6 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+# the given pattern with both cases of every letter: a case flag would also fold letters beyond ASCII
 _ASSIGN = ("([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]"
            "|[aA][pP][iI]_?[kK][eE][yY])[\"'']?\\x20*[:=]\\x20*[\"'']?([A-Za-z0-9+/_.=-]+)")
 
@@ -19,6 +20,22 @@ def _matches(kind: str, pattern: str, group: int, least: int) -> str:
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+
+def _linked(k: int) -> str:
+    """Sets of k-word shingles ``s`` and the smallest document reachable over links, ``least_of``."""
+    return rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+     s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] ELSE list_distinct(list_transform(
+                  range(1, greatest(len(ws) - {k - 1}, 1) + 1), lambda i: array_to_string(ws[i:i + {k - 1}], ' '))) END AS sh
+           FROM w),
+     e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+     link AS (SELECT a.doc_id AS u, b.doc_id AS v FROM e a JOIN e b USING (g) WHERE a.doc_id != b.doc_id
+              GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+     reach(u, v) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.u, link.v FROM reach r JOIN link ON link.u = r.v),
+     least_of AS (SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY 1)
+"""
+
+
 ORACLE_SQL = {
     "op1_decontaminate": rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
@@ -38,17 +55,8 @@ SELECT d.doc_id, len(d.ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_i
        coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN names USING (doc_id)
 """,
-    "op2_minhash_neardup": rf"""
-WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
-     s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] ELSE list_distinct(list_transform(
-                  range(1, greatest(len(ws) - 3, 1) + 1), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS sh FROM w),
-     e AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
-     link AS (SELECT a.doc_id AS u, b.doc_id AS v FROM e a JOIN e b USING (g) WHERE a.doc_id != b.doc_id
-              GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
-     reach(u, v) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.u, link.v FROM reach r JOIN link ON link.u = r.v),
-     least_of AS (SELECT u AS doc_id, min(v) AS component_id FROM reach GROUP BY 1)
-SELECT doc_id, len(sh) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN least_of USING (doc_id)
-""",
+    "op2_minhash_neardup": _linked(4) + "SELECT doc_id, len(sh) AS n_shingles, component_id, doc_id = component_id AS kept "
+                                        "FROM s JOIN least_of USING (doc_id)",
     "op4_substring_dedup": r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
      win AS (SELECT doc_id, i, array_to_string(ws[i:i + 34], ' ') AS g FROM w, unnest(range(1, len(ws) - 33)) AS r(i)),
@@ -69,9 +77,9 @@ WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
                 AND NOT EXISTS (SELECT 1 FROM base b
                                 WHERE b.doc_id = x.doc_id AND b.start_ < x.end_ AND x.start_ < b.end_)),
      every AS (SELECT * FROM base UNION ALL SELECT * FROM bare),
-     owner AS (SELECT value, count(DISTINCT doc_id) AS repos, count(DISTINCT source) AS owners
+     owner AS (SELECT value, count(DISTINCT source) AS owners
                FROM every JOIN d USING (doc_id) GROUP BY 1),
-     judged AS (SELECT e.*, CASE WHEN owners >= 3 OR repos >= 1000 THEN 'example' ELSE 'live' END AS verdict,
+     judged AS (SELECT e.*, CASE WHEN owners >= 3 THEN 'example' ELSE 'live' END AS verdict,
                        list_position(['assign', 'access', 'hex', 'owned'], kind) AS nth,
                        concat_ws(':', kind, CAST(start_ AS BIGINT), CAST(end_ AS BIGINT)) AS span
                 FROM every e JOIN owner USING (value)),
@@ -93,4 +101,5 @@ WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\
 SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, text_sha256
 FROM d JOIN g USING (text_sha256)
 """,
+    "op11_jaccard_join": _linked(5) + "SELECT doc_id, len(sh) AS n_shingles, component_id FROM s JOIN least_of USING (doc_id)",
 }

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import agreement, align
 from .bpe import count_tokens, round_trip
 from .decontam import contamination, words_hit
 from .exact import DigestIndex
@@ -14,6 +15,8 @@ from .html_extract import extract
 from .langid import identify
 from .neardup import NearDup, near_duplicates
 from .secrets import KINDS, secrets
+from .sigtree import jaccard_join
+from .spelling import spelling_variants
 from .store import Store, held_out
 from .substring import repeated_spans, without_repeats
 from .token_counts import TokenRollup
@@ -115,6 +118,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(_table(spark, sf_dir, "documents"), Store(spark, "jaccard"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = Store(spark, "alignment")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = store.put(align(docs, vocabulary(), vocabulary("piece_bpe_32k.model")), "aligned")
+    return agreement(aligned, store)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling_variants(_table(spark, sf_dir, "documents"), Store(spark, "spelling"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_minhash_neardup": op2_minhash_neardup,
@@ -126,4 +145,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_html_extract": op9_html_extract,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_jaccard_join": op11_jaccard_join,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_spelling_variants": op13_spelling_variants,
 }

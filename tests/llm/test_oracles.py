@@ -30,4 +30,4 @@ def test_query_matches_oracle(spark, sf_dir, name):
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries())
     assert set(ORACLE_SQL) <= set(oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
