@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import Encoder
+from .bpe import PRETOKEN, Encoder, Merges, load
 from .store import Store, small_batches
 from .words import chunks, ranges, utf8
 
@@ -58,9 +58,9 @@ class Pair:
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
 
-        self.a = Encoder(path_a)
-        self.a.special = None  # written in a text they are plain text
-        self.bytes_a = self.a.m.token
+        m = load(path_a)
+        self.bytes_a = m.token
+        self.encode_a = self._by_rank(m) if self._in_rank_order(m) else self._by_merges(path_a)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.len_a = np.fromiter(map(len, self.bytes_a), np.int64, len(self.bytes_a))
@@ -69,6 +69,27 @@ class Pair:
         self.digit_start = np.concatenate(([0], np.cumsum([len(d) for d in digits])))
         self.digits = np.frombuffer(b"".join(digits), np.uint8)
 
+    @staticmethod
+    def _in_rank_order(m: Merges) -> bool:
+        """Whether ids follow the merge list, as ranked vocabularies have them."""
+        made = m.made[np.argsort(m.rank)]
+        return bool((np.diff(made) > 0).all()) and (not len(made) or made[0] > m.byte_id.max())
+
+    @staticmethod
+    def _by_rank(m: Merges):
+        import tiktoken
+
+        named = set(m.special.values())
+        ranks = {t: i for i, t in enumerate(m.token) if i not in named}
+        encode = tiktoken.Encoding("ranked", pat_str=PRETOKEN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        return lambda texts: list(map(encode, texts))
+
+    @staticmethod
+    def _by_merges(path: str):
+        encoder = Encoder(path)
+        encoder.special = None  # written in a text they are plain text
+        return lambda texts: [ids.tolist() for ids in encoder.encode(texts)]
+
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
@@ -79,11 +100,11 @@ class Pair:
         out: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(texts)
         spaced = [" " + texts[k] for k in some]
         ids_b = self.b.encode([texts[k] for k in some], num_threads=1)
-        for k, text, a, b in zip(some, spaced, self.a.encode(spaced), ids_b, strict=True):
+        for k, text, a, b in zip(some, spaced, self.encode_a(spaced), ids_b, strict=True):
             want = text.encode()
-            if (b"".join(map(self.bytes_a.__getitem__, a.tolist())) == want
+            if (b"".join(map(self.bytes_a.__getitem__, a)) == want
                     and b"".join(map(self.bytes_b.__getitem__, b)) == want):
-                out[k] = a, np.asarray(b, np.int64)
+                out[k] = np.array(a, np.int64), np.array(b, np.int64)
         return out
 
     def align(self, a: np.ndarray, b: np.ndarray) -> "Alignment":
@@ -114,14 +135,15 @@ class Alignment:
         self.a, self.b = a, b
         index_a = dict(zip(ends_a.tolist(), range(1, len(a) + 1), strict=True))
         index_b = dict(zip(ends_b.tolist(), range(1, len(b) + 1), strict=True))
-        common = sorted(index_a.keys() & index_b.keys())
+        common = list(filter(index_b.__contains__, index_a))  # the intersection, in order since the ends ascend
         self.cut_a = np.fromiter(map(index_a.__getitem__, common), np.int64, len(common))
         self.cut_b = np.fromiter(map(index_b.__getitem__, common), np.int64, len(common))
         self._ends = ends_a, ends_b
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
         """Positions of the linked tokens: all slices' stretches in a row."""
-        ends = np.union1d(*self._ends)
+        ends = np.sort(np.concatenate(self._ends), kind="stable")  # two ascending runs: a merge
+        ends = ends[np.append(ends[1:] != ends[:-1], True)]
         return tuple(np.searchsorted(e, ends) for e in self._ends)
 
     def groups(self) -> list[dict]:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
@@ -9,8 +10,8 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from idbridge.llm.alignment import agreement, align, groups, link_counts, pack, unpack
-from idbridge.llm.bpe import file_bytes
+from idbridge.llm.alignment import Pair, agreement, align, groups, link_counts, pack, unpack
+from idbridge.llm.bpe import file_bytes, load
 from idbridge.llm.store import Store
 
 from . import helpers as h
@@ -96,6 +97,21 @@ def test_edge_rows(spark):
     assert Counter((r.doc_id, tuple(r[c] for c in COLUMNS)) for r in _run(spark, docs).collect()) == want
 
 
+def test_both_ways_to_encode_equal_the_library():
+    """By ranks and by the merge list, on random strings of all kinds of letters."""
+    rng = random.Random(6)
+    letters = "abcdefgh  \n\t.,'1239éßñ日本語текст\u00a0\u2003\U0001f600sttheing"
+    texts = ["".join(rng.choices(letters, k=rng.randint(1, 60))) for _ in range(2000)]
+    texts += ["<|endoftext|>", "x" * 5000, " " * 3000, "\r\n" * 50, "we'll they'd I'm"]
+    tok = Tokenizer.from_file(A)
+    tok.encode_special_tokens = True
+    want = [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
+    m = load(A)
+    assert Pair._in_rank_order(m)
+    assert Pair._by_rank(m)(texts) == want
+    assert Pair._by_merges(A)(texts) == want
+
+
 def test_packed_numbers():
     for x in ([], [0], [1, 255, 256, 2**32 - 1]):
         assert unpack(pack(np.array(x, np.int64))).tolist() == x
