@@ -52,6 +52,7 @@ FOLD[:33] = 0
 FOLD[0x30:0x3A] = 27
 FOLD[0x41:0x5B] = FOLD[0x61:0x7B] = np.arange(1, 27)
 FOLD[128:] = 29 + np.arange(128) % 3
+LABEL_WORDS = 1 << 20  # rows of 64 doc_ids' labels that are broadcast: 24 MB at most
 STEP = 1 / 12  # of the stored log ratios
 STRENGTH = 30.0  # toxic observations of a context that weigh as much as the ordinary model
 
@@ -242,6 +243,24 @@ def calibrate(rows: DataFrame, bins: int = 4000, width: float = 1 / 2000) -> Cur
     return Curve(float(w[0] / scale), float(w[1]))
 
 
+def labelled(docs: DataFrame, learned: DataFrame, half: Column, store: Store) -> DataFrame:
+    """The rows of ``docs`` with a label: text, toxic, half.
+
+    Labels are held as bits, 64 neighbouring doc_ids a row, which is exact. Up to
+    ``LABEL_WORDS`` such rows (counted first) are broadcast, and no text is shuffled;
+    beyond that the labelled texts meet their labels in a shuffled join."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("doc_id").cast("bigint").bitwiseAND(F.lit(63)).cast("int"))
+    word = F.shiftright(F.col("doc_id").cast("bigint"), 6)
+    words = store.put(learned.select(word.alias("w"), bit.alias("b"), "toxic").groupBy("w")
+                      .agg(F.bit_or("b").alias("known"), F.bit_or(F.when(F.col("toxic") == 1, F.col("b")).otherwise(0)).alias("bad")),
+                      "words")
+    if words.count() > LABEL_WORDS:
+        return likely_rows(docs, "doc_id", learned, "doc_id").join(learned, "doc_id").select("text", "toxic", "half")
+    told = docs.withColumn("w", word).join(F.broadcast(words), "w").where(F.col("known").bitwiseAND(bit) != 0)
+    return told.select("text", (F.col("bad").bitwiseAND(bit) != 0).cast("int").alias("toxic"),
+                       half.cast("int").alias("half"))
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, teaches: Column, half: Column, store: Store) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, ratio, score, one row per row.
     ``labels`` (doc_id, toxic) are learned where ``teaches`` holds; ``half``
@@ -251,8 +270,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, teaches: Column, half: Co
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     learned = store.put(labels.where("doc_id is not null and toxic is not null").where(teaches).groupBy("doc_id")
                         .agg(F.max(F.col("toxic").cast("int")).alias("toxic")).withColumn("half", half.cast("int")), "labels")
-    known = likely_rows(docs, "doc_id", learned, "doc_id").join(learned, "doc_id").select("text", "toxic", "half")
-    ratios = spark.sparkContext.broadcast(fit(known, store))
+    ratios = spark.sparkContext.broadcast(fit(labelled(docs, learned, half, store), store))
     schema = docs.select("doc_id").schema
     for m in MODELS:
         schema = schema.add(m, T.DoubleType())

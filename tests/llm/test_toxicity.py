@@ -97,3 +97,18 @@ def test_edge_rows(spark):
         assert len(got) == docs.count() and all(0 <= r.score <= 1 for r in got)
     empty = t.score_toxicity(h.empty_docs(spark), lab, F.lit(True), F.col("doc_id") % 2, Store(spark, "t"))
     assert empty.count() == 0
+
+
+def test_labels_as_bits_equal_the_shuffled_join(spark, monkeypatch):
+    """Negative, large, repeated, unknown and null doc_ids, by both ways."""
+    ids = [0, 1, 63, 64, 65, -1, -64, -65, 2**40, 2**62, None, 7, 7, 8]
+    docs = spark.createDataFrame([(i, f"t{n}") for n, i in enumerate(ids)], "doc_id bigint, text string")
+    learned = spark.createDataFrame([(0, 1, 0), (63, 0, 1), (64, 1, 1), (-1, 1, 0), (-65, 0, 0), (2**40, 1, 1), (2**62, 0, 1),
+                                     (7, 1, 0), (9, 1, 1)], "doc_id bigint, toxic int, half int")
+    half = F.expr("cast(element_at(map(0L, 0, 63L, 1, 64L, 1, -1L, 0, -65L, 0, 1099511627776L, 1, 4611686018427387904L, 1, "
+                  "7L, 0, 9L, 1), doc_id) as int)")
+    store = Store(spark, "t")
+    bits = sorted(tuple(r) for r in t.labelled(docs, learned, half, store).collect())
+    monkeypatch.setattr(t, "LABEL_WORDS", 0)
+    assert bits == sorted(tuple(r) for r in t.labelled(docs, learned, half, store).collect())
+    assert len(bits) == 9 and ("t11", 1, 0) in bits and ("t12", 1, 0) in bits and ("t7", 0, 0) in bits
