@@ -17,6 +17,11 @@ KEY_VAL = "_k_val"
 KEY_COLS = [KEY_NULL, KEY_VAL]
 
 
+def quoted(col: str) -> str:
+    """A column name as the column parser reads it, dots and back quotes included."""
+    return "`" + col.replace("`", "``") + "`"
+
+
 def key_exprs(col: Column | str, dtype: T.DataType | None = None) -> dict[str, Column]:
     """The key pair for ``col``. The value keeps the column's type (a long
     key stays a long), the filler for NULL is never compared on its own."""

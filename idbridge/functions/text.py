@@ -9,6 +9,13 @@ from pyspark.sql import Column, functions as F
 R_WHITESPACE = " \t\r\n"
 
 
+def lower_by_letter(col: Column) -> Column:
+    """``tolower``: every code point by itself. Spark's ``lower`` does the same but
+    for two letters that depend on their place or become two code points: the
+    capital sigma (always the medial form here) and the dotted capital I."""
+    return F.lower(F.translate(col, "\u03a3\u0130", "\u03c3i"))
+
+
 def sanitize_email(col: Column | str) -> Column:
     """Lower-case, then strip R whitespace at both ends (tolower + trimws).
 
@@ -16,7 +23,7 @@ def sanitize_email(col: Column | str) -> Column:
     step applied to driver-specific text types.
     """
     c = F.col(col) if isinstance(col, str) else col
-    return F.btrim(F.lower(c.cast("string")), F.lit(R_WHITESPACE))
+    return F.btrim(lower_by_letter(c.cast("string")), F.lit(R_WHITESPACE))
 
 
 def paste_names(first: Column | str, last: Column | str, na_text: str | None = "NA") -> Column:

@@ -14,16 +14,22 @@ smallest candidate of the key, so only those two are kept per key.
 ``row_number() <= 2`` is planned with a map-side group limit: a hot key
 sends at most two rows per map task into the shuffle, and the target side
 never fans out.
+
+Any table can be a target: its columns are carried under positional names, so
+no stored name or type (maps included) meets a helper column, and its rows are
+dealt to join parts by the key alone. The lookup side has one row per key
+whatever it holds, so an update never adds or loses a row.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from idbridge.functions.ids import member_uuid, stable_member_id
-from idbridge.functions.keys import KEY_COLS, KEY_NULL, add_key
+from idbridge.functions.keys import KEY_COLS, KEY_NULL, key_exprs, quoted
 from idbridge.functions.text import paste_names
 from idbridge.operators.skew import SkewPolicy, skew_join
 from idbridge.sources.schemas import MEMBER_INSERT
@@ -40,34 +46,35 @@ class UpdatePlan:
     """One UPDATE: ``decided`` is every target row plus the value it gets
     (``_new``, NULL when unchanged); the new table and the change list are
     both projections of it, so checkpointing ``decided`` once
-    (``materialized``) serves both writes."""
+    (``materialized``) serves both writes. ``names`` gives, per stored column,
+    its name in ``decided``."""
 
     decided: DataFrame
-    columns: list[str]
+    names: dict[str, str]
     key: str
     set_col: str
 
     @property
     def table(self) -> DataFrame:
         """Every target row, column updated."""
-        return (self.decided.withColumn(self.set_col, F.coalesce(F.col(NEW), F.col(self.set_col)))
-                .select(*self.columns))
+        return self.decided.select(*[
+            (F.coalesce(F.col(NEW), F.col(n)) if c == self.set_col else F.col(n)).alias(c) for c, n in self.names.items()])
 
     @property
     def changes(self) -> DataFrame:
         """Changed rows only: key, old value, new value."""
         return self.decided.where(F.col(NEW).isNotNull()).select(
-            F.col(self.key), F.col(self.set_col).alias(f"old_{self.set_col}"),
+            F.col(self.names[self.key]).alias(self.key), F.col(self.names[self.set_col]).alias(f"old_{self.set_col}"),
             F.col(NEW).alias(f"new_{self.set_col}"))
 
     def without(self, *cols: str) -> "UpdatePlan":
-        """The same update with helper columns left out of ``table``."""
-        return UpdatePlan(self.decided, [c for c in self.columns if c not in cols], self.key, self.set_col)
+        """The same update with columns left out of ``table``."""
+        return UpdatePlan(self.decided, {c: n for c, n in self.names.items() if c not in cols}, self.key, self.set_col)
 
     def materialized(self) -> "UpdatePlan":
         """Checkpoint ``decided`` (in ``spark.checkpoint.dir``) and plan on top of it."""
         from idbridge.operators.sinks import materialize
-        return UpdatePlan(materialize(self.decided.select(*self.columns, NEW)), self.columns, self.key, self.set_col)
+        return UpdatePlan(materialize(self.decided.select(*self.names.values(), NEW)), self.names, self.key, self.set_col)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -84,13 +91,21 @@ def _passes(guard: str, cur: Column, v: Column) -> Column:
     return v.isNotNull() & ~cur.eqNullSafe(v)
 
 
+def _keyed(df: DataFrame, key: str, value: str, name: str, null_safe_match: bool) -> DataFrame:
+    """The key pair of ``key`` with ``value`` as ``name``."""
+    pair = key_exprs(F.col(quoted(key)), df.schema[key].dataType)
+    out = df.select(*[e.alias(n) for n, e in pair.items()], F.col(quoted(value)).alias(name))
+    return out if null_safe_match else out.where(~F.col(KEY_NULL))
+
+
 def smallest_two(lookup: DataFrame, lookup_col: str, value_col: str, *, null_safe_match: bool = True) -> DataFrame:
     """Per key of ``lookup_col``: the two smallest distinct non-null ``value_col`` values."""
-    lk = add_key(lookup.select(lookup_col, F.col(value_col).alias(_V)), lookup_col).drop(lookup_col)
-    lk = lk.where(F.col(_V).isNotNull())
-    if not null_safe_match:
-        lk = lk.where(~F.col(KEY_NULL))
-    lk = lk.select(*KEY_COLS, _V).distinct()
+    return two_smallest_of_keyed(_keyed(lookup, lookup_col, value_col, _V, null_safe_match))
+
+
+def two_smallest_of_keyed(keyed: DataFrame) -> DataFrame:
+    """``smallest_two`` of rows that hold the key pair and the value ``_v``."""
+    lk = keyed.where(F.col(_V).isNotNull()).select(*KEY_COLS, _V).distinct()
     ranked = lk.withColumn(_RN, F.row_number().over(Window.partitionBy(*KEY_COLS).orderBy(_V)))
     return (ranked.where(F.col(_RN) <= 2)
             .groupBy(*KEY_COLS)
@@ -99,50 +114,52 @@ def smallest_two(lookup: DataFrame, lookup_col: str, value_col: str, *, null_saf
 
 def update_from_lookup(target: DataFrame, *, key: str, match_col: str, set_col: str,
                        lookup: DataFrame, lookup_col: str, value_col: str,
+                       match_by: Callable[[Column], Column] = lambda c: c,
                        guard: str = "null_safe", null_safe_match: bool = True, stable: bool = False,
                        candidates: DataFrame | None = None, unique_lookup: bool = False,
-                       policy: SkewPolicy | None = None) -> UpdatePlan:
+                       policy: SkewPolicy | None = None,
+                       join: Callable[[DataFrame, DataFrame], DataFrame] | None = None) -> UpdatePlan:
     """Set ``target.set_col`` from staged candidate values where ``guard`` allows.
 
     Staged candidates of a target row: ``lookup.value_col`` of the lookup rows
-    whose ``lookup_col`` matches ``target.match_col`` (NULL matches NULL
+    whose ``lookup_col`` equals ``match_by(target.match_col)`` (NULL matches NULL
     when ``null_safe_match``). ``guard`` is ``"sql"`` (value set and
     ``current != value``, three-valued) or ``"null_safe"``
     (``NOT current <=> value``). ``stable=True`` leaves a row alone when its
     current value is one of its candidates, so reruns cannot flip it.
     ``candidates`` may pass ``smallest_two(lookup, ...)`` computed (and
-    checkpointed) once for several updates. ``unique_lookup`` says that
-    ``lookup_col`` is a primary key of ``lookup``: its rows are the candidates
-    as they are, shuffled once, by the join alone.
+    checkpointed) once for several updates, and ``join`` how target rows (first)
+    meet them on the key pair. ``unique_lookup`` is the caller's word that
+    ``lookup_col`` never repeats: its rows are then the candidates as they are.
 
     The new value takes the type of the stored column; every other column of
-    ``target`` stays as it is.
+    ``target`` stays as it is, and so does the number of rows, whatever repeats.
     """
     if guard not in GUARDS:
         raise ValueError(f"guard {guard!r} not in {GUARDS}")
-    cols = target.columns
+    names = {c: f"c{i}" for i, c in enumerate(target.columns)}
+    renamed = target.select(*[F.col(quoted(c)).alias(n) for c, n in names.items()])
     if unique_lookup:
-        top2 = (add_key(lookup.select(lookup_col, F.col(value_col).alias(_C1)), lookup_col).drop(lookup_col)
+        top2 = (_keyed(lookup, lookup_col, value_col, _C1, null_safe_match)
                 .withColumn(_C2, F.lit(None).cast(lookup.schema[value_col].dataType)))
-        if not null_safe_match:
-            top2 = top2.where(~F.col(KEY_NULL))
     else:
         top2 = candidates if candidates is not None else smallest_two(
             lookup, lookup_col, value_col, null_safe_match=null_safe_match)
-    keyed = add_key(target, match_col)
-    joined = skew_join(keyed, top2, KEY_COLS, "left", policy=policy, unique_right=True)
-    cur, c1, c2 = F.col(set_col), F.col(_C1), F.col(_C2)
+    matched = match_by(F.col(names[match_col]))
+    keyed = renamed.withColumns(key_exprs(matched, renamed.select(matched).schema[0].dataType))
+    deal = [names[key]]
+    joined = join(keyed, top2) if join else skew_join(keyed, top2, KEY_COLS, "left", policy=policy, unique_right=True,
+                                                      deal_by=deal)
+    cur, c1, c2 = F.col(names[set_col]), F.col(_C1), F.col(_C2)
     winner = F.when(_passes(guard, cur, c1), c1).when(_passes(guard, cur, c2), c2)
     if stable:
-        members = (add_key(lookup.select(lookup_col, F.col(value_col).alias(_CUR)), lookup_col)
-                   .drop(lookup_col).where(F.col(_CUR).isNotNull()))
-        if not null_safe_match:
-            members = members.where(~F.col(KEY_NULL))
+        members = _keyed(lookup, lookup_col, value_col, _CUR, null_safe_match).where(F.col(_CUR).isNotNull())
         members = members.select(*KEY_COLS, _CUR).distinct().withColumn(_HIT, F.lit(True))
         joined = skew_join(joined.withColumn(_CUR, cur), members, KEY_COLS + [_CUR], "left", policy=policy,
-                           unique_right=True)
+                           unique_right=True, deal_by=deal)
         winner = F.when(F.col(_HIT).isNull(), winner)
-    return UpdatePlan(joined.withColumn(NEW, winner.cast(target.schema[set_col].dataType)), cols, key, set_col)
+    decided = joined.withColumn(NEW, winner.cast(target.schema[set_col].dataType))
+    return UpdatePlan(decided.select(*names.values(), NEW), names, key, set_col)
 
 
 def member_inserts(unmatched: DataFrame, *, na_text: str | None = "NA", id_mode: str = "uuid") -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from idbridge.functions.keys import KEY_COLS, add_key
 from idbridge.operators.match import match_left
+from idbridge.operators.ordinals import with_ordinals
 from idbridge.operators.skew import COUNT, SkewPolicy, key_counts as _counts, skew_join
 
 
@@ -22,17 +23,30 @@ def sorted_report(df: DataFrame, key: str, tiebreak: list[str] | None = None) ->
     The other columns break ties, so the range partitioner can cut a large
     key group across tasks and the order is deterministic.
     """
+    return df.orderBy(*report_order(df, key, tiebreak))
+
+
+def report_order(df: DataFrame, key: str, tiebreak: list[str] | None = None) -> list[Column]:
     rest = tiebreak if tiebreak is not None else [c for c in df.columns if c != key]
-    order: list[Column] = [F.col(key).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in rest]
-    return df.orderBy(*order)
+    return [F.col(key).asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in rest]
+
+
+def ranked_report(df: DataFrame, key: str, tiebreak: list[str] | None = None, name: str = "rank") -> DataFrame:
+    """``sorted_report`` with each row's place in it, so that the order outlives
+    a write: the result itself may lie in any order."""
+    return with_ordinals(df, report_order(df, key, tiebreak), name)
 
 
-def duplicate_rows(df: DataFrame, key: str, *, sort: bool = True,
-                   policy: SkewPolicy | None = None) -> DataFrame:
-    """Rows of ``df`` whose ``key`` (NULL included, as one group) occurs more than once."""
+def duplicate_rows(df: DataFrame, key: str, *, sort: bool = True, policy: SkewPolicy | None = None,
+                   counts: DataFrame | None = None) -> DataFrame:
+    """Rows of ``df`` whose ``key`` (NULL included, as one group) occurs more than
+    once. ``counts`` (``key``, ``n``) may give the rows per key, kept elsewhere
+    (``ledger``), so that they need not be counted again."""
     keyed = add_key(df, key)
-    counts = _counts(keyed.select(*KEY_COLS), KEY_COLS)
-    dup_keys = counts.where(F.col(COUNT) > 1).select(*KEY_COLS)
+    if counts is not None:
+        dup_keys = add_key(counts.where("n > 1").select(key), key).select(*KEY_COLS)
+    else:
+        dup_keys = _counts(keyed.select(*KEY_COLS), KEY_COLS).where(F.col(COUNT) > 1).select(*KEY_COLS)
     rows = skew_join(keyed, dup_keys, KEY_COLS, "left_semi", policy=policy).drop(*KEY_COLS)
     return sorted_report(rows, key) if sort else rows
 

@@ -27,11 +27,12 @@ def _keyed_right(right: DataFrame, right_on: str, null_safe: bool) -> DataFrame:
 
 def match(left: DataFrame, right: DataFrame, left_on: str, right_on: str | None = None,
           how: str = "left", *, null_safe: bool = True, split_hot: bool = True,
-          policy: SkewPolicy | None = None) -> DataFrame:
+          policy: SkewPolicy | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Join ``left`` to ``right`` on ``left.left_on == right.right_on``.
 
     ``split_hot=False`` skips hot-key splitting, for callers whose left keys
-    are already unique (after a ``distinct``).
+    are already unique (after a ``distinct``). ``hot`` names the hot keys, from
+    saved sketches, in place of counting.
     """
     right_on = right_on or left_on
     clash = (set(left.columns) & set(right.columns)) - {right_on}
@@ -41,7 +42,7 @@ def match(left: DataFrame, right: DataFrame, left_on: str, right_on: str | None
     rk = _keyed_right(right, right_on, null_safe)  # semi/anti: skew_join keeps distinct keys only
     if not split_hot:
         policy = PLAIN
-    return skew_join(lk, rk, KEY_COLS, how, policy=policy).drop(*KEY_COLS)
+    return skew_join(lk, rk, KEY_COLS, how, policy=policy, hot=hot).drop(*KEY_COLS)
 
 
 def match_left(left, right, left_on, right_on=None, **kw) -> DataFrame:

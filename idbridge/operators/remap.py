@@ -20,4 +20,9 @@ def remap_id(target: DataFrame, lookup: DataFrame, target_key: str, lookup_key:
     """``target`` with ``id_col`` replaced by the matched ``lookup_id`` where one exists."""
     lk = lookup.select(F.col(lookup_key), F.col(lookup_id).alias(CORRECT))
     joined = match_left(target, lk, target_key, lookup_key, null_safe=null_safe, **kw)
+    return coalesced(joined, id_col)
+
+
+def coalesced(joined: DataFrame, id_col: str) -> DataFrame:
+    """``id_col`` replaced by the looked-up id where there is one."""
     return joined.withColumn(id_col, F.coalesce(F.col(CORRECT), F.col(id_col))).drop(CORRECT)

@@ -38,7 +38,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
-from idbridge.functions.keys import KEY_NULL, KEY_VAL
+from idbridge.functions.keys import KEY_NULL, KEY_VAL, quoted
 
 PART_L, PART_R = "_part_l", "_part_r"     # cell coordinates i, j
 SPLIT_L, SPLIT_R = "_split_l", "_split_r"  # a, b per hot key
@@ -115,20 +115,40 @@ def _bounded(hot: DataFrame, policy: SkewPolicy) -> DataFrame | None:
     return hot.sparkSession.createDataFrame(got, hot.schema) if got else None
 
 
-def _side(df: DataFrame, hot: DataFrame, keys: list[str], own: str, part: str, other: str, other_part: str) -> DataFrame:
-    """``df`` with its part and a copy for every part of the other side."""
-    cols = df.columns
+def _hashable(dtype: T.DataType) -> bool:
+    """Whether Spark hashes and groups values of the type."""
+    if isinstance(dtype, T.ArrayType):
+        return _hashable(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(_hashable(f.dataType) for f in dtype.fields)
+    return not isinstance(dtype, (T.MapType, T.VariantType))
+
+
+def _dealing(df: DataFrame, deal_by: list[str] | None) -> list[str]:
+    """The columns whose values decide a row's part."""
+    return [quoted(c) for c in deal_by or [f.name for f in df.schema.fields if _hashable(f.dataType)]]
+
+
+def _side(df: DataFrame, hot: DataFrame, keys: list[str], own: str, part: str, other: str, other_part: str,
+          deal_by: list[str] | None = None) -> DataFrame:
+    """``df`` with its part and a copy for every part of the other side. Equal
+    rows are numbered first, unless ``deal_by`` tells rows apart or a column
+    cannot be grouped."""
+    cols = [quoted(c) for c in df.columns]
     marked = df.join(F.broadcast(hot), keys, "left")
     whole = marked.where(F.coalesce(F.col(own), F.lit(1)) <= 1).withColumn(part, F.lit(0))
-    equal = marked.where(F.col(own) > 1).groupBy(*cols, SPLIT_L, SPLIT_R).agg(F.count(F.lit(1)).alias(COUNT))
-    dealt = equal.withColumn(NUMBER, F.explode(F.sequence(F.lit(1).cast("long"), F.col(COUNT))))
-    dealt = dealt.withColumn(part, F.pmod(F.xxhash64(*cols, NUMBER), F.col(own)).cast("int")).drop(COUNT, NUMBER)
+    dealt, by = marked.where(F.col(own) > 1), _dealing(df, deal_by)
+    if deal_by is None and len(by) == len(cols):
+        equal = dealt.groupBy(*cols, SPLIT_L, SPLIT_R).agg(F.count(F.lit(1)).alias(COUNT))
+        dealt, by = equal.withColumn(NUMBER, F.explode(F.sequence(F.lit(1).cast("long"), F.col(COUNT)))), [*by, NUMBER]
+    dealt = dealt.withColumn(part, F.pmod(F.xxhash64(*by), F.col(own)).cast("int")).drop(COUNT, NUMBER)
     copies = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)
     return whole.unionByName(dealt).withColumn(other_part, F.explode(copies))
 
 
-def _counted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, hot: DataFrame) -> DataFrame:
-    lt = _side(left, hot, keys, SPLIT_L, PART_L, SPLIT_R, PART_R)
+def _counted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, hot: DataFrame,
+                  deal_by: list[str] | None = None) -> DataFrame:
+    lt = _side(left, hot, keys, SPLIT_L, PART_L, SPLIT_R, PART_R, deal_by)
     rt = _side(right, hot, keys, SPLIT_R, PART_R, SPLIT_L, PART_L).drop(SPLIT_L, SPLIT_R)
     if how == "left":
         rt = rt.withColumn(MARK, F.lit(True))
@@ -144,20 +164,25 @@ def _placeholder(df: DataFrame) -> Column:
     return F.col(KEY_NULL) | empty
 
 
-def _placeholder_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, parts: int) -> DataFrame:
-    dealt = F.pmod(F.xxhash64(*left.columns), F.lit(parts)).cast("int")
+def _placeholder_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, parts: int,
+                      deal_by: list[str] | None = None) -> DataFrame:
+    dealt = F.pmod(F.xxhash64(*_dealing(left, deal_by)), F.lit(parts)).cast("int")
     copies = F.when(_placeholder(right), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
     lt = left.withColumn(PART_L, F.when(_placeholder(left), dealt).otherwise(F.lit(0)))
     return lt.join(right.withColumn(PART_L, F.explode(copies)), [*keys, PART_L], how)
 
 
 def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", *,
-              policy: SkewPolicy | None = None, unique_right: bool = False) -> DataFrame:
+              policy: SkewPolicy | None = None, unique_right: bool = False,
+              deal_by: list[str] | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Equi-join on non-null key columns ``keys`` (same names on both sides).
 
     Output: left columns, then right non-key columns (none for semi/anti).
     ``unique_right`` says the build side has at most one row per key (a
-    per-key table).
+    per-key table). ``deal_by`` names left columns that tell left rows apart (a
+    key of the table); a split key's rows are dealt by them alone, without
+    hashing or grouping whole rows. ``hot`` gives the hot keys and their parts, as
+    ``hot_keys`` or saved sketches (``sketch``) do, so that nothing is counted.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"join type {how!r} not in {sorted(JOIN_TYPES)}")
@@ -169,11 +194,15 @@ def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
         out_cols += [c for c in right.columns if c not in keys]
     policy = policy or SkewPolicy.from_session(left.sparkSession)
     one_row = lookup_only or unique_right
-    if policy.counted:
-        hot = _bounded(hot_keys(left, None if one_row else right, keys, policy), policy)
+    if hot is not None or policy.counted:
+        if hot is None:
+            hot = hot_keys(left, None if one_row else right, keys, policy)
+        elif one_row:
+            hot = hot.withColumn(SPLIT_R, F.lit(1))
+        hot = _bounded(hot, policy)
         if hot is not None:
-            return _counted_join(left, right, keys, how, hot).select(*out_cols)
+            return _counted_join(left, right, keys, how, hot, deal_by).select(*map(quoted, out_cols))
     parts = policy.placeholder_parts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if one_row and parts > 1 and KEY_NULL in keys:
-        return _placeholder_join(left, right, keys, how, parts).select(*out_cols)
-    return left.join(right, keys, how).select(*out_cols)
+        return _placeholder_join(left, right, keys, how, parts, deal_by).select(*map(quoted, out_cols))
+    return left.join(right, keys, how).select(*map(quoted, out_cols))

@@ -221,4 +221,34 @@ BODIES = {
         user_id AS external_id, created_at AS member_since FROM k_unmatched""",
 }
 
+BODIES["staged_changes"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, id, old_{c} AS old_id, new_{c} AS new_id FROM ({BODIES[f'changed_{t}']})"
+    for t, c in (("transactions", "member_id"), ("reservations", "member_id"), ("invoices", "customer_id")))
+
+
+def _ranked(name: str, *order: str) -> str:
+    by = ", ".join(f"{c} ASC NULLS LAST" for c in order)
+    return f"SELECT *, row_number() OVER (ORDER BY {by}) AS rank FROM ({BODIES[name]})"
+
+
+BODIES |= {f"ranked_{name}": _ranked(name, *order) for name, order in {
+    "dup_members": ("email", "member_id"), "dup_users": ("email", "id"), "dup_mapped": ("email", "id", "member_id"),
+    "member_email_counts": ("email", "n"), "dup_transaction_orphans": ("customer_email",),
+    "dup_ticket_orphans": ("email", "user_id", "fname", "lname", "created_at")}.items()}
+
+# the same results by other operators
+SAME = {
+    "mapped_users_two_sources": "mapped_users", "ledger_member_email_counts": "member_email_counts",
+    "ledger_dup_members": "dup_members", "ledger_mapping_summary": "mapping_summary_after_update",
+    **{f"indexed_{n}": n for n in ("mapped_users", "update_users", "remap_transactions", "update_transactions",
+                                   "unmatched_transaction_emails", "matched_transaction_orphans",
+                                   "unmatched_ticket_users", "matched_ticket_orphans")},
+    **{f"prefiltered_{n}": n for n in ("unmatched_transaction_emails", "matched_transaction_orphans",
+                                       "unmatched_ticket_users", "matched_ticket_orphans")},
+    **{f"factorised_{n}": n for n in ("mapped_users", "matched_ticket_orphans", "remap_transactions",
+                                      "remap_reservations")},
+    **{f"rewritten_{n}": f"update_{n}" for n in ("users", "transactions", "reservations", "invoices")},
+}
+BODIES |= {name: BODIES[of] for name, of in SAME.items()}
+
 ORACLE_SQL = {name: with_views(body) for name, body in BODIES.items()}

@@ -33,8 +33,9 @@ def transaction_orphans(transactions: DataFrame, members: DataFrame, min_year: i
          .where(F.col("member_id").isNull() & F.col("customer_email").isNotNull()
                 & at_least_year(transactions, "date", min_year))
          .select("customer_email").distinct())
-    m = (members.groupBy("email").agg(F.count_if(F.col("id").isNull()).alias("_no_id"))
-         .where(F.col("_no_id") == 0).select("email"))
+    # plain counts, which a database behind the JDBC catalog takes over
+    m = (members.groupBy("email").agg(F.count(F.lit(1)).alias("_rows"), F.count("id").alias("_ids"))
+         .where(F.col("_rows") == F.col("_ids")).select("email"))
     if collation:
         # the left side holds distinct emails, so this join cannot be skewed
         on = F.collate(t.customer_email, collation) == F.collate(m.email, collation)

@@ -14,9 +14,11 @@ import os
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F, types as T
 
+from idbridge.functions.keys import quoted
 from idbridge.sources import fixtures
-from idbridge.sources.schemas import check_schema, check_target
+from idbridge.sources.schemas import SCHEMAS, check_schema, check_target
 
 # JDBC URL prefix and driver class per database kind.
 JDBC_KINDS = {
@@ -93,12 +95,49 @@ class KeyRanges:
         return cls(column, [f"{i * 16 ** digits // num:0{digits}x}" for i in range(1, num)])
 
     def predicates(self) -> list[str]:
-        q = lambda v: "'" + v.replace("'", "''") + "'"
-        c, cuts = self.column, sorted(set(self.cuts))
-        if not cuts:
-            return ["1 = 1"]
-        between = [f"{c} >= {q(a)} AND {c} < {q(b)}" for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        return [f"{c} < {q(cuts[0])} OR {c} IS NULL", *between, f"{c} >= {q(cuts[-1])}"]
+        return range_predicates(self.column, sorted(set(self.cuts)))
+
+
+@dataclass
+class BalancedRanges:
+    """Parallel JDBC read by a key whose values need not be known: one query to
+    the database finds ``num - 1`` cuts with equally many rows between them.
+
+    ``column`` is a number or a text, written into the statements as given. Each row falls
+    into one range; NULL keys fall into the first. A single value is never cut."""
+
+    column: str
+    num: int
+
+    def sql(self, kind: str, table: str) -> str:
+        """The cuts: every n-th key in the database's order."""
+        c, some = self.column, f"FROM {table} WHERE {self.column} IS NOT NULL"
+        if kind == "derby":  # numbers an ordered subquery; has no ORDER BY inside OVER
+            numbered = f"SELECT k, ROW_NUMBER() OVER () AS rn FROM (SELECT {c} AS k {some} ORDER BY {c}) o"
+        else:
+            numbered = f"SELECT {c} AS k, ROW_NUMBER() OVER (ORDER BY {c}) AS rn {some}"
+        # rows before the i-th cut: i * n / num, so the ranges differ by one row at most
+        total = f"(SELECT COUNT(*) {some})"
+        return (f"SELECT k FROM ({numbered}) x WHERE rn > 1 AND "
+                f"(rn - 1) * {self.num} / {total} <> (rn - 2) * {self.num} / {total}")
+
+    def predicates(self, spark: SparkSession, conn: JdbcConnection, table: str) -> list[str]:
+        sql = self.sql(conn.kind, table).replace(" / ", " DIV ") if conn.kind in ("mysql", "mariadb") else \
+            self.sql(conn.kind, table)
+        found = spark.read.format("jdbc").options(**conn.options()).option("dbtable", f"({sql}) q").load()
+        text = isinstance(found.schema[0].dataType, T.StringType)
+        cuts = [r[0] for r in found.collect()]  # num - 1 at most
+        return range_predicates(self.column, cuts, text)
+
+
+def range_predicates(column: str, cuts: list, text: bool = True) -> list[str]:
+    """Ranges between ascending ``cuts``; repeated cuts count once."""
+    q = (lambda v: "'" + v.replace("'", "''") + "'") if text else str
+    cuts = list(dict.fromkeys(cuts))
+    if not cuts:
+        return ["1 = 1"]
+    between = [f"{column} >= {q(a)} AND {column} < {q(b)}" for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return [f"{column} < {q(cuts[0])} OR {column} IS NULL", *between, f"{column} >= {q(cuts[-1])}"]
 
 
 class Tables:
@@ -164,13 +203,18 @@ class JdbcTables(Tables):
     ``names`` maps logical names to qualified database names
     (``{"tickets": "sales.tickets"}``); ``partitions`` says per table how it
     is read by many tasks at once: ``Partitioning`` for a numeric column,
-    ``KeyRanges`` for a string key.
+    ``KeyRanges`` for a string key, ``BalancedRanges`` for either, with cuts that the
+    database finds. A table may be asked for by either name.
     """
 
     def __init__(self, conn: JdbcConnection, names: dict[str, str] | None = None,
-                 partitions: dict[str, Partitioning | KeyRanges] | None = None, fetch_size: int = 10000):
+                 partitions: dict[str, Partitioning | KeyRanges | BalancedRanges] | None = None, fetch_size: int = 10000):
         self.conn, self.names = conn, names or {}
         self.partitions, self.fetch_size = partitions or {}, fetch_size
+        self._found: dict[str, list[str]] = {}
+
+    def _logical(self, name: str) -> str:
+        return next((k for k, v in self.names.items() if v == name), name) if name not in self.names else name
 
     def _reader(self, spark: SparkSession, name: str):
         r = spark.read.format("jdbc").options(**self.conn.options())
@@ -182,10 +226,17 @@ class JdbcTables(Tables):
         return r
 
     def raw(self, spark, name):
+        name = self._logical(name)
         p, table = self.partitions.get(name), self.names.get(name, name)
-        if isinstance(p, KeyRanges):
+        if isinstance(p, (KeyRanges, BalancedRanges)):
+            if isinstance(p, KeyRanges):
+                ranges = p.predicates()
+            else:  # found once per reader
+                if name not in self._found:
+                    self._found[name] = p.predicates(spark, self.conn, table)
+                ranges = self._found[name]
             opts = {**self.conn.options(), "fetchsize": str(self.fetch_size)}
-            return spark.read.jdbc(opts.pop("url"), table, predicates=p.predicates(), properties=opts)
+            return spark.read.jdbc(opts.pop("url"), table, predicates=ranges, properties=opts)
         return self._reader(spark, name).option("dbtable", table).load()
 
     def query(self, spark: SparkSession, sql: str, partition: Partitioning | None = None) -> DataFrame:
@@ -199,3 +250,37 @@ class JdbcTables(Tables):
             r = (r.option("partitionColumn", partition.column).option("lowerBound", str(partition.lower))
                   .option("upperBound", str(partition.upper)).option("numPartitions", str(partition.num)))
         return r.option("dbtable", f"({sql}) q").load()
+
+
+class CatalogTables(Tables):
+    """Tables of a database through Spark's JDBC catalog, which lets the database
+    do what it can: filters, DISTINCT, GROUP BY with counts, limits and, where
+    Spark knows the database to take them, joins. Jobs need no other plan for it.
+
+    ``schema`` holds names without a schema of their own; ``names`` maps logical
+    names as in ``JdbcTables``. Stored names are matched without regard to case.
+    A table is read by one task; give very large ones to ``JdbcTables``. The
+    session's settings hold the connection, its password included.
+    """
+
+    def __init__(self, conn: JdbcConnection, schema: str, names: dict[str, str] | None = None):
+        self.conn, self.schema, self.names = conn, schema, names or {}
+
+    def catalog(self, spark: SparkSession) -> str:
+        """The name of the session's catalog for this connection, registered if need be."""
+        options = {**self.conn.options(), "preferTimestampNTZ": "true",
+                   **{f"pushDown{what}": "true" for what in ("Aggregate", "Limit", "Offset", "TableSample", "Join")}}
+        name = "idbridge_" + hashlib.sha1(repr(sorted(options.items())).encode()).hexdigest()[:10]
+        key = f"spark.sql.catalog.{name}"
+        if spark.conf.get(key, None) is None:
+            for k, v in options.items():
+                spark.conf.set(f"{key}.{k}", v)
+            spark.conf.set(key, "org.apache.spark.sql.execution.datasources.v2.jdbc.JDBCTableCatalog")
+        return name
+
+    def raw(self, spark, name):
+        stored = self.names.get(name, name)
+        parts = stored.split(".") if "." in stored else [self.schema, stored]
+        df = spark.table(".".join(quoted(p) for p in (self.catalog(spark), *parts)))
+        logical = {c.lower(): c for c in SCHEMAS[name].fieldNames()} if name in SCHEMAS else {}
+        return df.select(*[F.col(quoted(c)).alias(logical.get(c.lower(), c)) for c in df.columns])

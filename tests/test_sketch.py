@@ -1,0 +1,97 @@
+"""Hot keys from saved sketches: the same rows, and no further read of the inputs."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from idbridge.functions import add_key, sanitize_email
+from idbridge.operators import heavy_keys, hot_from_sketches, key_sketch, match, merged
+from idbridge.operators.skew import SkewPolicy
+from idbridge.plans import catalog
+from idbridge.plans.pipelines import AssociationRepair, UserMapping
+from tests.conftest import SF_SMALL, rows
+
+POLICY = SkewPolicy(hot_rows=20, rows_per_split=7, placeholder_parts=1)
+LEFT = [(i, "hot") for i in range(60)] + [(i, None) for i in range(100, 140)] + [(i, "") for i in range(200, 225)] + \
+    [(i, f"k{i % 9}") for i in range(300, 330)]
+RIGHT = [(f"M{i}", "hot") for i in range(25)] + [("N1", None), ("N2", None), ("E", ""), ("K", "k3"), ("K", "k3"), ("X", "none")]
+
+
+@pytest.fixture()
+def sides(spark):
+    return (spark.createDataFrame(LEFT, "id long, email string"), spark.createDataFrame(RIGHT, "member_id string, email string"))
+
+
+def _saved(spark, df, key, path):
+    key_sketch(df, key).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_sketch_counts_small_tables_exactly(spark, sides, scratch):
+    got = {None if r._k_null else r._k_val: r.n for r in heavy_keys(_saved(spark, sides[0], "email", scratch + "/s"), 20, "n")
+           .collect()}
+    assert got == {k: n for k, n in Counter(e for _, e in LEFT).items() if n >= 20}
+
+
+def test_sketches_of_batches_merge(spark, sides, scratch):
+    left = sides[0]
+    for b in range(3):
+        key_sketch(left.where(F.col("id") % 3 == b), "email").write.mode("append").parquet(f"{scratch}/s")
+    one = merged(spark.read.parquet(f"{scratch}/s"))
+    assert rows(heavy_keys(one, 1, "n")) == rows(heavy_keys(key_sketch(left, "email"), 1, "n"))
+
+
+def test_heavy_keys_survive_many_others(spark):
+    """A key beyond the error bound is found among far more keys than are tracked."""
+    df = spark.range(60000).select(F.when(F.col("id") % 10 == 0, "hot").otherwise(F.concat(F.lit("k"), "id")).alias("e"))
+    sketch = key_sketch(df, "e", capacity=1000)
+    found = {r._k_val: r.n for r in heavy_keys(sketch, 3000, "n", listed=1000).collect()}
+    assert "hot" in found and abs(found["hot"] - 6000) <= 3.5 * 60000 / 1000 and len(found) == 1
+
+
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_split_joins_give_the_plain_rows(spark, sides, scratch, how, null_safe):
+    left, right = sides
+    hot = hot_from_sketches(_saved(spark, left, "email", scratch + "/l"), _saved(spark, right, "email", scratch + "/r"), POLICY)
+    want = match(left, right, "email", how=how, null_safe=null_safe, split_hot=False)
+    got = match(left, right, "email", how=how, null_safe=null_safe, hot=hot, policy=POLICY)
+    assert rows(got) == rows(want)
+
+
+def test_nothing_is_read_twice(spark, scratch):
+    """With sketches the plan scans each input once, as without splitting; counting scans them again."""
+    for name, data, schema in (("l", LEFT, "id long, email string"), ("r", RIGHT, "member_id string, email string")):
+        spark.createDataFrame(data, schema).write.parquet(f"{scratch}/{name}")
+    left, right = (spark.read.parquet(f"{scratch}/{n}") for n in "lr")
+    hot = hot_from_sketches(_saved(spark, left, "email", scratch + "/sl"), _saved(spark, right, "email", scratch + "/sr"), POLICY)
+    assert all("/sl/" in f or "/sr/" in f for f in hot.inputFiles())
+    plain, split = match(left, right, "email", split_hot=False), match(left, right, "email", hot=hot, policy=POLICY)
+    assert sorted(split.inputFiles()) == sorted(plain.inputFiles())
+    # the union of whole and split rows reads the left side under a filter on each branch, never for a count
+    assert "_n_l" not in split._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_jobs_take_hot_keys_from_sketches(spark, scratch):
+    p1, p2 = catalog.p1(spark, SF_SMALL), catalog.p2(spark, SF_SMALL)
+    policy = SkewPolicy(hot_rows=2, rows_per_split=1)
+    clean = lambda df, c: df.select(sanitize_email(c).alias("k"))
+    members = _saved(spark, clean(p1.members, "email"), "k", f"{scratch}/m")
+    of = lambda df, c, n: hot_from_sketches(_saved(spark, clean(df, c), "k", f"{scratch}/{n}"), members, policy)
+    assert rows(UserMapping(p1.users, p1.members, hot=of(p1.users, "email", "u")).mapped) == rows(p1.mapped)
+    hot = {"transactions": of(p2.transactions, "customer_email", "t"), "reservations": of(p2.reservations, "customer_email", "r")}
+    job = AssociationRepair(p2.members, p2.transactions, p2.reservations, p2.invoices, hot=hot)
+    assert rows(job.remap_transactions) == rows(p2.remap_transactions)
+    assert rows(job.remap_reservations) == rows(p2.remap_reservations)
+
+
+def test_number_keys(spark, scratch):
+    left = spark.range(40).selectExpr("id", "id % 3 AS ref")
+    right = spark.createDataFrame([(0, "a"), (1, "b"), (1, "c")], "ref long, v string")
+    hot = hot_from_sketches(key_sketch(left, "ref"), key_sketch(right, "ref"), SkewPolicy(hot_rows=5, rows_per_split=3))
+    hot = hot.withColumn("_k_val", F.col("_k_val").cast("long"))
+    assert rows(match(left, right, "ref", hot=hot)) == rows(match(left, right, "ref", split_hot=False))
+    assert add_key(left, "ref").schema["_k_val"].dataType == hot.schema["_k_val"].dataType
