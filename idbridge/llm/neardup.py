@@ -12,6 +12,9 @@
    components: inside tasks, in blocks, signature first, then full sets. Only
    links come out, so no pair is emitted and no bucket or partner is capped.
 
+Links are decided on the words; 64-bit hashes only choose what is compared, and
+documents whose sets of hashes are equal count as copies.
+
 A pair of the least similarity misses every one of 30 bands of 5 rows with a
 probability of 7 in a million. The work of step 3 grows with the unlinked part
 of a bucket times its size; linked copies, however many, cost one pair each.
@@ -35,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .store import Store, likely_rows, small_batches
-from .words import NOT_SPACE, Words, mix, texts_in_chunks
+from .words import NOT_SPACE, Words, mix, texts_in_chunks, word_shingles
 
 SIGNED = "doc_id bigint, n_shingles bigint, digest binary, sig binary, keys array<bigint>"
 
@@ -132,19 +135,19 @@ def _agreeing(batches: Iterator[pa.RecordBatch], least: float) -> Iterator[pa.Re
 
 
 def _linked(batches: Iterator[pa.RecordBatch], p: NearDup) -> Iterator[pa.RecordBatch]:
-    """The exact check on full sets."""
+    """The exact check on full sets, of the words themselves."""
+    last, x = None, set()
     for batch in batches:
-        n = batch.num_rows
-        keep = np.zeros(n, bool)
-        sides = [[], []]
-        for side, col in zip(sides, ("text_u", "text_v"), strict=True):
-            for _, _, words in texts_in_chunks(batch.column(col), NOT_SPACE, True):
-                side += shingle_sets(words, p.shingle)
-        for r, (x, y) in enumerate(zip(*sides, strict=True)):
-            if len(x) and len(y):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep[r] = 100 * both >= p.percent * (len(x) + len(y) - both)
-        at = np.flatnonzero(keep)
+        keep = []
+        for r, (u, a, b) in enumerate(zip(batch.column("u").to_pylist(), batch.column("text_u").to_pylist(),
+                                          batch.column("text_v").to_pylist(), strict=True)):
+            if last != (u, a):
+                last, x = (u, a), word_shingles(a, p.shingle)
+            y = word_shingles(b, p.shingle)
+            both = len(x & y)
+            if both and 100 * both >= p.percent * (len(x) + len(y) - both):
+                keep.append(r)
+        at = pa.array(keep, pa.int64())
         yield pa.RecordBatch.from_arrays([batch.column("u").take(at), batch.column("v").take(at)], names=["u", "v"])
 
 
@@ -247,7 +250,8 @@ def near_duplicates(docs: DataFrame, store: Store, p: NearDup = NearDup()) -> Da
                       .mapInArrow(lambda it: _agreeing(it, least), "u bigint, v bigint"), "stars")
     links = store.put(_check(stars, texts, p), "links")
     roots = components(links, store)
-    more = store.put(_open_links(tied, roots, reps, texts, store, p).distinct(), "more")
+    found = store.put(_open_links(tied, roots, reps, texts, store, p).distinct(), "found")
+    more = store.put(_check(found, texts, p), "more")
     if not more.isEmpty():
         roots = components(links.unionAll(more), store)
 

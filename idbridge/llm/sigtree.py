@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .store import Store, likely_rows, small_batches
-from .words import NOT_SPACE, Words, mix, ranges, texts_in_chunks
+from .words import NOT_SPACE, Words, mix, ranges, texts_in_chunks, word_shingles
 
 COUNTED_BYTES = 16 << 20  # texts whose shingles are counted together
 FREQUENT = 1 << 17        # frequent shingles put last: at most 1 MB in every task
@@ -79,21 +79,9 @@ class Join:
 # ------------------------------------------------------------ sets
 
 
-def _word_hashes(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A 64-bit hash of every word; the words' bytes in a row, and their ends."""
-    size = words.end - words.start
-    data = words.data[ranges(words.start, size)]
-    ends = np.concatenate(([0], np.cumsum(size)))
-    column = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(data)])
-    coded = column.dictionary_encode()
-    known = np.fromiter((int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-                         for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
-    return known[coded.indices.to_numpy()], data, ends
-
-
 def sets_of(words: Words, k: int) -> tuple[list[np.ndarray], list[bytes]]:
     """Sorted distinct shingle hashes of every text, and a digest of its words."""
-    h, data, ends = _word_hashes(words)
+    h, data, ends = words.coded()
     factor = np.random.default_rng(11).integers(0, 2**64, k, dtype=np.uint64) | np.uint64(1)
 
     def windows(start: np.ndarray, n: int) -> np.ndarray:
@@ -344,11 +332,6 @@ def _pairs(table: pa.Table, p: Join, forest: bool) -> pa.Table:
 # ------------------------------------------------------------ join
 
 
-def _shingles(text: str, k: int) -> set:
-    w = (text or "").encode().lower().split()  # of bytes: A-Z and the six ASCII spaces only
-    return set(zip(*(w[i:] for i in range(k)), strict=False)) if len(w) >= k else {tuple(w)} if w else set()
-
-
 def _verified(batches: Iterator[pa.RecordBatch], p: Join) -> Iterator[pa.RecordBatch]:
     """The exact check on the words of both texts."""
     last, x = None, set()
@@ -357,8 +340,8 @@ def _verified(batches: Iterator[pa.RecordBatch], p: Join) -> Iterator[pa.RecordB
         for r, (u, a, b) in enumerate(zip(batch.column("u").to_pylist(), batch.column("text_u").to_pylist(),
                                           batch.column("text_v").to_pylist(), strict=True)):
             if last != (u, a):
-                last, x = (u, a), _shingles(a, p.shingle)
-            y = _shingles(b, p.shingle)
+                last, x = (u, a), word_shingles(a, p.shingle)
+            y = word_shingles(b, p.shingle)
             both = len(x & y)
             if both and 100 * both >= p.percent * (len(x) + len(y) - both):
                 keep.append(r)

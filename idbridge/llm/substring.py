@@ -118,7 +118,8 @@ def _met(table: pa.Table, hash_type: str) -> pa.Table:
 def _repeats(sent: DataFrame, hash_type: str) -> DataFrame:
     """(key, pos array) of each text's entries that occur twice."""
     met = sent.groupBy("bucket").applyInArrow(lambda t: _met(t, hash_type), "key binary, pos int")
-    return met.groupBy("key").agg(F.collect_list("pos").alias("pos"))  # a text's entries of one task go as one row
+    # a text's entries of one task go as one row; a copied text's positions, sent by many tasks, count once
+    return met.groupBy("key").agg(F.collect_set("pos").alias("pos"))
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, int, Words]]:

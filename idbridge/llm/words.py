@@ -2,16 +2,18 @@
 
 The texts of an Arrow column lie in one UTF-8 buffer. Word classes are given
 by ASCII ranges with every non-ASCII character on one side, so they can be
-decided byte by byte, and all words of many texts are found, lowered and
-hashed in a few array operations, with no Python object per word.
+decided byte by byte, and all words of many texts are found and lowered in a
+few array operations.
 
-A word's hash is a polynomial over random byte values modulo 2**64, taken from
-running sums; a sequence's hash is the same polynomial over word hashes, so
-the hash of any window costs one subtraction and one product.
+Words are coded by a dictionary, and each distinct one is hashed by BLAKE2, so
+no two words, however made, share a hash but by a chance of 2**-64. A
+sequence's hash is a polynomial over word hashes modulo 2**64, taken from
+running sums: the hash of any window costs one subtraction and one product.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,8 +31,6 @@ for _a, _b in ((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F)):
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 0x20
 
-_rng = np.random.default_rng(20240611)
-_BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _P = np.uint64(0x9E3779B97F4A7C15)
 _PINV = np.uint64(pow(int(_P), -1, 2**64))
 
@@ -78,17 +78,27 @@ class Words:
         self.start = np.flatnonzero(starts)
         self.end = np.flatnonzero(ends) + 1
         self.first = np.searchsorted(self.start, offsets)
-        self._sums = None
+        self._sums = self._coded = None
 
     @property
     def count(self) -> np.ndarray:
         return np.diff(self.first)
 
+    def coded(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A 64-bit hash of every word; the words' bytes in a row, and their ends."""
+        if self._coded is None:
+            size = self.end - self.start
+            data, ends = self.data[ranges(self.start, size)], np.concatenate(([0], np.cumsum(size)))
+            column = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+            words = column.dictionary_encode()
+            known = np.fromiter((int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
+                                 for w in words.dictionary.to_pylist()), np.uint64, len(words.dictionary))
+            self._coded = known[words.indices.to_numpy()], data, ends
+        return self._coded
+
     def _running(self) -> None:
-        up, down = _powers(max(20, int(max(len(self.data), len(self.start)) + 1).bit_length()))
-        sums = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(_BYTE[self.data] * up[:len(self.data)], out=sums[1:])
-        word = mix((sums[self.end] - sums[self.start]) * down[self.start])
+        up, down = _powers(max(20, int(len(self.start) + 1).bit_length()))
+        word = self.coded()[0]
         self._sums = np.zeros(len(word) + 1, np.uint64)
         np.cumsum(word * up[:len(word)], out=self._sums[1:])
         self._down = down
@@ -106,6 +116,12 @@ class Words:
         return ranges(self.first[:-1], n), np.repeat(np.arange(self.n_texts), n)
 
 
+def word_shingles(text: str | None, k: int) -> set:
+    """The distinct k-word shingles of a text in lower case (A-Z), as words; of fewer words, all as one."""
+    w = (text or "").encode().lower().split()  # of bytes: A-Z and the six ASCII spaces only
+    return set(zip(*(w[i:] for i in range(k)), strict=False)) if len(w) >= k else {tuple(w)} if w else set()
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column; a null is an empty text."""
     column = column.fill_null("").cast(pa.large_string())

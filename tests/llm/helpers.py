@@ -92,3 +92,11 @@ def near_components(texts: dict, k: int) -> dict:
 
 def edited(base: list[str], rate: float, rng: random.Random) -> list[str]:
     return [w if rng.random() > rate else "".join(rng.choices(string.ascii_lowercase, k=6)) for w in base]
+
+
+def twins() -> tuple[str, str]:
+    """Two words that any polynomial hash modulo 2**64 takes for one."""
+    word = "a"
+    for _ in range(11):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))

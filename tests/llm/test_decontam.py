@@ -65,3 +65,9 @@ def test_edge_rows(spark):
 def test_empty_tables(spark):
     _check(spark, h.empty_docs(spark), [(1, "a b c")])
     _check(spark, h.edge_docs(spark), [])
+
+
+def test_words_of_equal_polynomials_differ(spark):
+    a, b = h.twins()
+    docs = spark.createDataFrame([(1, f"one {a} two", "en", "s", 0), (2, f"one {b} two", "en", "s", 0)], h.DOC_SCHEMA)
+    _check(spark, docs, [(5, f"one {b} two")])

@@ -81,3 +81,19 @@ def test_exact_threshold(spark):
     f = " ".join(w[150:161])  # 7 of them: 7 / 9
     docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate([a, b, c, d, e, f])], h.DOC_SCHEMA)
     assert [r.component_id for r in sorted(_run(spark, docs), key=lambda r: r.doc_id)] == [0, 0, 2, 2, 4, 5]
+
+
+def test_words_of_equal_polynomials_do_not_link(spark):
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(h.twins())], h.DOC_SCHEMA)
+    assert sorted((r.doc_id, r.component_id) for r in _run(spark, docs)) == [(0, 0), (1, 1)]
+
+
+def test_links_are_decided_on_words(spark):
+    """The last check looks at the words, whatever the hashes before it say."""
+    from idbridge.llm.neardup import _linked
+
+    import pyarrow as pa
+    rows = pa.RecordBatch.from_pydict({"u": [1, 1, 1], "v": [2, 3, 4], "text_u": ["A b c d e f"] * 3,
+                                       "text_v": ["a B c d e f", "a b c d e g", None]})
+    got = [b.to_pydict() for b in _linked(iter([rows]), NearDup(shingle=4))]
+    assert got == [{"u": [1], "v": [2]}]

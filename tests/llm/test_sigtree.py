@@ -83,10 +83,7 @@ def test_edge_rows(spark):
 
 def test_equal_polynomial_hashes_do_not_link(spark):
     """Two words whose polynomial hashes modulo 2**64 agree in any base."""
-    word = "a"
-    for _ in range(10):
-        word += word.translate(str.maketrans("ab", "ba"))
-    other = word.translate(str.maketrans("ab", "ba"))
+    word, other = h.twins()
     docs = spark.createDataFrame([(1, word, "en", "s", 0), (2, other, "en", "s", 0)], h.DOC_SCHEMA)
     assert sorted((r.doc_id, r.component_id) for r in _run(spark, docs)) == [(1, 1), (2, 2)]
 

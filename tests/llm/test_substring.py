@@ -53,3 +53,30 @@ def test_edge_rows(spark):
 
 def test_empty_table(spark):
     _check(spark, h.empty_docs(spark), Cover())
+
+
+def test_words_of_equal_polynomials_differ(spark):
+    a, b = h.twins()
+    w = [f"w{i}" for i in range(34)]
+    texts = [" ".join([*w[:17], x, *w[17:]]) for x in (a, b)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], h.DOC_SCHEMA)
+    assert {r[2] for r in _check(spark, docs, Cover())} == {0}
+
+
+def test_positions_of_a_copied_text_do_not_grow_with_the_tasks(spark):
+    """One text in all rows: its repeated positions are held once, however many tasks send them."""
+    rng = random.Random(5)
+    text = " ".join(h.words(120, rng))
+    docs = spark.createDataFrame([(i, text, "en", "s", 0) for i in range(64)], h.DOC_SCHEMA)
+    sizes = set()
+    for parts in (1, 8, 32):
+        sent = docs.repartition(parts)
+        _check(spark, sent, Cover())
+        store = Store(spark, "t")
+        repeated_spans(sent, store).count()
+        tables = [d for d in spark._jvm.java.io.File(store.path.replace("file:", "")).list()]
+        for name in tables:
+            t = spark.read.parquet(f"{store.path}/{name}")
+            if "pos" in t.columns and t.schema["pos"].dataType.typeName() == "array":
+                sizes |= {(name, r.n) for r in t.selectExpr("size(pos) AS n").distinct().collect()}
+    assert len({name for name, _ in sizes}) == len(sizes)
