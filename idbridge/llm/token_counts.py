@@ -9,13 +9,19 @@ Two tables of the session's catalog, both partitioned by batch:
   count for now.
 
 Totals are the sum of all deltas. A batch overwrites its own partitions and
-sees only batches before it, so committing one again, after a failure or by
-mistake, changes nothing. Sums are made on the map side first; the ledger is
-joined by document.
+counts against the batches before it, so committing one again, after a failure or by
+mistake, changes nothing. A batch that comes late, or says something else than
+before, changes what later batches count against: their deltas are made anew,
+all of them, so a run that was cut short is mended by the next try. The totals
+are those of all batches replayed in the order of their numbers, whatever
+order they came in.
+
+What a batch touches is looked for first, by a semi join of the ledger's keys;
+only those rows are aggregated and joined. Sums are made on the map side first.
 
 Defined results: a change replaces all that earlier batches said of its
 doc_id under its tokenizer; several rows of one doc_id in a batch add up; a
-null doc_id, source or language is a value of its own; a null count is 0;
+null doc_id, source, language or tokenizer is a value of its own; a null count is 0;
 deleting what is not there changes nothing; other columns are ignored.
 """
 
@@ -48,13 +54,34 @@ class TokenRollup:
         self.spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (batch = {batch}) SELECT * FROM {table}_new")
         self.spark.catalog.dropTempView(f"{table}_new")
 
+    def _said(self, batch: int) -> DataFrame:
+        return self.spark.table(self.ledger).where(F.col("batch") == batch)
+
+    @staticmethod
+    def _of(rows: DataFrame, keys: DataFrame) -> DataFrame:
+        """The rows of the documents and tokenizers in ``keys``, null ones too."""
+        k = keys.select(F.col("doc_id").alias("d"), F.col("tokenizer").alias("t")).distinct()
+        return rows.join(k, rows.doc_id.eqNullSafe(k.d) & rows.tokenizer.eqNullSafe(k.t), "left_semi")
+
     def before(self, batch: int) -> DataFrame:
-        """What the batches before ``batch`` left, by document."""
-        said = self.spark.table(self.ledger).where(F.col("batch") < batch)
+        """What the batches before ``batch`` left of the documents that it names."""
+        said = self._of(self.spark.table(self.ledger).where(F.col("batch") < batch), self._said(batch))
         last = said.groupBy("doc_id", "tokenizer").agg(F.max("batch").alias("last")).toDF("d", "t", "last")
-        return said.join(last, said.doc_id.eqNullSafe(last.d) & (said.tokenizer == last.t)
+        return said.join(last, said.doc_id.eqNullSafe(last.d) & said.tokenizer.eqNullSafe(last.t)
                          & (said.batch == last.last)).drop("d", "t", "last")
 
+    def _later(self, batch: int) -> list[int]:
+        """Batches booked after ``batch``: one number per partition of the ledger."""
+        names = [r[0] for r in self.spark.sql(f"SHOW PARTITIONS {self.ledger}").collect()]
+        return sorted(n for n in (int(x.split("=")[1]) for x in names) if n > batch)
+
+    def _book(self, batch: int) -> None:
+        """The batch's deltas, from what it says and what was said before."""
+        old = self.before(batch).select(*KEY, *[(-F.col(c)).alias(c) for c in SUMS])
+        signed = self._said(batch).select(*KEY, *SUMS).unionAll(old)
+        sums = signed.groupBy(*KEY).agg(*[F.sum(c).alias(c) for c in SUMS])
+        self._write(sums.where(" or ".join(f"{c} != 0" for c in SUMS)), self.deltas, batch)
+
     def commit(self, batch: int, changes: DataFrame) -> None:
         """``changes`` (op: insert, revise or delete, doc_id, source, lang,
         tokenizer, tokens, chars) as batch number ``batch``."""
@@ -65,13 +92,8 @@ class TokenRollup:
             *[F.when(gone, 0).otherwise(F.coalesce(F.col(c).cast("bigint"), F.lit(0))).alias(c) for c in SUMS[1:]])
         rows = rows.groupBy("doc_id", *KEY).agg(*[F.sum(c).alias(c) for c in SUMS])
         self._write(rows, self.ledger, batch)
-        now = self.spark.table(self.ledger).where(F.col("batch") == batch)
-        touched = now.select(F.col("doc_id").alias("d"), F.col("tokenizer").alias("t")).distinct()
-        old = self.before(batch)
-        old = old.join(touched, old.doc_id.eqNullSafe(touched.d) & (old.tokenizer == touched.t), "left_semi")
-        signed = now.select(*KEY, *SUMS).unionAll(old.select(*KEY, *[(-F.col(c)).alias(c) for c in SUMS]))
-        sums = signed.groupBy(*KEY).agg(*[F.sum(c).alias(c) for c in SUMS])
-        self._write(sums.where(" or ".join(f"{c} != 0" for c in SUMS)), self.deltas, batch)
+        for n in [batch, *self._later(batch)]:
+            self._book(n)
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, docs, tokens, chars over all batches."""

@@ -97,3 +97,33 @@ def test_query_against_the_library(spark):
         want[r.source, r.lang] = (old[0] + 1, old[1] + n, old[2] + len(r.text or ""))
     got = {(r.source, r.lang): (r.n_docs, r.n_tokens, r.n_chars) for r in QUERIES["op6_token_counts"](spark, SF_SMALL).collect()}
     assert got == want
+
+
+def test_late_changed_and_repeated_batches_against_replay(spark, rollup):
+    rng = random.Random(18)
+    batches = _random_batches(rng)
+    said: dict = {}
+    for n in (2, 4, 1, 3, 2, 1):  # late ones, and some again with other rows
+        said[n] = batches.pop() if n not in said and batches else _random_batches(rng)[0]
+        rollup.commit(n, spark.createDataFrame(said[n], SCHEMA))
+        assert _totals(rollup) == brute([said[k] for k in sorted(said)])
+
+
+def test_a_revision_before_its_insert_counts_one_document(spark, rollup):
+    row = lambda op, tokens: spark.createDataFrame([(op, 1, "a", "en", "v1", tokens, 1)], SCHEMA)
+    rollup.commit(2, row("revise", 7))
+    rollup.commit(1, row("insert", 5))
+    assert _totals(rollup) == {("a", "en", "v1"): (1, 7, 1)}
+    rollup.commit(1, row("insert", 50))
+    assert _totals(rollup) == {("a", "en", "v1"): (1, 7, 1)}
+    rollup.commit(1, row("insert", 50).withColumn("doc_id", F.lit(2)))  # batch 1 names another document now
+    assert _totals(rollup) == {("a", "en", "v1"): (2, 57, 2)}
+
+
+def test_a_null_tokenizer_is_a_value(spark, rollup):
+    row = lambda op, tokens: spark.createDataFrame([(op, 1, "a", "en", None, tokens, 1)], SCHEMA)
+    rollup.commit(1, row("insert", 5))
+    rollup.commit(2, row("revise", 7))
+    assert _totals(rollup) == {("a", "en", None): (1, 7, 1)}
+    rollup.commit(3, row("delete", 0))
+    assert _totals(rollup) == {}
