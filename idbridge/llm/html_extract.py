@@ -71,6 +71,11 @@ WORDS = frozenset("""ad ads advert adverts advertisement advertising sponsor spo
     comment comments disqus replies cookie cookies consent gdpr notice notices newsletter subscribe signup share
     sharing social related recommended breadcrumb breadcrumbs menu nav navbar navigation popup modal widget
     pagination footer masthead""".split())
+# Words that say where or what a block is, not what it holds: a compound name is
+# furniture if some of its parts are among WORDS and the rest among these.
+AROUND = frozenset("""site page main global top bottom left right upper lower side header box bar block list lists item items
+    container wrapper wrap section area inner outer panel group link links button buttons form forms text content slot unit
+    row col column zone tools articles posts stories more""".split())
 KEPT_TAGS = frozenset("html body article main".split())
 TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li pre blockquote dt dd td th tr figcaption".split())
 LISTS = frozenset("ul ol menu dir dl".split())
@@ -95,8 +100,15 @@ class Element:
             return True
         if self.tag in KEPT_TAGS or not self.names:
             return False
-        words = set(re.split(r"[^a-z0-9]+", self.names.lower()))
-        return bool(words & WORDS) or (not in_article and "header" in words) or bool(words & ROLES and "role=" in self.names)
+        for name in self.names.lower().split():
+            role, _, value = name.rpartition("role=")
+            if not role and value != name and value in ROLES:
+                return True
+            parts = {x for x in re.split(r"[^a-z]+", name) if x}
+            said = parts & WORDS or (not in_article and "header" in parts)
+            if said and parts <= WORDS | AROUND:
+                return True
+        return False
 
 
 def parse(page: str) -> Element:

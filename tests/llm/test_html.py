@@ -29,6 +29,12 @@ PAGES = "page_id bigint, url string, html string"
     ("<p>&#72;&eacute;&#x1F600;&lt;b&gt;</p>", "Hé😀<b>"), ("<style>p{}</style><p>a</p><noscript>n</noscript>", "a"),
     ("<article><article><p>in</p></article><p>out</p></article>", "in\nout"),
     ("<div role='navigation'>m</div><p>a</p>", "a"), ("<p>a</p><script>unclosed", "a"),
+    # a word of a compound name says nothing, unless the rest only says where
+    ("<article><p>a</p><section id='related-work'><p>b</p></section><div class='social-history'>c</div>"
+     "<p class='notice-period'>d</p></article>", "a\nb\nc\nd"),
+    ("<div class='banner-image-post'><p>all</p></div>", "all"),
+    ("<p>a</p><div class='x site-footer'>f</div><div id='cookie-consent_banner2'>c</div><ul class='nav-bar-left'><li>n</ul>"
+     "<div class='related-posts'>r</div><div class='ad-slot'>s</div><div class='page-header'>h</div>", "a"),
 ])
 def test_pages(page, text):
     assert main_text(page) == text
