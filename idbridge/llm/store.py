@@ -6,6 +6,7 @@ executor costs the tasks it was running, not the stages before them.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
@@ -17,10 +18,12 @@ from pyspark.sql import functions as F
 
 def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; a scratch folder of this
-    machine only where it is unset (tests, local runs)."""
+    machine only where it is unset in a local session (tests). On a cluster it must be set."""
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
+        if not re.match(r"local($|\[)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="llm-store-"))
         path = sc.getCheckpointDir()
     return path.rstrip("/")
