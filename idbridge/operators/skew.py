@@ -10,7 +10,8 @@ key that holds a large share of a table from running alone:
 - **Placeholder parts.** In joins to a one-row-per-key side (updates, semi and
   anti joins) the keys that are hot in practice are known beforehand: NULL and
   the empty string. Their probe rows are dealt to ``placeholder_parts`` parts
-  by a hash of the row, and the at most two build rows are copied to each.
+  by a hash of the row (of the table's key, where the caller names it), and the at
+  most two build rows are copied to each.
 - **Counted splitting**, where ``idbridge.skew.hotRows`` is set. Rows per key
   are counted on each side first (one more read), and every key with at least
   that many rows on a side is split:
@@ -29,6 +30,9 @@ key that holds a large share of a table from running alone:
   4. Left joins: when ``b > 1`` the key has build rows, so a copy that finds
      none in its cell is an artefact and is dropped (build rows carry a marker).
      Semi and anti joins need the build side's distinct keys only: ``b`` is 1.
+
+  Saved sketches of the keys (``sketch``) take the place of the count: the inputs
+  are then read once here, too.
 """
 
 from __future__ import annotations
