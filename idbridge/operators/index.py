@@ -7,7 +7,8 @@ its own side, into the index's buckets, and reads the members where they lie.
 The keys that are hot in practice, NULL and the empty text, would fill one
 bucket. Their members lie in a second table, and rows with such a key are
 matched apart, split as in ``skew_join`` (updates: against at most two rows, which
-are broadcast).
+are broadcast). A join with a bucketed side cannot be split by adaptive execution, so
+other hot keys, known from sketches, are matched apart in the same way.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from idbridge.functions.text import sanitize_email
 from idbridge.operators.apply import _V, two_smallest_of_keyed
 from idbridge.operators.skew import SkewPolicy, skew_join
 
+_HOT = "_hot"
 _COLS = ["member_id", "email", *KEY_COLS]
 
 
@@ -60,15 +62,22 @@ class MemberIndex:
         return self.cold.unionByName(self.rest).select("member_id", "email")
 
     def match(self, left: DataFrame, left_on: str, how: str, *, name: str = "member_id", null_safe: bool = True,
-              policy: SkewPolicy | None = None) -> DataFrame:
+              policy: SkewPolicy | None = None, hot: DataFrame | None = None) -> DataFrame:
         """``left`` matched to members on ``left_on``: its columns, then the member id
-        as ``name`` (none for anti and semi joins). NULL matches NULL where ``null_safe``."""
+        as ``name`` (none for anti and semi joins). NULL matches NULL where ``null_safe``.
+        ``hot`` names further hot keys and their parts (``hot_from_sketches``)."""
         lookup_only = how in ("left_anti", "left_semi")
         value = [] if lookup_only else [F.col("member_id").alias(name)]
-        keyed = add_key(left, left_on)
-        rest = self.rest if null_safe else self.rest.where(~F.col(KEY_NULL))
-        cold = keyed.where(~_placeholder()).join(self.cold.select(KEY_VAL, *value), KEY_VAL, how)
-        hot = skew_join(keyed.where(_placeholder()), rest.select(*KEY_COLS, *value), KEY_COLS, how, policy=policy)
+        keyed, cold, rest, apart = add_key(left, left_on), self.cold, self.rest, _placeholder()
+        if hot is not None:
+            known = F.broadcast(hot.select(*KEY_COLS).distinct().withColumn(_HOT, F.lit(True)))  # as small as ``hot``
+            keyed, cold = (t.join(known, KEY_COLS, "left") for t in (keyed, cold))
+            apart = apart | F.coalesce(F.col(_HOT), F.lit(False))
+            rest = rest.unionByName(cold.where(apart).drop(_HOT))
+            cold = cold.where(~apart)
+        rest = rest if null_safe else rest.where(~F.col(KEY_NULL))
+        cold = keyed.where(~apart).join(cold.select(KEY_VAL, *value), KEY_VAL, how)
+        hot = skew_join(keyed.where(apart), rest.select(*KEY_COLS, *value), KEY_COLS, how, policy=policy, hot=hot)
         cols = [*left.columns, *([] if lookup_only else [name])]
         return cold.select(*cols).unionByName(hot.select(*cols))
 

@@ -95,7 +95,7 @@ class UserMapping:
         """Staging rows ``id, email, member_id``: every user once per member
         with its email (NULL matches NULL), or once with NULL member_id."""
         if self.index is not None:
-            return self.index.match(self.clean_users, "email", "left")
+            return self.index.match(self.clean_users, "email", "left", hot=self.hot)
         return match_left(self.clean_users, self.clean_members.select("email", "member_id"), "email", hot=self.hot)
 
     @property
@@ -198,7 +198,7 @@ class AssociationRepair:
 
     def _remap(self, rows: DataFrame, name: str) -> DataFrame:
         if self.index is not None:
-            return coalesced(self.index.match(rows, "customer_email", "left", name=CORRECT), "member_id")
+            return coalesced(self.index.match(rows, "customer_email", "left", name=CORRECT, hot=self._hot(name)), "member_id")
         return remap_id(rows, self.clean_members, "customer_email", "email", "member_id", "member_id", hot=self._hot(name))
 
     @property

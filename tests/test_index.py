@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from idbridge.operators import MemberIndex
+from idbridge.operators import MemberIndex, SkewPolicy, hot_from_sketches, key_sketch, match
 from idbridge.plans import catalog
 from idbridge.plans.pipelines import AssociationRepair, TicketOrphans, TransactionOrphans, UserMapping
 from idbridge.sources import FixtureTables
@@ -90,6 +90,21 @@ def test_null_matches_null_only_where_asked(spark, scratch):
     assert rows(index.clean_members) == [("M1", "a@x"), ("M2", None), ("M3", ""), ("M4", "a@x"), (None, "a@x")]
 
 
+@pytest.mark.parametrize("how", ["left", "inner", "left_anti", "left_semi"])
+def test_further_hot_keys_are_matched_apart(spark, scratch, how):
+    members = spark.createDataFrame([(f"M{i}", "hot@x") for i in range(9)] + [("A", "a@x"), ("N", None), ("E", "")],
+                                    "id string, email string")
+    left = spark.createDataFrame([(i, "hot@x") for i in range(50)] + [(60, "a@x"), (61, None), (62, ""), (63, "q"), (64, "lone")]
+                                 + [(i, "lone") for i in range(70, 90)], "id long, email string")
+    index = MemberIndex.build(members, f"idx_hot_{how}", 4, scratch)
+    policy = SkewPolicy(hot_rows=5, rows_per_split=4)
+    hot = hot_from_sketches(key_sketch(left, "email"), key_sketch(members, "email"), policy)
+    plain = index.match(left, "email", how)
+    split = index.match(left, "email", how, hot=hot)
+    assert split.columns == plain.columns and rows(split) == rows(plain)
+    assert rows(split) == rows(match(left, index.clean_members, "email", how=how))
+
+
 def test_rebuilt_index_replaces_the_old_one(spark, scratch):
     one = spark.createDataFrame([("M1", "a@x")], "id string, email string")
     two = spark.createDataFrame([("M2", "b@x"), ("M3", None)], "id string, email string")
