@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from idbridge.functions.keys import KEY_COLS, KEY_NULL, KEY_VAL, add_key
 from idbridge.functions.text import sanitize_email
 from idbridge.operators.apply import _V, two_smallest_of_keyed
-from idbridge.operators.skew import SkewPolicy, skew_join
+from idbridge.operators.skew import SkewPolicy, product_join, skew_join
 
 _HOT = "_hot"
 _COLS = ["member_id", "email", *KEY_COLS]
@@ -77,7 +77,8 @@ class MemberIndex:
             cold = cold.where(~apart)
         rest = rest if null_safe else rest.where(~F.col(KEY_NULL))
         cold = keyed.where(~apart).join(cold.select(KEY_VAL, *value), KEY_VAL, how)
-        hot = skew_join(keyed.where(apart), rest.select(*KEY_COLS, *value), KEY_COLS, how, policy=policy, hot=hot)
+        join = skew_join if lookup_only else product_join
+        hot = join(keyed.where(apart), rest.select(*KEY_COLS, *value), KEY_COLS, how, policy=policy, hot=hot)
         cols = [*left.columns, *([] if lookup_only else [name])]
         return cold.select(*cols).unionByName(hot.select(*cols))
 

@@ -14,8 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from idbridge.functions.keys import KEY_COLS, KEY_NULL, add_key
-from idbridge.operators.skew import PLAIN, SkewPolicy, skew_join
+from idbridge.functions.keys import KEY_COLS, KEY_NULL, add_key, quoted
+from idbridge.operators.skew import PLAIN, SkewPolicy, product_join, skew_join
 
 
 def _keyed_right(right: DataFrame, right_on: str, null_safe: bool) -> DataFrame:
@@ -27,12 +27,14 @@ def _keyed_right(right: DataFrame, right_on: str, null_safe: bool) -> DataFrame:
 
 def match(left: DataFrame, right: DataFrame, left_on: str, right_on: str | None = None,
           how: str = "left", *, null_safe: bool = True, split_hot: bool = True,
-          policy: SkewPolicy | None = None, hot: DataFrame | None = None) -> DataFrame:
+          policy: SkewPolicy | None = None, hot: DataFrame | None = None, deal: str = "left") -> DataFrame:
     """Join ``left`` to ``right`` on ``left.left_on == right.right_on``.
 
     ``split_hot=False`` skips hot-key splitting, for callers whose left keys
     are already unique (after a ``distinct``). ``hot`` names the hot keys, from
-    saved sketches, in place of counting.
+    saved sketches, in place of counting. Inner and left joins split the product of
+    placeholders (``product_join``) and read the ``deal`` side once, the other's
+    placeholders once more; an inner join may name ``deal="right"``.
     """
     right_on = right_on or left_on
     clash = (set(left.columns) & set(right.columns)) - {right_on}
@@ -42,7 +44,12 @@ def match(left: DataFrame, right: DataFrame, left_on: str, right_on: str | None
     rk = _keyed_right(right, right_on, null_safe)  # semi/anti: skew_join keeps distinct keys only
     if not split_hot:
         policy = PLAIN
-    return skew_join(lk, rk, KEY_COLS, how, policy=policy, hot=hot).drop(*KEY_COLS)
+    if how not in ("inner", "left"):
+        return skew_join(lk, rk, KEY_COLS, how, policy=policy, hot=hot).drop(*KEY_COLS)
+    if how == "inner" and deal == "right" and hot is None:
+        cols = [*left.columns, *(c for c in rk.columns if c not in KEY_COLS)]
+        return product_join(rk, lk, KEY_COLS, how, policy=policy).select(*map(quoted, cols))
+    return product_join(lk, rk, KEY_COLS, how, policy=policy, hot=hot).drop(*KEY_COLS)
 
 
 def match_left(left, right, left_on, right_on=None, **kw) -> DataFrame:

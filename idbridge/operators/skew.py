@@ -33,6 +33,12 @@ key that holds a large share of a table from running alone:
 
   Saved sketches of the keys (``sketch``) take the place of the count: the inputs
   are then read once here, too.
+
+``product_join`` is for joins whose sides both repeat a placeholder, so that it gives
+their product: few input bytes, which adaptive execution leaves to one task. The
+build side's placeholder rows are counted (two numbers), put in blocks of
+``BLOCK_ROWS``, and the probe side's are dealt to parts; every block meets every part
+in a cell of its own. The probe side is read once.
 """
 
 from __future__ import annotations
@@ -51,6 +57,9 @@ COUNT = "_n"
 COUNT_L, COUNT_R = "_n_l", "_n_r"
 NUMBER = "_nth"
 
+BLOCK_ROWS = 2048      # build rows of a cell: a sort-merge join holds as many at a time as objects
+COPIED_ROWS = 1 << 20  # build rows that the parts of a key may add up to
+
 JOIN_TYPES = {"inner", "left", "left_semi", "left_anti"}
 
 
@@ -210,3 +219,37 @@ def skew_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     if one_row and parts > 1 and KEY_NULL in keys:
         return _placeholder_join(left, right, keys, how, parts, deal_by).select(*map(quoted, out_cols))
     return left.join(right, keys, how).select(*map(quoted, out_cols))
+
+
+def product_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, *,
+                 policy: SkewPolicy | None = None, hot: DataFrame | None = None) -> DataFrame:
+    """``skew_join`` for inner and left joins whose sides may both repeat a placeholder:
+    its rows' product is made by many tasks, in cells of ``BLOCK_ROWS`` build rows."""
+    policy = policy or SkewPolicy.from_session(left.sparkSession)
+    parts = policy.placeholder_parts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if hot is not None or policy.counted or parts <= 1:
+        return skew_join(left, right, keys, how, policy=policy, hot=hot)
+    out_cols = [*left.columns, *(c for c in right.columns if c not in keys)]
+    # both numbers in one scalar subquery, computed once for both sides
+    null, empty = F.col(KEY_NULL), _placeholder(right) & ~F.col(KEY_NULL)
+    counts = right.agg(F.struct(F.count_if(null).alias("null"), F.count_if(empty).alias("empty")).alias(COUNT)).scalar()
+    n = F.when(F.col(KEY_NULL), counts["null"]).otherwise(counts["empty"])
+    blocks = F.greatest(F.lit(1), F.ceil(n / BLOCK_ROWS)).cast("int")
+    dealt = F.greatest(F.lit(1), F.least(F.lit(8 * parts), F.floor(F.lit(COPIED_ROWS) / F.greatest(n, F.lit(1))))).cast("int")
+
+    def part(df: DataFrame, of: Column) -> Column:  # a retried task deals as before; equal rows of other tasks go elsewhere
+        number = F.pmod(F.xxhash64(*_dealing(df, None), F.spark_partition_id()), of).cast("int")
+        return F.when(_placeholder(df), number).otherwise(F.lit(0))
+
+    def copies(df: DataFrame, of: Column) -> Column:
+        return F.explode(F.when(_placeholder(df) & (of > 1), F.sequence(F.lit(0), of - 1)).otherwise(F.array(F.lit(0))))
+
+    lt = left.withColumn(PART_L, part(left, dealt)).withColumn(PART_R, copies(left, blocks))
+    rt = right.withColumn(PART_R, part(right, blocks)).withColumn(PART_L, copies(right, dealt))
+    if how == "left":  # a copy that meets an empty block has its rows in the others
+        lt = lt.withColumn(SPLIT_R, F.when(_placeholder(left), blocks).otherwise(F.lit(1)))
+        out = lt.join(rt.withColumn(MARK, F.lit(True)), [*keys, PART_L, PART_R], how)
+        out = out.where(F.col(MARK).isNotNull() | (F.col(SPLIT_R) <= 1))
+    else:
+        out = lt.join(rt, [*keys, PART_L, PART_R], how)
+    return out.select(*map(quoted, out_cols))

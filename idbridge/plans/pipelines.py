@@ -37,6 +37,9 @@ from idbridge.plans.orphans import ticket_orphans, transaction_orphans
 from idbridge.session import checkpoint_dir
 from idbridge.sources.readers import JdbcConnection, JdbcTables, Tables
 
+_FOUND, _OF_RESV = "_found", "_resv_member"  # of an invoice's reservation
+
+
 def clean_members(members: DataFrame, index: MemberIndex | None = None) -> DataFrame:
     """``member_id, email`` with the email sanitised, from the index if there is one."""
     if index is not None:
@@ -218,10 +221,20 @@ class AssociationRepair:
 
     def remap_invoices(self, cascade: bool = False) -> DataFrame:
         """Invoices take the member of their reservation. As written, the
-        reservations *before* repair are read; ``cascade`` reads the repaired ones."""
-        resv = self.remap_reservations if cascade else self._resv()
-        return remap_id(self._inv(), resv, "reservation_id", "reservation_id", "member_id", "member_id",
-                        hot=self._hot("invoices"))
+        reservations *before* repair are read; ``cascade`` reads the repaired ones:
+        invoices meet reservations first and members last, so that the repaired
+        reservations' fan-out is nowhere shuffled, sorted or held."""
+        if not cascade:
+            return remap_id(self._inv(), self._resv(), "reservation_id", "reservation_id", "member_id", "member_id",
+                            hot=self._hot("invoices"))
+        resv = self._resv().withColumn(_FOUND, F.lit(True))
+        rows = match_left(self._inv(), resv.withColumnRenamed("member_id", _OF_RESV), "reservation_id",
+                          hot=self._hot("invoices"))
+        # clean emails start with no space: invoices without a reservation find no member
+        none = F.concat(F.lit(" "), F.coalesce(F.col("invoice_id").cast("string"), F.lit("")))
+        rows = rows.select("invoice_id", "reservation_id", F.coalesce(_OF_RESV, "member_id").alias("member_id"),
+                           F.when(F.col(_FOUND), F.col("customer_email")).otherwise(none).alias("customer_email"))
+        return self._remap(rows, "reservations").drop("customer_email")
 
     # updates (full new tables) ------------------------------------------
     @property
@@ -385,7 +398,7 @@ class TransactionOrphans:
         if self.index is not None:
             found = self.index.match(self.orphans, "customer_email", "inner")
             return found.select("member_id", F.col("customer_email").alias("email"))
-        return match_inner(self.likely_members, self.orphans, "email", "customer_email")
+        return match_inner(self.likely_members, self.orphans, "email", "customer_email", deal="right")
 
 
 # ---------------------------------------------------------------- P4
@@ -459,7 +472,7 @@ class TicketOrphans:
         if self.index is not None:
             found = self.index.match(self.orphans, "email", "inner")
             return found.select("member_id", "email", *[c for c in self.orphans.columns if c != "email"])
-        return match_inner(self.likely_members, self.orphans, "email")
+        return match_inner(self.likely_members, self.orphans, "email", deal="right")
 
     @property
     def inserts(self) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from idbridge.functions.keys import KEY_COLS, add_key
-from idbridge.operators import SkewPolicy, hot_keys, match_left, skew_join
+from idbridge.operators import SkewPolicy, hot_keys, match_inner, match_left, skew, skew_join
 from idbridge.operators.checks import duplicate_joined_rows, duplicate_rows
 from idbridge.operators.skew import PART_L, PLAIN, SPLIT_L, SPLIT_R, _side
 from tests.conftest import rows
@@ -165,3 +165,38 @@ def test_operators_with_counted_splitting_match_plain(spark, skewed):
     finally:
         spark.conf.unset("idbridge.skew.hotRows")
         spark.conf.unset("idbridge.skew.rowsPerSplit")
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_the_product_of_placeholders_is_made_by_many_tasks(spark, how):
+    left = spark.range(4000).select("id", F.lit(None).cast("string").alias("email"))
+    right = spark.range(100).select(F.concat(F.lit("M"), "id").alias("member_id"), F.lit(None).cast("string").alias("email"))
+    joined = (match_left if how == "left" else match_inner)(left, right, "email")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = joined.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r["count"] for r in tasks) == 400_000
+    assert max(r["count"] for r in tasks) < 130_000
+
+
+@pytest.mark.parametrize("block_rows", [1, 30, 2048])
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_product_join_equals_the_plain_join(spark, both_hot, monkeypatch, block_rows, null_safe):
+    """Placeholders on both sides or on one, equal rows, empty blocks, either side dealt."""
+    monkeypatch.setattr(skew, "BLOCK_ROWS", block_rows)
+    left, right = both_hot
+    left = left.drop(*KEY_COLS).union(spark.createDataFrame([(1, ""), (1, ""), (2, None), (2, None)], "id long, email string"))
+    right = right.selectExpr("member_id", "if(_k_null, null, _k_val) AS email")
+    right = right.union(spark.createDataFrame([("E", ""), ("E", ""), ("N", None), ("N", None)], "member_id string, email string"))
+    some = right.where("email IS NOT NULL")
+    for r in (right, some, right.limit(0)):
+        for join in (match_left, match_inner):
+            plain = join(left, r, "email", null_safe=null_safe, policy=PLAIN)
+            assert rows(join(left, r, "email", null_safe=null_safe)) == rows(plain)
+        dealt = match_inner(left, r, "email", null_safe=null_safe, deal="right")
+        assert dealt.columns == plain.columns and rows(dealt) == rows(plain)
+    numbers = spark.createDataFrame([(1, None), (1, None), (2, 5)], "a long, k long")
+    found = numbers.selectExpr("a AS b", "k")
+    assert rows(match_left(numbers, found, "k")) == rows(match_left(numbers, found, "k", policy=PLAIN))
