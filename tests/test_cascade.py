@@ -1,0 +1,46 @@
+"""Invoices by repaired reservations: the reservations' fan-out is no side of a join."""
+
+from __future__ import annotations
+
+import pytest
+
+from idbridge.operators import match
+from idbridge.operators.remap import remap_id
+from idbridge.plans import pipelines
+from idbridge.plans.pipelines import AssociationRepair
+from tests.conftest import rows
+
+MEMBERS = [("M1", "a@x"), ("M2", " A@x"), (None, "a@x"), ("M3", None), ("M4", None), ("M5", ""), ("M6", "b@x")]
+RESERVATIONS = [(1, "A@x", "Z1"), (2, None, "Z2"), (3, "none@x", None), (4, "none@x", "Z4"), (None, "b@x", "Z5"),
+                (5, "", None), (1, "b@x", None), (6, None, None)]
+INVOICES = [(10, 1, "C1"), (11, 2, "C2"), (12, 3, "C3"), (13, 4, None), (14, None, "C5"), (15, 99, "C6"), (15, 99, "C6"),
+            (16, 5, None), (None, 98, None), (None, None, "C7"), (17, 6, "C8"), (17, 2, "C8")]
+
+
+@pytest.fixture()
+def job(spark):
+    t = lambda r, cols: spark.createDataFrame(r, cols)
+    return AssociationRepair(
+        t(MEMBERS, "id string, email string"), t([], "id long, customer_email string, member_id string"),
+        t(RESERVATIONS, "id long, customer_email string, member_id string"),
+        t(INVOICES, "id long, reservation_id long, customer_id string"))
+
+
+def test_cascade_equals_the_join_to_the_repaired_reservations(job):
+    want = remap_id(job._inv(), job.remap_reservations, "reservation_id", "reservation_id", "member_id", "member_id")
+    got = job.remap_invoices(cascade=True)
+    assert got.columns == want.columns and rows(got) == rows(want)
+
+
+def test_no_join_takes_the_fan_out_as_its_lookup(job, monkeypatch):
+    sizes = []
+
+    def seen(left, right, *a, **kw):
+        sizes.append(right.count())
+        return match(left, right, *a, how="left", **kw)
+
+    monkeypatch.setattr(pipelines, "match_left", seen)
+    monkeypatch.setattr("idbridge.operators.remap.match_left", seen)
+    assert job.remap_invoices(cascade=True).count() > len(INVOICES)
+    assert job.remap_reservations.count() > len(RESERVATIONS)
+    assert max(sizes) <= max(len(RESERVATIONS), len(MEMBERS))
