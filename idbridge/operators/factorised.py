@@ -6,8 +6,8 @@ list of its right rows, in blocks of about ``block`` rows where there are
 many. What is written follows the inputs. Equal rows are held once, with their number.
 
 Reading pairs the lists: in place where a key has one block, which needs no
-shuffle, else block by block, so a hot key's pairs are made by many tasks and
-only where they are asked for.
+shuffle, else block by block, in cells dealt to all tasks, so a hot key's pairs are
+made by many and only where they are asked for.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from idbridge.functions.keys import KEY_COLS, KEY_NULL, add_key, quoted
 from idbridge.operators.skew import skew_join
 
 _N, _BLOCK, _BLOCKS, _LEFT, _RIGHT = "_times", "_block", "_blocks", "_left", "_right"
+_ROW, _COL, _ROWS, _COLS, _ALONE = "_row", "_col", "_rows", "_cols", "_alone"  # of a key's cells
 
 
 def _blocks(rows: DataFrame, side: str, block: int) -> DataFrame:
@@ -51,17 +52,32 @@ class Factorised:
         """Every pair, as the plain join gives them."""
         many = (F.coalesce(f"{_BLOCKS}{_LEFT}", F.lit(0)) > 1) | (F.coalesce(f"{_BLOCKS}{_RIGHT}", F.lit(0)) > 1)
         lists = [*KEY_COLS, _LEFT, _RIGHT]
-        hot = self.rows.where(many)
-        dealt = (hot.where(F.col(_LEFT).isNotNull()).select(*KEY_COLS, _LEFT)
-                 .join(hot.where(F.col(_RIGHT).isNotNull()).select(*KEY_COLS, _RIGHT), KEY_COLS, "left"))
-        return self._paired(self.rows.where(~many).select(*lists)).unionByName(self._paired(dealt.select(*lists)))
+        return (self._paired(self.rows.where(~many).select(*lists))
+                .unionByName(self._paired(self._cells(self.rows.where(many)).select(*lists))))
+
+    def _cells(self, hot: DataFrame) -> DataFrame:
+        """Every left block of a key with every right block. The lists are small to the
+        shuffle but make many pairs, so the cells are dealt to a fixed number of
+        tasks, not to as few as their bytes fill. At most one key in ``block`` rows is hot;
+        their numbers of blocks are broadcast."""
+        n, cell = int(hot.sparkSession.conf.get("spark.sql.shuffle.partitions")), [*KEY_COLS, _ROW, _COL]
+        sizes = F.broadcast(hot.groupBy(*KEY_COLS).agg(F.max(f"{_BLOCKS}{_LEFT}").alias(_ROWS), F.max(f"{_BLOCKS}{_RIGHT}").alias(_COLS)))
+        every = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+        left = (hot.where(F.col(_LEFT).isNotNull()).select(*KEY_COLS, F.col(_BLOCK).alias(_ROW), _LEFT).join(sizes, KEY_COLS)
+                .withColumn(_ALONE, F.col(_COLS).isNull()).withColumn(_COLS, F.coalesce(_COLS, F.lit(1)))
+                .select(*KEY_COLS, _ROW, every(_COLS).alias(_COL), _ALONE, _LEFT))
+        right = (hot.where(F.col(_RIGHT).isNotNull()).select(*KEY_COLS, F.col(_BLOCK).alias(_COL), _RIGHT).join(sizes, KEY_COLS)
+                 .where(F.col(_ROWS).isNotNull()).select(*KEY_COLS, every(_ROWS).alias(_ROW), _COL, _RIGHT))
+        dealt = left.repartition(n, *cell).join(right.repartition(n, *cell), cell, "left")
+        return dealt.where(F.col(_RIGHT).isNotNull() | F.col(_ALONE))  # a hash may leave a block empty
 
     def _paired(self, rows: DataFrame) -> DataFrame:
         each = F.explode_outer if self.how == "left" else F.explode
         out = rows.select(F.explode(_LEFT).alias("l"), _RIGHT).select("l", each(_RIGHT).alias("r"))
-        times = F.col(f"l.{_N}") * F.coalesce(F.col(f"r.{_N}"), F.lit(1))
+        times, one = F.col(f"l.{_N}") * F.coalesce(F.col(f"r.{_N}"), F.lit(1)), F.lit(1).cast("long")
+        each_time = F.when(times == 1, F.array(one)).otherwise(F.sequence(one, times))  # no new array for most pairs
         cols = [F.col(f"{s}.{quoted(c)}").alias(c) for s, names in (("l", self.left), ("r", self.right)) for c in names]
-        return (out.select(*cols, F.explode(F.sequence(F.lit(1).cast("long"), times)).alias(_N))
+        return (out.select(*cols, F.explode(each_time).alias(_N))
                 .select(*[quoted(c) for c in (*self.left, *self.right)]))
 
 

@@ -61,3 +61,21 @@ def test_helper_names_and_empty_sides(spark):
     assert rows(factorise(left.limit(0), right, "email").pairs()) == []
     with pytest.raises(ValueError):
         factorise(left, right, "email", how="left_anti")
+
+
+def test_the_pairs_of_a_hot_key_are_made_by_many_tasks(spark, scratch):
+    left = spark.range(2000).select("id", F.lit(None).cast("string").alias("email"))
+    right = spark.range(500).select(F.concat(F.lit("M"), "id").alias("member_id"), F.lit(None).cast("string").alias("email"))
+    f = factorise(left, right, "email", block=64)
+    f.rows.write.parquet(f"{scratch}/f")
+    tasks = f.with_rows(spark.read.parquet(f"{scratch}/f")).pairs().groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in tasks) == 1_000_000
+    assert len(tasks) == 8 and max(r["count"] for r in tasks) < 300_000
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_equal_rows_on_both_sides_of_a_hot_key(spark, how):
+    left = spark.createDataFrame([(i % 5, "a") for i in range(40)] + [(9, "b")], "id long, email string")
+    right = spark.createDataFrame([(f"M{i % 4}", "a") for i in range(30)] + [("N", "a")], "member_id string, email string")
+    got = factorise(left, right, "email", how=how, block=2).pairs()
+    assert rows(got) == rows(match(left, right, "email", how=how))
