@@ -113,41 +113,61 @@ def load(path: str) -> Merges:
                   np.array([r for _, _, r in rules], np.int64)[order], special, reach)
 
 
+def _ranks(left: np.ndarray, right: np.ndarray, m: Merges) -> tuple[np.ndarray, np.ndarray]:
+    """Rank of each pair, or the number of merges where it has none, and its result."""
+    code = left << 32 | right
+    at = np.searchsorted(m.pair, code)
+    at[at == len(m.pair)] = 0
+    return np.where(m.pair[at] == code, m.rank[at], len(m.rank)), m.made[at]
+
+
 def merge_windows(windows: list[bytes], m: Merges) -> list[np.ndarray]:
     """Token ids of each window, by itself: round after round, each window
-    joins its pairs of least rank, leftmost first."""
-    if not windows:
-        return []
-    ids = m.byte_id[np.frombuffer(b"".join(windows), np.uint8)]
-    own = np.repeat(np.arange(len(windows)), [len(w) for w in windows])
+    joins its pairs of least rank, leftmost first. Only pairs beside a join are
+    looked up again; windows with nothing left to join leave."""
     out: list[np.ndarray] = [np.empty(0, np.int64)] * len(windows)
-    none = np.int64(len(m.rank))
+    size = np.array([len(w) for w in windows], np.int64)
+    which = np.flatnonzero(size)
+    size = size[which]
+    ids = m.byte_id[np.frombuffer(b"".join(windows), np.uint8)]
+    none = len(m.rank)
+    rank, made = np.full(len(ids), none), np.zeros(len(ids), np.int64)  # of the pair that begins here
+    own = np.repeat(np.arange(len(size)), size)
+    if len(ids) > 1 and none:
+        rank[:-1], made[:-1] = _ranks(ids[:-1], ids[1:], m)
+        rank[:-1][own[:-1] != own[1:]] = none
     while len(ids):
-        code = ids[:-1] << 32 | ids[1:]
-        at = np.searchsorted(m.pair, code)
-        at[at == len(m.pair)] = 0
-        rank = np.where((m.pair[at] == code) & (own[:-1] == own[1:]), m.rank[at], none)
-        best = np.full(len(windows), none)
-        np.minimum.at(best, own[:-1], rank)
-        done = best[own] == none
-        if done.any():  # windows with nothing left to join leave
-            cut = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
-            ends = np.concatenate((cut[1:], [len(own)]))
-            for a, b in zip(cut[done[cut]], ends[done[cut]], strict=True):
-                out[own[a]] = ids[a:b]
-            ids, own = ids[~done], own[~done]
-            continue
-        join = rank == best[own[:-1]]
-        if (join[1:] & join[:-1]).any():  # runs such as aaaa: every other pair
-            p = np.flatnonzero(join)
-            run = np.concatenate(([True], p[1:] != p[:-1] + 1))
-            nth = np.arange(len(p)) - np.repeat(np.flatnonzero(run), np.diff(np.append(np.flatnonzero(run), len(p))))
-            join[p[nth % 2 == 1]] = False
-        p = np.flatnonzero(join)
-        ids[p] = m.made[at[p]]
+        start = np.cumsum(size) - size
+        best = np.minimum.reduceat(rank, start)
+        done = best == none
+        if done.any():
+            for w, a, n in zip(which[done].tolist(), start[done].tolist(), size[done].tolist(), strict=True):
+                out[w] = ids[a:a + n]
+            stay = ~done[own]
+            ids, rank, made = ids[stay], rank[stay], made[stay]
+            which, size, best = which[~done], size[~done], best[~done]
+            own = np.repeat(np.arange(len(size)), size)
+            if not len(ids):
+                break
+        p = np.flatnonzero(rank == best[own])
+        near = p[1:] == p[:-1] + 1
+        if near.any():  # runs such as aaaa: every other pair
+            run = np.flatnonzero(np.concatenate(([True], ~near)))
+            nth = np.arange(len(p)) - np.repeat(run, np.diff(np.append(run, len(p))))
+            p = p[nth % 2 == 0]
+        ids[p] = made[p]
+        size -= np.bincount(own[p], minlength=len(size))
         keep = np.ones(len(ids), bool)
         keep[p + 1] = False
-        ids, own = ids[keep], own[keep]
+        ids, rank, made, own = ids[keep], rank[keep], made[keep], own[keep]
+        q = p - np.arange(len(p))  # where the joins are now
+        beside = np.zeros(len(ids), bool)
+        beside[q] = beside[q[q > 0] - 1] = True
+        q = np.flatnonzero(beside)
+        last = (q == len(ids) - 1) | (own[np.minimum(q + 1, len(ids) - 1)] != own[q])
+        rank[q[last]] = none
+        q = q[~last]
+        rank[q], made[q] = _ranks(ids[q], ids[q + 1], m)
     return out
 
 

@@ -55,6 +55,21 @@ def test_smallest_window_is_enough(merges, library):
             assert got.tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_only_pairs_beside_a_join_are_looked_up_again(merges, monkeypatch):
+    seen, search = [], np.searchsorted
+
+    def counted(a, v, *args):
+        seen.append(len(v))
+        return search(a, v, *args)
+
+    monkeypatch.setattr(np, "searchsorted", counted)
+    rng = random.Random(3)
+    windows = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=300)).encode() for _ in range(20)] + [b"", b"a" * 50]
+    got = bpe.merge_windows(windows, merges)
+    assert [b"".join(merges.token[i] for i in ids) for ids in got] == windows
+    assert sum(seen) < 3 * sum(map(len, windows))
+
+
 def test_lookahead_of_a_small_merge_list():
     # a b c d; "cd" takes c from "bc", which gives b back to "ab"
     length = [1, 1, 1, 1, 2, 2, 2]
