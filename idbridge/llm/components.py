@@ -4,8 +4,8 @@ Every step is a minimum per node (a plain aggregate, summed up on the map side
 first) that all of the node's rows then meet. The rows of hubs, the nodes that hold more
 than a ``HUBS``-th of all rows, meet it where they are: there are at most
 ``HUBS`` such nodes, whatever the graph, and their minima are broadcast. Other
-rows are joined on the node. Nothing is collected but the count and hash that
-show that the edges no longer change.
+rows are joined on the node. The work is done when the edges are stars around
+their least nodes; nothing is collected but the number of nodes that deny it.
 """
 
 from __future__ import annotations
@@ -43,22 +43,28 @@ def _small_star(edges: DataFrame, total: int) -> DataFrame:
     """u and every smaller neighbour of u are tied to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = _minima(down)
-    moved = _met(down, least, total).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionAll(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
+    return (_met(down, least, total).select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
+            .where("u != v").distinct())
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node of ``edges`` (u > v, distinct) has one smaller neighbour, its
+    component's least node, or is such a node itself."""
+    ends = (edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+            .unionAll(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down"))))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where("up > 1 or up = 1 and down = 1").count() == 0
 
 
 def components(edges: DataFrame, store: Store) -> DataFrame:
     """``edges`` (u, v: long) -> (node, root): root is the smallest node of
     the component. Nodes without an edge to another node do not appear."""
-    edges = store.put(edges.select("u", "v").where("u != v").distinct(), "edges")
-    seen, total = None, edges.count()
-    while True:
+    edges = store.put(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+                      .where("u != v").distinct(), "edges")
+    while not _are_stars(edges):
+        total = edges.count()
         large = store.put(_large_star(edges, total), "star")  # as many rows as edges, or fewer
         step = store.put(_small_star(large, total), "star")
-        store.drop(large)
-        state = tuple(step.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        store.drop(edges)
+        store.drop(large, edges)
         edges = step
-        if state == seen:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen, total = state, state[0]
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -71,7 +71,9 @@ def presence(data: np.ndarray, offsets: np.ndarray, p: Kernel) -> np.ndarray:
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
-    return x / np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
+    """Unit rows, in the place of ``x``."""
+    x /= np.sqrt(np.maximum(x.sum(axis=1, keepdims=True), 1))
+    return x
 
 
 @dataclass
@@ -88,7 +90,8 @@ class Model:
 
 def fit(x: np.ndarray, langs: list[str], p: Kernel) -> Model | None:
     """Kernel ridge regression in the Nystrom space of the landmarks, from
-    the presence rows ``x`` of labelled texts."""
+    the presence rows ``x`` of labelled texts, which become unit rows: the
+    driver holds them once."""
     names = sorted(set(langs))
     if not names:
         return None
@@ -105,7 +108,7 @@ def fit(x: np.ndarray, langs: list[str], p: Kernel) -> Model | None:
     share = 1.0 / np.bincount(label, minlength=len(names))[label]  # each language weighs the same
     gram = (feats * share[:, None]).T @ feats + p.ridge * np.eye(len(marks))
     weights = root @ np.linalg.solve(gram, (feats * share[:, None]).T @ target)
-    return Model(names, marks.astype(np.float32), weights.astype(np.float32), p)
+    return Model(names, marks.astype(np.float32, copy=False), weights.astype(np.float32), p)
 
 
 def has_letter(text: str) -> bool:
@@ -175,8 +178,10 @@ def sample(docs: DataFrame, teaches: Column, p: Kernel) -> tuple[np.ndarray, lis
             .groupBy("lang", "key").agg(F.min("bits").alias("bits")).collect())
     wanted = {(r["lang"], r["key"]) for r in keys}
     rows = sorted((r for r in rows if (r["lang"], r["key"]) in wanted), key=lambda r: (r["lang"], r["key"]))
-    bits = np.stack([np.unpackbits(np.frombuffer(r["bits"], np.uint8)) for r in rows])
-    return bits.astype(np.float32), [r["lang"] for r in rows]
+    x = np.empty((len(rows), p.slots), np.float32)
+    for k, r in enumerate(rows):
+        x[k] = np.unpackbits(np.frombuffer(r["bits"], np.uint8))
+    return x, [r["lang"] for r in rows]
 
 
 def identify(docs: DataFrame, teaches: Column, p: Kernel = Kernel()) -> DataFrame:

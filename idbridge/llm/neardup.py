@@ -253,7 +253,7 @@ def near_duplicates(docs: DataFrame, store: Store, p: NearDup = NearDup()) -> Da
     found = store.put(_open_links(tied, roots, reps, texts, store, p).distinct(), "found")
     more = store.put(_check(found, texts, p), "more")
     if not more.isEmpty():
-        roots = components(links.unionAll(more), store)
+        roots = components(roots.toDF("u", "v").unionAll(more), store)  # the same components as of all links
 
     named = classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     named = store.put(named.select("digest", F.coalesce("root", "rep").alias("component_id")), "named")

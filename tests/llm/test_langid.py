@@ -81,3 +81,21 @@ def test_every_language_is_learned(spark):
         rows += [(100 * k + i, " ".join(rng.choices(own, k=30)), f"l{k:02d}", "s", 0) for i in range(6 if k < 64 else 3)]
     got = identify(spark.createDataFrame(rows, h.DOC_SCHEMA), F.lit(True)).select("lang", "lang_pred").collect()
     assert len(got) == 64 * 6 + 6 * 3 and all(r.lang == r.lang_pred for r in got)
+
+
+def test_fitting_holds_the_sample_once():
+    """The driver's Python needs the sample's matrix and that of the landmarks, not copies of them."""
+    import tracemalloc
+
+    from idbridge.llm.langid import fit
+    p = Kernel(landmarks=4)
+    langs = [f"l{k % 8}" for k in range(640)]
+    tracemalloc.start()
+    try:
+        x = (np.random.default_rng(1).random((len(langs), p.slots), np.float32) > 0.9).astype(np.float32)
+        tracemalloc.reset_peak()
+        model = fit(x, langs, p)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(model.langs) == 8 and peak < 1.5 * x.nbytes

@@ -31,6 +31,17 @@ def test_a_hub_with_many_neighbours(spark):
     assert {r.root for r in got} == {4}
 
 
+def test_finished_stars_cost_no_round(spark):
+    """Edges that are stars already are read back as they are, and a round ends the work that finishes it."""
+    for links, tables in (([(i, 1) for i in range(2, 50)] + [(100, i) for i in range(101, 120)], 1),
+                          ([(1, 2), (2, 3), (9, 8), (8, 8)], 3), ([], 1)):
+        store = Store(spark, "t")
+        got = components(spark.createDataFrame(links, "u bigint, v bigint"), store)
+        assert store._n == tables
+        want = h.components({x for e in links for x in e}, links)
+        assert {r.node: r.root for r in got.collect()} == {k: v for k, v in want.items() if k != v}
+
+
 @pytest.mark.parametrize("k", [4, 5])
 def test_families_of_edited_copies(spark, k):
     """Families around a base text: copies near it and, through it, each other;
